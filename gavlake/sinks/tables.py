@@ -51,7 +51,7 @@ class TableStore:
         return f"{self.database}.{name}"
 
     def exists(self, name: str) -> bool:
-        return self.spark.catalog.tableExists(name, self.database)
+        return self.spark.catalog.tableExists(self.qualified(name))
 
     def table(self, name: str) -> DataFrame:
         return self.spark.table(self.qualified(name))
