@@ -20,7 +20,7 @@ keeps its leading digits.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -76,20 +76,20 @@ def shrink_year(x: Column) -> Column:
     return _shrink_year(x)
 
 
-def version_columns(version: Column) -> tuple[Column, Column]:
-    """Return ``(major_version INT, version_seq BIGINT)`` for a version column.
+def _key_from_parts(has_dot: Column, t1: Column, t2: Column, t3: Column, t4: Column,
+                    first10: Column) -> tuple[Column, Column]:
+    """(major, seq) from the parsed parts: has_dot, tokens as longs and the first 10
+    characters of token 1 as a long.
 
-    A null version gives nulls.
+    Without a dot the string is all digits (or empty), so its value is token 1; the
+    string itself is never cast (a failing cast per row is costly).
     """
-    has_dot, tok = version_tokens(version)
-    t1, t2, t3, t4 = (_to_long(t) for t in tok)
-
     is_year = has_dot & (t1 >= F.lit(MAJOR_VERSION_MAX))
 
     # Both branches are written so that neither can overflow even when evaluated for a
     # row of the other branch (Spark runs with ANSI arithmetic).
     # normal branch (also covers "no dot": then only the fourth slot is set)
-    fourth = F.when(has_dot, t4).otherwise(_to_long(version))
+    fourth = F.when(has_dot, t4).otherwise(t1)
     major_normal = F.when(has_dot, F.least(t1, F.lit(MAJOR_VERSION_MAX - 1).cast(T.LongType()))
                           ).otherwise(F.lit(0).cast(T.LongType()))
     seq_normal = (
@@ -107,15 +107,52 @@ def version_columns(version: Column) -> tuple[Column, Column]:
         F.when(wraps, F.lit(LONG_MIN) + F.greatest(rest - F.lit(YEAR_REST_MAX + 1), F.lit(0)))
         .otherwise(head * F.lit(10 ** 9) + F.when(wraps, F.lit(0)).otherwise(rest))
     )
-    major_year = _to_long(F.substring(tok[0], 1, YEAR_PREFIX_LEN))
 
-    major = F.when(is_year, major_year).otherwise(major_normal)
+    major = F.when(is_year, first10).otherwise(major_normal)
     major = F.least(major, F.lit(INT_MAX).cast(T.LongType())).cast(T.IntegerType())
     seq = F.when(is_year, seq_year).otherwise(seq_normal).cast(T.LongType())
+    return major, seq
+
+
+def version_columns(version: Column) -> tuple[Column, Column]:
+    """Return ``(major_version INT, version_seq BIGINT)`` for a version column.
+
+    A null version gives nulls. This single-expression form repeats the token
+    expressions at every use; on large tables prefer ``with_version_key``.
+    """
+    has_dot, tok = version_tokens(version)
+    t1, t2, t3, t4 = (_to_long(t) for t in tok)
+    major, seq = _key_from_parts(has_dot, t1, t2, t3, t4,
+                                 _to_long(F.substring(tok[0], 1, YEAR_PREFIX_LEN)))
     nulled = version.isNull()
     return (F.when(~nulled, major), F.when(~nulled, seq))
 
 
+def with_version_key(df: DataFrame, version: str = "version", major_out: str = "major_version",
+                     seq_out: str = "version_seq") -> DataFrame:
+    """Add the version key columns in three projections.
+
+    The token array and the token values are columns of their own, so the regular
+    expression runs once per row (Catalyst does not merge a projection that would
+    repeat a non-trivial expression), and the key arithmetic only reads columns.
+    """
+    v = F.col(version)
+    staged = df.withColumn("_v_tok", F.regexp_extract_all(v, F.lit("([0-9]+)"), 1))
+    # "has a dot" = not all digits = non-empty and not one token covering the string
+    staged = staged.withColumns({
+        "_v_dot": ~((F.length(v) == 0)
+                    | ((F.size("_v_tok") == 1) & (F.length(F.get(F.col("_v_tok"), 0)) == F.length(v)))),
+        **{f"_v_t{i + 1}": _to_long(F.get(F.col("_v_tok"), i)) for i in range(4)},
+        "_v_first10": _to_long(F.substring(F.get(F.col("_v_tok"), 0), 1, YEAR_PREFIX_LEN)),
+    })
+    major, seq = _key_from_parts(F.col("_v_dot"), *[F.col(f"_v_t{i}") for i in range(1, 5)],
+                                 F.col("_v_first10"))
+    nulled = v.isNull()
+    return staged.withColumns({major_out: F.when(~nulled, major), seq_out: F.when(~nulled, seq)}
+                              ).drop("_v_dot", "_v_tok", "_v_first10",
+                                     *[f"_v_t{i}" for i in range(1, 5)])
+
+
 def major_version(version: Column) -> Column:
     return version_columns(version)[0]
 

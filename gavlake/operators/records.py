@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.columns import availability_code, content_key, truncate_uinfo
-from ..functions.version import version_columns
+from ..functions.version import with_version_key
 from ..schemas import ARTIFACTINFO, RECORD_FIELDS
 
 KEY = "uinfo_md5"
@@ -50,12 +50,11 @@ def to_artifactinfo(records: DataFrame, fix_signature: bool = False) -> DataFram
     ``fix_signature=False`` keeps the reference's behaviour of filling
     ``signature_exists`` from the sources flag.
     """
-    major, seq = version_columns(F.col("version"))
     signature_src = "signatureExists" if fix_signature else "sourcesExists"
-    return records.select(
+    return with_version_key(records, "version").select(
         F.col(KEY),
-        major.alias("major_version"),
-        seq.alias("version_seq"),
+        "major_version",
+        "version_seq",
         F.length("uinfo").cast(T.IntegerType()).alias("uinfo_length"),
         F.coalesce(F.length("classifier"), F.lit(0)).cast(T.IntegerType()).alias("classifier_length"),
         availability_code(signature_src).alias("signature_exists"),
