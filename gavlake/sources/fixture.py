@@ -75,15 +75,32 @@ def _version(l_orderkey: Column, n: Column, b: Column, s: Column) -> Column:
     return expr
 
 
-def derive_records(lineitem: DataFrame, part: DataFrame) -> DataFrame:
-    """Index records (without ``doc_ord``) plus the order columns."""
+def _epoch_ms() -> Column:
+    return F.expr(
+        "timestampdiff(MILLISECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', "
+        "cast(l_shipdate AS TIMESTAMP_NTZ))") + F.col("l_orderkey") % 1000
+
+
+def join_inputs(lineitem: DataFrame, part: DataFrame) -> DataFrame:
+    """The input columns of each record: lineitem joined with its part, plus
+    ``lastModified`` (the last order column)."""
     li = lineitem.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
                          "l_quantity", "l_returnflag", "l_linestatus", "l_shipdate")
     pa = part.select("p_partkey", "p_name", "p_brand", "p_type", "p_size")
-    # part has one row per key; the join is an equi-join Spark plans by size (AQE).
-    j = li.join(pa, li.l_partkey == pa.p_partkey, "inner")
+    # part has one row per key; the equi-join is planned by size (AQE).
+    return li.join(pa, li.l_partkey == pa.p_partkey, "inner").withColumn("lastModified", _epoch_ms())
+
 
-    p = {c: F.col(c) for c in pa.columns}
+def derive_records(lineitem: DataFrame, part: DataFrame) -> DataFrame:
+    """Index records (without ``doc_ord``) plus the order columns."""
+    return record_columns(join_inputs(lineitem, part))
+
+
+def record_columns(j: DataFrame) -> DataFrame:
+    """Joined input columns -> index record columns (a row-wise projection)."""
+    pa_cols = ("p_partkey", "p_name", "p_brand", "p_type", "p_size")
+
+    p = {c: F.col(c) for c in pa_cols}
     n = F.col("l_linenumber").cast("string")
     b = F.col("l_quantity").cast("int").cast("string")
     s = F.col("l_suppkey").cast("string")
@@ -99,9 +116,6 @@ def derive_records(lineitem: DataFrame, part: DataFrame) -> DataFrame:
                 .when(ext_sel == 1, F.lit(EXTENSION_BY_SUPPKEY[1]))
                 .when(ext_sel == 2, F.lit(EXTENSION_BY_SUPPKEY[2]))
                 .otherwise(F.lit("jar")))
-    epoch_ms = F.expr(
-        "timestampdiff(MILLISECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', "
-        "cast(l_shipdate AS TIMESTAMP_NTZ))")
     sha1 = F.sha1(okey.cast("string").cast("binary"))
     present = F.lit("PRESENT")
     not_present = F.lit("NOT_PRESENT")
@@ -120,7 +134,7 @@ def derive_records(lineitem: DataFrame, part: DataFrame) -> DataFrame:
                                                                               ).alias("name"),
         F.when(p["p_partkey"] % 3 == 0, F.lit(None).cast("string")).otherwise(
             F.concat(p["p_name"], F.lit(" é "), p["p_type"])).alias("description"),
-        (epoch_ms + okey % 1000).alias("lastModified"),
+        F.col("lastModified"),
         (okey * 1000 + F.col("l_linenumber")).alias("size"),
         F.when(okey % 997 == 0, F.concat(sha1, F.lit(BAD_CHECKSUM_SUFFIX))).otherwise(sha1
                                                                                      ).alias("sha1"),
@@ -140,7 +154,7 @@ def derive_records(lineitem: DataFrame, part: DataFrame) -> DataFrame:
 
 
 def dense_order(df: DataFrame, order_cols: list[str] | tuple[str, ...], out: str,
-                num_partitions: int | None = None) -> DataFrame:
+                num_partitions: int | None = None, project=None) -> DataFrame:
     """Add ``out`` = dense 1-based row position of each row in the order ``order_cols``.
 
     The order must be total (no ties), otherwise positions of tied rows are arbitrary.
@@ -151,6 +165,10 @@ def dense_order(df: DataFrame, order_cols: list[str] | tuple[str, ...], out: str
     folder: counts and positions must come from the same evaluation (a second
     evaluation could sample other range bounds). Only the per-partition counts are
     broadcast, one row per partition, a size fixed by ``num_partitions``.
+
+    ``project`` (DataFrame -> DataFrame, row-wise) is applied after the sort, so costly
+    columns are computed once, not also in the sampling pass of the range partitioner,
+    and do not travel through the shuffle.
     """
     from ..session import scratch_path
 
@@ -158,10 +176,10 @@ def dense_order(df: DataFrame, order_cols: list[str] | tuple[str, ...], out: str
     if num_partitions is None:
         num_partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     path = scratch_path(spark, "dense_order")
-    (df.repartitionByRange(num_partitions, *order_cols)
-     .sortWithinPartitions(*order_cols)
-     .withColumn("_mono", F.monotonically_increasing_id())
-     .write.parquet(path))
+    ordered = df.repartitionByRange(num_partitions, *order_cols).sortWithinPartitions(*order_cols)
+    if project is not None:
+        ordered = project(ordered)
+    ordered.withColumn("_mono", F.monotonically_increasing_id()).write.parquet(path)
     ranged = (
         spark.read.parquet(path)
         .withColumn("_pid", F.shiftright("_mono", _MONO_ID_SHIFT))
@@ -182,8 +200,8 @@ def dense_order(df: DataFrame, order_cols: list[str] | tuple[str, ...], out: str
 
 def raw_index_from_tables(lineitem: DataFrame, part: DataFrame) -> DataFrame:
     """``raw_index`` (schema ``RAW_INDEX``) from the driver's lineitem and part tables."""
-    rec = derive_records(lineitem, part)
-    ordered = dense_order(rec, list(ORDER_COLUMNS), "doc_ord")
+    ordered = dense_order(join_inputs(lineitem, part), list(ORDER_COLUMNS), "doc_ord",
+                          project=record_columns)
     return ordered.select(*[F.col(f.name).cast(f.dataType) for f in RAW_INDEX.fields])
 
 
