@@ -30,13 +30,32 @@ def first_wins_dedup(records: DataFrame, key: str = KEY, order: str = "doc_ord")
             .filter(F.col("_rn") == 1).drop("_rn"))
 
 
-def new_records(batch: DataFrame, store_keys: DataFrame, key: str = KEY) -> DataFrame:
+# Largest number of batch rows whose keys are broadcast to filter the store (16-byte keys:
+# a 4M-row batch is a hash relation of well under 200 MB).
+MAX_BROADCAST_KEYS = 4_000_000
+
+
+def batch_is_small(batch: DataFrame, limit: int = MAX_BROADCAST_KEYS) -> bool:
+    """Row count of ``batch`` checked against ``limit`` (reads at most limit+1 rows)."""
+    return batch.limit(limit + 1).count() <= limit
+
+
+def new_records(batch: DataFrame, store_keys: DataFrame, key: str = KEY,
+                small_batch: bool = False, batch_keys: DataFrame | None = None) -> DataFrame:
     """Rows of ``batch`` whose key is not yet in the store (JOIN-4).
 
-    Only the key column of the store is read; keys are MD5 values, so hash
-    partitioning spreads them evenly.
+    Only the key column of the store is read. For a batch whose size was checked to be
+    small (``small_batch``), the store's keys are filtered by a broadcast semi join with
+    the batch keys (a scan, no shuffle of the growing store), and the few matches are
+    broadcast to the anti join. Otherwise both sides are hash-partitioned on the key;
+    MD5 keys spread evenly.
     """
-    return batch.join(store_keys.select(key), on=key, how="left_anti")
+    store = store_keys.select(key)
+    if small_batch:
+        bk = (batch_keys if batch_keys is not None else batch).select(key)
+        existing = store.join(F.broadcast(bk), on=key, how="left_semi")
+        return batch.join(F.broadcast(existing), on=key, how="left_anti")
+    return batch.join(store, on=key, how="left_anti")
 
 
 def record_json() -> F.Column:
@@ -76,5 +95,6 @@ def artifactinfo_from_records(live: DataFrame, store_keys: DataFrame | None = No
     keyed = with_content_key(live)
     deduped = first_wins_dedup(keyed)
     if store_keys is not None:
-        deduped = new_records(deduped, store_keys)
+        deduped = new_records(deduped, store_keys, small_batch=batch_is_small(live),
+                              batch_keys=keyed)
     return conform(to_artifactinfo(deduped, fix_signature=fix_signature), ARTIFACTINFO)

@@ -355,6 +355,9 @@ def sql() -> dict[str, str]:
         "new_records": (
             "SELECT uinfo_md5, uinfo FROM artifactinfo WHERE uinfo_md5 NOT IN ("
             "SELECT md5(uinfo) FROM live WHERE doc_ord <= (SELECT max(doc_ord) FROM raw) // 2)"),
+        "new_records_small_batch": (
+            "SELECT uinfo_md5, uinfo FROM artifactinfo WHERE uinfo_md5 NOT IN ("
+            "SELECT md5(uinfo) FROM live WHERE doc_ord <= (SELECT max(doc_ord) FROM raw) // 2)"),
         "json_key_lateral": ("SELECT uinfo_md5, unnest(string_split(json_keys, ',')) AS json_key "
                              "FROM artifactinfo"),
         "json_rows_lateral": ("SELECT uinfo_md5, CAST(1 AS INTEGER) AS rowid, groupId "

@@ -408,6 +408,20 @@ def q_new_records(spark, sf_dir):
     return new_records(first_wins_dedup(live), stored).select("uinfo_md5", "uinfo")
 
 
+@query("new_records_small_batch")
+def q_new_records_small_batch(spark, sf_dir):
+    """Same as ``new_records`` through the small-batch path: the store's keys are
+    filtered by a broadcast of the (size-checked) batch keys (JOIN-4)."""
+    from .operators.records import batch_is_small
+    raw = raw_index(spark, sf_dir)
+    live = with_content_key(live_records(raw))
+    mid = raw.select(F.expr("max(doc_ord) div 2").alias("m")).scalar()
+    stored = live.filter(F.col("doc_ord") <= mid).select("uinfo_md5")
+    assert batch_is_small(live)
+    return new_records(first_wins_dedup(live), stored, small_batch=True, batch_keys=live).select(
+        "uinfo_md5", "uinfo")
+
+
 @query("json_key_lateral")
 def q_json_key_lateral(spark, sf_dir):
     """One row per (record, JSON key) (JOIN-5)."""
