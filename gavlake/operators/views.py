@@ -18,21 +18,25 @@ def ga_latest(ga: DataFrame, gav: DataFrame, distinct: bool = False) -> DataFram
 
     All files of the newest version match, so an artifact can appear more than once
     (kept, as in the reference); ``distinct=True`` removes repeated rows.
-    The equi-join on (group, artifact, key) is left to the planner: ``ga`` is the
-    preserved side, so only ``gav`` could be broadcast, and AQE does so only when its
-    measured size allows.
+
+    The left outer join is written as an inner equi-join plus the ``ga`` rows without a
+    match. In a left outer join AQE can split only the preserved side, so a hot key on
+    ``gav`` (one version with very many files) would stay in one task; an inner join
+    lets AQE split the skewed side. The unmatched rows come from an anti join against
+    the *distinct* join keys of ``gav``, which partial aggregation reduces map-side.
     """
-    a = ga.select("group_id", "artifact_id", "version_seq_max").alias("ga")
-    b = gav.select("group_id", "artifact_id", "version_seq", "name", "description").alias("ai")
-    cond = ((F.col("ga.group_id") == F.col("ai.group_id"))
-            & (F.col("ga.artifact_id") == F.col("ai.artifact_id"))
-            & (F.col("ga.version_seq_max") == F.col("ai.version_seq")))
-    out = a.join(b, cond, "left").select(
-        F.col("ga.group_id").alias("group_id"),
-        F.col("ga.artifact_id").alias("artifact_id"),
-        F.coalesce(F.col("ai.name"), F.col("ga.artifact_id")).alias("name"),
-        F.coalesce(F.col("ai.description"), F.col("ga.artifact_id")).alias("description"),
+    keys = ("group_id", "artifact_id")
+    a = ga.select(*keys, F.col("version_seq_max").alias("version_seq"))
+    b = gav.select(*keys, "version_seq", "name", "description")
+    matched = a.join(b, [*keys, "version_seq"], "inner").select(
+        *keys,
+        F.coalesce("name", "artifact_id").alias("name"),
+        F.coalesce("description", "artifact_id").alias("description"),
     )
+    unmatched = a.join(b.select(*keys, "version_seq").distinct(), [*keys, "version_seq"],
+                       "left_anti").select(
+        *keys, F.col("artifact_id").alias("name"), F.col("artifact_id").alias("description"))
+    out = matched.unionByName(unmatched)
     return out.distinct() if distinct else out
 
 

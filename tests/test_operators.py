@@ -150,7 +150,7 @@ def test_json_keys_and_rows(spark):
 def _gav(spark, rows):
     full = []
     for i, r in enumerate(rows):
-        d = dict(uinfo_md5=bytes([i]) * 16, uinfo_length=5, uinfo=f"u{i}", group_id="g",
+        d = dict(uinfo_md5=i.to_bytes(16, "big"), uinfo_length=5, uinfo=f"u{i}", group_id="g",
                  artifact_id="a", artifact_version="1.0", major_version=1, version_seq=1,
                  last_modified=dt.datetime(2020, 1, 1), size=1, sha1="s", signature_exists=0,
                  sources_exists=0, javadoc_exists=0, classifier=None, classifier_length=0,
@@ -226,3 +226,28 @@ def test_dedup_plan_limits_before_shuffle(spark):
     ai = full_plan(raw_index(spark, SMALL_SF)).artifactinfo
     plan = ai._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan
+
+
+def test_hot_key_dedup_and_fan_out(spark):
+    """One key holds a third of all rows: results stay whole and exact."""
+    n = 3000
+    rows = [raw_row(i, uinfo="hot|a|1.0|NA|jar" if i % 3 == 0 else f"g|a|{i}|NA|jar",
+                    version="1.0" if i % 3 == 0 else f"{i}.0", name=f"n{i}") for i in range(n, 0, -1)]
+    raw = spark.createDataFrame(rows, RAW_INDEX).repartition(8)
+    ai = artifactinfo_from_records(raw)
+    assert ai.count() == n - n // 3 + 1
+    hot = ai.filter(F.col("uinfo") == "hot|a|1.0|NA|jar").first()
+    assert '"name":"n3"' in hot.json  # the smallest doc_ord among the hot rows
+    # newest version of one artifact has n files: all of them come back (fan-out)
+    gav = _gav(spark, [dict(version_seq=2, name=f"f{i}") for i in range(n)]
+               + [dict(version_seq=1, name="old")])
+    view = ga_latest(group_artifact_rollup(gav), gav)
+    assert view.count() == n and view.filter("name = 'old'").count() == 0
+
+
+def test_ga_latest_unmatched_rows(spark):
+    gav = _gav(spark, [dict(version_seq=5, name="x")])
+    ga = group_artifact_rollup(gav).union(
+        spark.createDataFrame([("g", "zz", 1, 1, None, None)], group_artifact_rollup(gav).schema))
+    out = {r.artifact_id: (r.name, r.description) for r in ga_latest(ga, gav).collect()}
+    assert out == {"a": ("x", "a"), "zz": ("zz", "zz")}
