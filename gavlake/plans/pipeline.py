@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import types as T
 
 from ..operators.derived import flatten_gav, group_artifact_rollup, group_rollup
+from ..operators.quality import enforce_limits, split_valid
 from ..operators.records import artifactinfo_from_records
 from ..sinks.tables import TableStore
 from ..sources.index import live_records
@@ -68,16 +69,29 @@ def run_load(spark: SparkSession, raw: DataFrame, store: TableStore,
     return [("load", "artifactinfo", after - before, dropped, time.time() - t0)]
 
 
-def run_refresh(spark: SparkSession, store: TableStore) -> list[tuple]:
+def run_refresh(spark: SparkSession, store: TableStore, limits: str = "fail") -> list[tuple]:
     """Rebuild ``gav`` from ``artifactinfo``, then ``g`` and ``ga`` from the new ``gav``.
 
     Each table is replaced write-then-swap; a failure stops the refresh with the old
-    tables intact.
+    tables intact. ``limits`` handles rows breaking a declared column limit (QLT-1):
+    ``"fail"`` stops the refresh (like the reference, whose insert fails on too long
+    data), ``"quarantine"`` writes them to ``gav_rejects`` and keeps them out of ``gav``,
+    ``"off"`` skips the check.
     """
     audit = []
     t0 = time.time()
-    store.overwrite(flatten_gav(store.table("artifactinfo")), "gav")
-    audit.append(("refresh", "gav", _count_rows(store, "gav"), 0, time.time() - t0))
+    gav_new = flatten_gav(store.table("artifactinfo"))
+    rejected = 0
+    if limits == "fail":
+        gav_new = enforce_limits(gav_new, "gav")
+    elif limits == "quarantine":
+        gav_new, bad = split_valid(gav_new, "gav")
+        store.overwrite(bad, "gav_rejects")
+        rejected = _count_rows(store, "gav_rejects")
+    elif limits != "off":
+        raise ValueError(f"limits must be fail, quarantine or off, not {limits!r}")
+    store.overwrite(gav_new, "gav")
+    audit.append(("refresh", "gav", _count_rows(store, "gav"), rejected, time.time() - t0))
     gav = store.table("gav")
     for name, build in (("g", group_rollup), ("ga", group_artifact_rollup)):
         t0 = time.time()
@@ -87,7 +101,7 @@ def run_refresh(spark: SparkSession, store: TableStore) -> list[tuple]:
 
 
 def run_all(spark: SparkSession, raw: DataFrame, store: TableStore,
-            fix_signature: bool = False) -> DataFrame:
+            fix_signature: bool = False, limits: str = "fail") -> DataFrame:
     """Load then refresh; returns the audit as a DataFrame (one row per step)."""
-    audit = run_load(spark, raw, store, fix_signature) + run_refresh(spark, store)
+    audit = run_load(spark, raw, store, fix_signature) + run_refresh(spark, store, limits)
     return spark.createDataFrame(audit, AUDIT_SCHEMA)

@@ -76,3 +76,26 @@ def test_oracle_all_queries(spark):
     res = compare(spark, SMALL_SF, verbose=False)
     bad = {k: v for k, v in res.items() if v[0] not in ("OK", "ROWS_ONLY")}
     assert not bad, bad
+
+
+def test_refresh_limit_modes(spark, raw):
+    from gavlake.operators.records import conform
+    from gavlake.schemas import ARTIFACTINFO
+    store = TableStore(spark, scratch_path(spark, "limits"))
+    run_load(spark, raw, store)
+    # one record with a version over the declared 128 characters
+    long_doc = store.table("artifactinfo").limit(1).select(
+        F.unhex(F.md5(F.lit("long-one"))).alias("uinfo_md5"), "major_version", "version_seq",
+        "uinfo_length", "classifier_length", "signature_exists", "sources_exists", "javadoc_exists",
+        F.lit("long-one").alias("uinfo"),
+        F.lit('{"groupId":"g","artifactId":"a","version":"' + "9" * 130 + '"}').alias("json"))
+    store.append(conform(long_doc, ARTIFACTINFO), "artifactinfo")
+    n = store.table("artifactinfo").count()
+    with pytest.raises(Exception, match="declared limit broken"):
+        run_refresh(spark, store, limits="fail")
+    assert not store.exists("gav")  # nothing half-written became visible
+    audit = run_refresh(spark, store, limits="quarantine")
+    assert audit[0][2] == n - 1 and audit[0][3] == 1
+    assert store.table("gav_rejects").first().uinfo == "long-one"
+    run_refresh(spark, store, limits="off")
+    assert store.table("gav").count() == n
