@@ -32,6 +32,17 @@ def _violations(df: DataFrame, table: str) -> F.Column:
     return F.filter(F.array(*checks), lambda x: x.isNotNull())
 
 
+def _any_violation(df: DataFrame, table: str) -> F.Column:
+    """True when the row breaks at least one declared limit (a plain OR, no arrays)."""
+    cond = F.lit(False)
+    for col, max_len, not_null in _rules(table, df.columns):
+        if not_null:
+            cond = cond | F.col(col).isNull()
+        if max_len is not None:
+            cond = cond | F.coalesce(F.length(F.col(col)) > max_len, F.lit(False))
+    return cond
+
+
 def length_violations(df: DataFrame, table: str, key: str = "uinfo_md5") -> DataFrame:
     """One row per (record, broken limit): key, table, column, rule, actual length.
 
@@ -44,20 +55,25 @@ def length_violations(df: DataFrame, table: str, key: str = "uinfo_md5") -> Data
 
 def split_valid(df: DataFrame, table: str) -> tuple[DataFrame, DataFrame]:
     """Quarantine mode: (rows within all limits, rows breaking at least one)."""
-    flagged = df.withColumn("_bad", F.size(_violations(df, table)) > 0)
+    flagged = df.withColumn("_bad", _any_violation(df, table))
     good = flagged.filter(~F.col("_bad")).drop("_bad")
     bad = flagged.filter(F.col("_bad")).drop("_bad")
     return good, bad
 
 
 def enforce_limits(df: DataFrame, table: str) -> DataFrame:
-    """Fail mode: the job that consumes the result raises on the first broken limit.
+    """Fail mode: the job that writes the result raises on the first broken limit.
 
-    Written as a filter, so the check cannot be pruned away like an unused column.
+    The check is folded into the first (key) column, ``CASE WHEN bad THEN raise_error
+    ELSE key END``: unlike a filter it is not pushed below the projections (which
+    would repeat e.g. the JSON parse in the condition), and unlike an extra column it
+    cannot be pruned while the key is read (a table write reads every column).
     """
-    bad = F.size(_violations(df, table)) > 0
-    key = F.col(df.columns[0])
-    key_text = F.hex(key) if isinstance(df.schema[0].dataType, T.BinaryType) else key.cast("string")
-    return df.filter(F.when(bad, F.raise_error(
-        F.concat(F.lit(f"{table}: declared limit broken for key "), key_text)).cast("boolean")
-    ).otherwise(F.lit(True)))
+    bad = _any_violation(df, table)
+    first = df.schema.fields[0]
+    key = F.col(first.name)
+    key_text = F.hex(key) if isinstance(first.dataType, T.BinaryType) else key.cast("string")
+    checked = F.when(bad, F.raise_error(
+        F.concat(F.lit(f"{table}: declared limit broken for key "), key_text)
+    ).cast(first.dataType)).otherwise(key)
+    return df.withColumn(first.name, checked)
