@@ -126,3 +126,20 @@ def test_sql_views_match_dataframe_queries(spark, raw):
     from gavlake.operators.views import ga_latest
     assert spark.sql("SELECT count(*) FROM v_ga2ga").first()[0] == ga_latest(ga, gav).count()
     assert spark.sql("SELECT count(*) FROM v_artifactinfo2gav WHERE location_type = 2").first()[0] > 0
+
+
+def test_incremental_many_micro_batches(spark, raw):
+    """k files arriving in doc_ord order, one run with one file per micro-batch."""
+    full = full_plan(raw).artifactinfo
+    top = raw.agg(F.max("doc_ord")).first()[0]
+    root = scratch_path(spark, "incr-k")
+    src = f"{root}/in"
+    k = 4
+    for i in range(k):
+        lo, hi = top * i // k, top * (i + 1) // k
+        raw.filter((F.col("doc_ord") > lo) & (F.col("doc_ord") <= hi)).coalesce(1) \
+            .write.mode("append").parquet(src)
+    store = TableStore(spark, f"{root}/store")
+    rep = refresh(spark, src, store, f"{root}/ckpt", max_files_per_trigger=1)
+    assert rep.mode == "full" and len(rep.batches) == k
+    assert sorted(map(tuple, store.table("artifactinfo").collect())) == sorted(map(tuple, full.collect()))
