@@ -34,7 +34,8 @@ def recent_within(df: DataFrame, as_of=None, col: str = "last_modified") -> Data
     if as_of is None:
         bound = F.current_timestamp().cast(T.TimestampNTZType()) - F.expr("INTERVAL 1 YEAR")
     else:
-        bound = F.lit(one_year_before(as_of)).cast(T.TimestampNTZType())
+        # from ISO text: a string -> TIMESTAMP_NTZ cast does not depend on the session zone
+        bound = F.lit(one_year_before(as_of).isoformat(sep=" ")).cast(T.TimestampNTZType())
     return df.filter(F.col(col) > bound)
 
 
