@@ -16,14 +16,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import oracle
-from .functions.columns import content_key, key_hex
+from .functions.columns import is_binary_classifier, is_stable_version, key_hex
 from .functions.version import safe_long, shrink_to_digits, shrink_year, version_columns, version_tokens
 from .operators import analytics as A
-from .operators.derived import with_group_prefixes
 from .operators.quality import length_violations
-from .operators.records import first_wins_dedup, new_records, with_content_key
+from .operators.records import batch_is_small, first_wins_dedup, new_records, with_content_key
 from .operators.views import ga_latest, stable_binaries
-from .plans.pipeline import Tables, full_plan, load_plan, run_all, run_load
+from .schemas import DEFAULT_EXTENSIONS
+from .plans.pipeline import Tables, full_plan, run_all, run_load, run_refresh
 from .session import scratch_path
 from .sinks.tables import TableStore, export_json
 from .sources.fixture import raw_index
@@ -70,7 +70,7 @@ def q_live_records(spark, sf_dir):
     return live_records(raw_index(spark, sf_dir))
 
 
-def _stage_halves(spark, sf_dir) -> tuple[str, str]:
+def _stage_halves(spark, sf_dir) -> tuple[DataFrame, int, str]:
     """Write the raw index as two folders split at the middle ``doc_ord``."""
     raw = raw_index(spark, sf_dir)
     root = scratch_path(spark, "stage")
@@ -117,7 +117,6 @@ def q_append(spark, sf_dir):
 def _refreshed_store(spark, sf_dir) -> TableStore:
     store = _store(spark)
     run_all(spark, raw_index(spark, sf_dir), store)
-    from .plans.pipeline import run_refresh
     run_refresh(spark, store)  # second refresh replaces content write-then-swap
     return store
 
@@ -337,7 +336,6 @@ def q_coordinate_lookup(spark, sf_dir):
 @query("stable_versions")
 def q_stable_versions(spark, sf_dir):
     """Files whose version has none of the unstable words (FLT-4)."""
-    from .functions.columns import is_stable_version
     return tables(spark, sf_dir).gav.filter(is_stable_version("artifact_version")).select(
         "uinfo_md5", "artifact_version")
 
@@ -345,7 +343,6 @@ def q_stable_versions(spark, sf_dir):
 @query("binary_classifier")
 def q_binary_classifier(spark, sf_dir):
     """Files without classifier or with the binary one (FLT-5)."""
-    from .functions.columns import is_binary_classifier
     return tables(spark, sf_dir).gav.filter(is_binary_classifier("classifier")).select(
         "uinfo_md5", "classifier")
 
@@ -392,7 +389,6 @@ def q_stable_binaries(spark, sf_dir):
 @query("semi_in_samples")
 def q_semi_in_samples(spark, sf_dir):
     """Most revised artifacts with the extension list as a table (semi join) (JOIN-3)."""
-    from .schemas import DEFAULT_EXTENSIONS
     ext = spark.createDataFrame([(e,) for e in DEFAULT_EXTENSIONS], "extension string")
     return A.most_revised_artifacts(tables(spark, sf_dir).gav, oracle.AS_OF, ext)
 
@@ -412,7 +408,6 @@ def q_new_records(spark, sf_dir):
 def q_new_records_small_batch(spark, sf_dir):
     """Same as ``new_records`` through the small-batch path: the store's keys are
     filtered by a broadcast of the (size-checked) batch keys (JOIN-4)."""
-    from .operators.records import batch_is_small
     raw = raw_index(spark, sf_dir)
     live = with_content_key(live_records(raw))
     mid = raw.select(F.expr("max(doc_ord) div 2").alias("m")).scalar()
@@ -501,5 +496,3 @@ def q_limit_n(spark, sf_dir):
     """First page of 10 ``gav`` rows by key (LIM-1)."""
     return tables(spark, sf_dir).gav.orderBy("uinfo_md5").limit(10)
 
-
-__all__ = ["REGISTRY", "printable", "tables", "content_key", "load_plan", "with_group_prefixes"]

@@ -8,7 +8,6 @@ from __future__ import annotations
 
 import datetime as dt
 import decimal
-import hashlib
 import os
 import sys
 import time
