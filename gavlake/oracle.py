@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from .schemas import (
     AVAILABILITY_CODES,
+    COLUMN_LIMITS,
     DEFAULT_EXTENSIONS,
     DOWNLOAD_COMMAND_PREFIX,
     UNSTABLE_VERSION_WORDS,
@@ -382,7 +383,6 @@ def sql() -> dict[str, str]:
 
 
 def _length_violations_sql() -> str:
-    from .schemas import COLUMN_LIMITS
     arms = []
     for table, col, max_len, not_null in COLUMN_LIMITS:
         if table != "gav":
