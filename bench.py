@@ -31,8 +31,8 @@ from gavlake.sinks.tables import TableStore  # noqa: E402
 from gavlake.sources.fixture import raw_index  # noqa: E402
 
 
-def session(cpus: int) -> SparkSession:
-    scratch = tempfile.mkdtemp(prefix="gavlake-bench-")
+def session(cpus: int, scratch: str) -> SparkSession:
+    os.makedirs(f"{scratch}/eventlog", exist_ok=True)
     spark = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName("gavlake-bench")
@@ -45,16 +45,68 @@ def session(cpus: int) -> SparkSession:
         .config("spark.driver.memory", "16g")
         .config("spark.checkpoint.dir", f"{scratch}/checkpoint")
         .config("spark.sql.warehouse.dir", f"{scratch}/warehouse")
+        .config("spark.eventLog.enabled", "true")
+        .config("spark.eventLog.dir", f"{scratch}/eventlog")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 
 
-def timed(fn):
+def timed(fn, spark: SparkSession | None = None, step: str | None = None):
+    if spark is not None and step is not None:
+        spark.sparkContext.setJobDescription(f"bench:{step}")
     t0 = time.perf_counter()
     out = fn()
-    return out, time.perf_counter() - t0
+    dt = time.perf_counter() - t0
+    if spark is not None:
+        spark.sparkContext.setJobDescription(None)
+    return out, dt
+
+
+def _event_lines(eventlog_dir: str):
+    """Lines of all event-log files below ``eventlog_dir`` (plain or zstd, rolling or not)."""
+    for root, _, files in os.walk(eventlog_dir):
+        for name in sorted(files):
+            if name.startswith(".") or name.startswith("appstatus"):
+                continue
+            path = os.path.join(root, name)
+            if name.endswith(".zstd"):
+                import io
+
+                import zstandard
+                with open(path, "rb") as fh:
+                    reader = zstandard.ZstdDecompressor().stream_reader(fh)
+                    yield from io.TextIOWrapper(reader, encoding="utf-8")
+            else:
+                with open(path, encoding="utf-8") as fh:
+                    yield from fh
+
+
+def shuffle_by_step(eventlog_dir: str) -> dict[str, dict[str, int]]:
+    """Shuffle bytes written and stage count per bench step, from the event log."""
+    stage_step: dict[int, str] = {}
+    out: dict[str, dict[str, int]] = {}
+    for line in _event_lines(eventlog_dir):
+        if True:
+            if True:
+                ev = json.loads(line)
+                kind = ev.get("Event")
+                if kind == "SparkListenerJobStart":
+                    desc = (ev.get("Properties") or {}).get("spark.job.description") or ""
+                    if desc.startswith("bench:"):
+                        for sid in ev.get("Stage IDs", []):
+                            stage_step[sid] = desc[len("bench:"):]
+                elif kind == "SparkListenerStageCompleted":
+                    info = ev["Stage Info"]
+                    step = stage_step.get(info["Stage ID"])
+                    if step is None:
+                        continue
+                    acc = {a.get("Name"): a.get("Value") for a in info.get("Accumulables", [])}
+                    rec = out.setdefault(step, {"stages": 0, "shuffle_write_bytes": 0})
+                    rec["stages"] += 1
+                    rec["shuffle_write_bytes"] += int(acc.get("internal.metrics.shuffle.write.bytesWritten", 0) or 0)
+    return out
 
 
 def run_noop(df) -> None:
@@ -63,6 +115,7 @@ def run_noop(df) -> None:
 
 def pipeline(spark: SparkSession, sf_dir: str, times: dict[str, float] | None) -> dict:
     """Input preparation, load, refresh and the queries; timings go into ``times``."""
+    track = times is not None
     times = {} if times is None else times
     store = TableStore(spark, scratch_path(spark, "bench"))
 
@@ -72,9 +125,10 @@ def pipeline(spark: SparkSession, sf_dir: str, times: dict[str, float] | None) -
     n_raw = raw.count()
 
     # 1. load: dedup, version key, JSON -> artifactinfo
-    audit, times["load_artifactinfo"] = timed(lambda: run_load(spark, raw, store))
+    sp = spark if track else None
+    audit, times["load_artifactinfo"] = timed(lambda: run_load(spark, raw, store), sp, "load_artifactinfo")
     # 2. refresh: gav, g, ga (write-then-swap)
-    _, times["refresh_derived"] = timed(lambda: run_refresh(spark, store))
+    _, times["refresh_derived"] = timed(lambda: run_refresh(spark, store), sp, "refresh_derived")
 
     ai, gav, g, ga = (store.table(n) for n in ("artifactinfo", "gav", "g", "ga"))
     queries = {
@@ -94,14 +148,15 @@ def pipeline(spark: SparkSession, sf_dir: str, times: dict[str, float] | None) -
         "length_violations": lambda: length_violations(gav, "gav"),
     }
     for name, build in queries.items():
-        _, times[name] = timed(lambda b=build: run_noop(b()))
+        _, times[name] = timed(lambda b=build: run_noop(b()), sp, name)
     return {"raw_rows": n_raw, "artifactinfo_rows": audit[0][2]}
 
 
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    spark = session(cpus)
+    scratch = tempfile.mkdtemp(prefix="gavlake-bench-")
+    spark = session(cpus, scratch)
 
     # JIT / codegen warm-up on a smaller data set next to sf_dir (not timed); the
     # reference's figure is a long steady-state run
@@ -131,8 +186,12 @@ def main() -> None:
         "baseline_rows_per_sec": 2220,
         "cpus": cpus,
     }
-    print(json.dumps(out))
     spark.stop()
+    try:
+        out["shuffle"] = shuffle_by_step(f"{scratch}/eventlog")
+    except (OSError, ValueError, KeyError):
+        out["shuffle"] = None
+    print(json.dumps(out))
 
 
 if __name__ == "__main__":

@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from . import oracle
 from .functions.columns import is_binary_classifier, is_stable_version, key_hex
-from .functions.version import safe_long, shrink_to_digits, shrink_year, version_columns, version_tokens
+from .functions.version import safe_long, shrink_to_digits, shrink_year, version_tokens, with_version_key
 from .operators import analytics as A
 from .operators.quality import length_violations
 from .operators.records import batch_is_small, first_wins_dedup, new_records, with_content_key
@@ -198,15 +198,13 @@ def q_shrink_long(spark, sf_dir):
 @query("version_seq")
 def q_version_seq(spark, sf_dir):
     """Sortable version key per distinct version (PRJ-5)."""
-    return _distinct_versions(spark, sf_dir).select(
-        "version", version_columns(F.col("version"))[1].alias("version_seq"))
+    return with_version_key(_distinct_versions(spark, sf_dir)).select("version", "version_seq")
 
 
 @query("major_version")
 def q_major_version(spark, sf_dir):
     """Major version per distinct version (PRJ-6)."""
-    return _distinct_versions(spark, sf_dir).select(
-        "version", version_columns(F.col("version"))[0].alias("major_version"))
+    return with_version_key(_distinct_versions(spark, sf_dir)).select("version", "major_version")
 
 
 @query("length_features")
