@@ -90,11 +90,17 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
 
 
 def artifactinfo_from_records(live: DataFrame, store_keys: DataFrame | None = None,
-                              fix_signature: bool = False) -> DataFrame:
-    """Live index records -> new ``artifactinfo`` rows (dedup, skip stored, project)."""
+                              fix_signature: bool = False,
+                              small_batch: bool | None = None) -> DataFrame:
+    """Live index records -> new ``artifactinfo`` rows (dedup, skip stored, project).
+
+    ``small_batch`` (checked here when not given) selects the broadcast path of the
+    skip-stored step.
+    """
     keyed = with_content_key(live)
     deduped = first_wins_dedup(keyed)
     if store_keys is not None:
-        deduped = new_records(deduped, store_keys, small_batch=batch_is_small(live),
-                              batch_keys=keyed)
+        if small_batch is None:
+            small_batch = batch_is_small(live)
+        deduped = new_records(deduped, store_keys, small_batch=small_batch, batch_keys=keyed)
     return conform(to_artifactinfo(deduped, fix_signature=fix_signature), ARTIFACTINFO)

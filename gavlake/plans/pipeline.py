@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from ..operators.derived import flatten_gav, group_artifact_rollup, group_rollup
 from ..operators.quality import enforce_limits, split_valid
-from ..operators.records import artifactinfo_from_records
+from ..operators.records import artifactinfo_from_records, batch_is_small
 from ..sinks.tables import TableStore
 from ..sources.index import live_records
 
@@ -35,9 +35,14 @@ class Tables:
 
 def load_plan(raw: DataFrame, store_keys: DataFrame | None = None, fix_signature: bool = False,
               observation: Observation | None = None) -> DataFrame:
-    """Raw index -> new ``artifactinfo`` rows (lazy)."""
+    """Raw index -> new ``artifactinfo`` rows (lazy, apart from the batch-size check).
+
+    The size check runs on the plan without the observation, so the observed counts
+    always come from the real load, never from the (possibly cut short) check.
+    """
+    small = batch_is_small(live_records(raw)) if store_keys is not None else None
     return artifactinfo_from_records(live_records(raw, observation), store_keys,
-                                     fix_signature=fix_signature)
+                                     fix_signature=fix_signature, small_batch=small)
 
 
 def derive_plan(artifactinfo: DataFrame) -> Tables:
