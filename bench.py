@@ -1,6 +1,6 @@
 """Benchmark: full load + refresh + the analysis queries, on one scale factor.
 
-Runs the pipeline the way it is used: the raw index is prepared once as the input
+Runs the load and refresh the way they are used: the raw index is prepared once as the input
 (derived from lineitem/part, timed separately), then ``artifactinfo`` is loaded from
 it, the derived tables are refreshed (``gav``, ``g``, ``ga``; write-then-swap) and the
 views and sample queries run over the stored tables. Each query is executed in full with the ``noop`` sink (no collect).
@@ -25,7 +25,7 @@ from gavlake import oracle  # noqa: E402
 from gavlake.operators import analytics as A  # noqa: E402
 from gavlake.operators.quality import length_violations  # noqa: E402
 from gavlake.operators.views import ga_latest, stable_binaries  # noqa: E402
-from gavlake.plans.pipeline import run_load, run_refresh  # noqa: E402
+from gavlake.plans.etl import run_load, run_refresh  # noqa: E402
 from gavlake.session import scratch_path  # noqa: E402
 from gavlake.sinks.tables import TableStore  # noqa: E402
 from gavlake.sources.fixture import raw_index  # noqa: E402
@@ -113,7 +113,7 @@ def run_noop(df) -> None:
     df.write.format("noop").mode("overwrite").save()
 
 
-def pipeline(spark: SparkSession, sf_dir: str, times: dict[str, float] | None) -> dict:
+def bench_pass(spark: SparkSession, sf_dir: str, times: dict[str, float] | None) -> dict:
     """Input preparation, load, refresh and the queries; timings go into ``times``."""
     track = times is not None
     times = {} if times is None else times
@@ -162,10 +162,10 @@ def main() -> None:
     # reference's figure is a long steady-state run
     warm = os.path.join(os.path.dirname(sf_dir), os.environ.get("BENCH_WARMUP_SF", "sf0.01"))
     if os.path.isdir(warm) and os.path.abspath(warm) != os.path.abspath(sf_dir):
-        pipeline(spark, warm, None)
+        bench_pass(spark, warm, None)
 
     times: dict[str, float] = {}
-    info = pipeline(spark, sf_dir, times)
+    info = bench_pass(spark, sf_dir, times)
 
     # The headline value counts the reference's work: load, refresh and the queries.
     # Input preparation (deriving index records from lineitem/part) has no counterpart

@@ -23,7 +23,7 @@ from .operators.quality import length_violations
 from .operators.records import batch_is_small, first_wins_dedup, new_records, with_content_key
 from .operators.views import ga_latest, stable_binaries
 from .schemas import DEFAULT_EXTENSIONS
-from .plans.pipeline import Tables, full_plan, run_all, run_load, run_refresh
+from .plans.etl import Tables, full_plan, run_all, run_load, run_refresh
 from .session import scratch_path
 from .sinks.tables import TableStore, export_json
 from .sources.fixture import raw_index

@@ -1,6 +1,6 @@
 """Index records derived from the driver's TPC-H-like tables (``lineitem JOIN part``).
 
-The real input of the pipeline is a table of decoded index documents (``raw_index``).
+The real input of the load is a table of decoded index documents (``raw_index``).
 The test data carries none, so this module derives one, deterministically and at the
 scale of ``lineitem``; the rules are listed in FIXTURES.md §2.
 

@@ -19,7 +19,7 @@ from gavlake.operators.derived import flatten_gav, group_artifact_rollup, group_
 from gavlake.operators.quality import enforce_limits, length_violations, split_valid
 from gavlake.operators.records import artifactinfo_from_records
 from gavlake.operators.views import extension_filter, ga_latest, stable_binaries
-from gavlake.plans.pipeline import full_plan
+from gavlake.plans.etl import full_plan
 from gavlake.schemas import ARTIFACTINFO, GAV, RAW_INDEX
 
 

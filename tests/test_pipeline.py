@@ -5,7 +5,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from gavlake.plans.pipeline import full_plan, run_all, run_load, run_refresh
+from gavlake.plans.etl import full_plan, run_all, run_load, run_refresh
 from gavlake.session import scratch_path
 from gavlake.sinks.tables import TableStore
 from gavlake.sources.fixture import raw_index

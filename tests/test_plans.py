@@ -11,7 +11,7 @@ from gavlake.operators import analytics as A
 from gavlake.operators.derived import group_artifact_rollup, group_rollup
 from gavlake.operators.records import first_wins_dedup, new_records
 from gavlake.operators.views import stable_binaries
-from gavlake.plans.pipeline import run_all
+from gavlake.plans.etl import run_all
 from gavlake.session import scratch_path
 from gavlake.sinks.tables import TableStore
 from gavlake.sources.fixture import raw_index

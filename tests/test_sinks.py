@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 
-from gavlake.plans.pipeline import full_plan
+from gavlake.plans.etl import full_plan
 from gavlake.schemas import TABLES
 from gavlake.session import scratch_path
 from gavlake.sinks.tables import TableStore, export_json
