@@ -147,7 +147,10 @@ def test_json_keys_and_rows(spark):
     assert [(r.rowid, r.groupId) for r in rows] == [(1, None), (1, "g"), (1, "h"), (2, "i")]
 
 
-def _gav(spark, rows):
+def _gav(spark, rows, nullable=False):
+    from pyspark.sql import types as T
+    schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in GAV.fields]) \
+        if nullable else GAV
     full = []
     for i, r in enumerate(rows):
         d = dict(uinfo_md5=i.to_bytes(16, "big"), uinfo_length=5, uinfo=f"u{i}", group_id="g",
@@ -157,7 +160,7 @@ def _gav(spark, rows):
                  file_extension="jar", packaging="jar", name=None, description=None)
         d.update(r)
         full.append(tuple(d[f.name] for f in GAV.fields))
-    return spark.createDataFrame(full, GAV)
+    return spark.createDataFrame(full, schema)
 
 
 def test_rollups_and_fan_out(spark):
@@ -251,3 +254,18 @@ def test_ga_latest_unmatched_rows(spark):
         spark.createDataFrame([("g", "zz", 1, 1, None, None)], group_artifact_rollup(gav).schema))
     out = {r.artifact_id: (r.name, r.description) for r in ga_latest(ga, gav).collect()}
     assert out == {"a": ("x", "a"), "zz": ("zz", "zz")}
+
+
+def test_every_declared_limit_at_and_above(spark):
+    from gavlake.schemas import COLUMN_LIMITS
+    limits = [(c, n) for t, c, n, _ in COLUMN_LIMITS if t == "gav" and n is not None]
+    rows = []
+    for col, n in limits:
+        rows.append({col: "x" * n})        # at the limit: fine
+        rows.append({col: "y" * (n + 1)})  # one above: reported
+    gav = _gav(spark, rows)
+    got = sorted((r.column_name, r.rule, r.actual_length) for r in length_violations(gav, "gav").collect())
+    assert got == sorted((c, f"max_length_{n}", n + 1) for c, n in limits)
+    nulls = _gav(spark, [{c: None} for t, c, n, nn in COLUMN_LIMITS if t == "gav" and nn], nullable=True)
+    got = sorted(r.column_name for r in length_violations(nulls, "gav").filter("rule = 'not_null'").collect())
+    assert got == sorted(c for t, c, n, nn in COLUMN_LIMITS if t == "gav" and nn)
