@@ -158,39 +158,43 @@ def dense_order(df: DataFrame, order_cols: list[str] | tuple[str, ...], out: str
     """Add ``out`` = dense 1-based row position of each row in the order ``order_cols``.
 
     The order must be total (no ties), otherwise positions of tied rows are arbitrary.
-    Rows are range-partitioned over ``num_partitions`` tasks (range partitioning splits
-    even a hot leading key, because the key is total), sorted within partitions and
-    tagged with ``monotonically_increasing_id`` (partition index in the high bits,
-    position in the low bits). That result is written once to the shared checkpoint
+    Rows are range-partitioned (``num_partitions`` tasks, or the session's shuffle
+    partitions coalesced by AQE to its advisory size; range partitioning splits even a
+    hot leading key, because the key is total), sorted within partitions and tagged
+    with ``monotonically_increasing_id`` (partition index in the high bits, position
+    in the low bits). That result is written once to the shared checkpoint
     folder: counts and positions must come from the same evaluation (a second
     evaluation could sample other range bounds). Only the per-partition counts are
-    broadcast, one row per partition, a size fixed by ``num_partitions``.
+    broadcast, one row per partition: bounded by the partition count.
 
     ``project`` (DataFrame -> DataFrame, row-wise) is applied after the sort, so costly
     columns are computed once, not also in the sampling pass of the range partitioner,
     and do not travel through the shuffle.
     """
     spark = df.sparkSession
-    if num_partitions is None:
-        num_partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     path = scratch_path(spark, "dense_order")
-    ordered = df.repartitionByRange(num_partitions, *order_cols).sortWithinPartitions(*order_cols)
+    # Without an explicit count AQE may coalesce adjacent range partitions to its
+    # advisory size; that keeps the order, and counts and positions are both taken
+    # from the one written result.
+    ranged = (df.repartitionByRange(num_partitions, *order_cols) if num_partitions
+              else df.repartitionByRange(*order_cols))
+    ordered = ranged.sortWithinPartitions(*order_cols)
     if project is not None:
         ordered = project(ordered)
     ordered.withColumn("_mono", F.monotonically_increasing_id()).write.parquet(path)
-    ranged = (
+    numbered = (
         spark.read.parquet(path)
         .withColumn("_pid", F.shiftright("_mono", _MONO_ID_SHIFT))
         .withColumn("_pos", F.col("_mono") - F.shiftleft(F.col("_pid"), _MONO_ID_SHIFT))
     )
-    counts = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
+    counts = numbered.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     offsets = counts.select(
         "_pid",
         (F.sum("_n").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1))
          ).alias("_off"),
     )
     return (
-        ranged.join(F.broadcast(offsets), "_pid", "left")
+        numbered.join(F.broadcast(offsets), "_pid", "left")
         .withColumn(out, (F.coalesce(F.col("_off"), F.lit(0)) + F.col("_pos") + 1).cast("long"))
         .drop("_mono", "_pid", "_pos", "_off")
     )
