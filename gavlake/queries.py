@@ -71,7 +71,8 @@ def q_live_records(spark, sf_dir):
 
 
 def _stage_halves(spark, sf_dir) -> tuple[DataFrame, int, str]:
-    """Write the raw index as two folders split at the middle ``doc_ord``."""
+    """Materialise the raw index once; return it with its middle ``doc_ord`` and the
+    staging folder."""
     raw = raw_index(spark, sf_dir)
     root = scratch_path(spark, "stage")
     raw.write.parquet(f"{root}/all")
@@ -92,7 +93,8 @@ def q_incremental_refresh(spark, sf_dir):
     staged.filter(F.col("doc_ord") > mid).write.mode("append").parquet(src)
     second = refresh(spark, src, store, ckpt)
     third = refresh(spark, src, store, ckpt)  # nothing new: appends nothing
-    assert first.mode == "full" and second.mode == "incremental" and third.rows_appended == 0
+    if not (first.mode == "full" and second.mode == "incremental" and third.rows_appended == 0):
+        raise RuntimeError(f"incremental refresh misbehaved: {first}, {second}, {third}")
     return store.table("artifactinfo")
 
 
@@ -410,7 +412,8 @@ def q_new_records_small_batch(spark, sf_dir):
     live = with_content_key(live_records(raw))
     mid = raw.select(F.expr("max(doc_ord) div 2").alias("m")).scalar()
     stored = live.filter(F.col("doc_ord") <= mid).select("uinfo_md5")
-    assert batch_is_small(live)
+    if not batch_is_small(live):
+        raise RuntimeError("batch above the broadcast bound; use new_records")
     return new_records(first_wins_dedup(live), stored, small_batch=True, batch_keys=live).select(
         "uinfo_md5", "uinfo")
 
