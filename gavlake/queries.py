@@ -401,20 +401,20 @@ def q_new_records(spark, sf_dir):
     # the first half is cut at the middle index position (a scalar subquery)
     mid = raw.select(F.expr("max(doc_ord) div 2").alias("m")).scalar()
     stored = live.filter(F.col("doc_ord") <= mid).select("uinfo_md5")
-    return new_records(first_wins_dedup(live), stored).select("uinfo_md5", "uinfo")
+    # hash-partitioned anti join (the path for batches above the broadcast bound)
+    return new_records(first_wins_dedup(live), stored, small_batch=False).select("uinfo_md5", "uinfo")
 
 
 @query("new_records_small_batch")
 def q_new_records_small_batch(spark, sf_dir):
-    """Same as ``new_records`` through the small-batch path: the store's keys are
-    filtered by a broadcast of the (size-checked) batch keys (JOIN-4)."""
+    """Same as ``new_records`` with the path chosen by the batch-size check: below the
+    bound the store's keys are filtered by a broadcast of the batch keys (JOIN-4)."""
     raw = raw_index(spark, sf_dir)
     live = with_content_key(live_records(raw))
     mid = raw.select(F.expr("max(doc_ord) div 2").alias("m")).scalar()
     stored = live.filter(F.col("doc_ord") <= mid).select("uinfo_md5")
-    if not batch_is_small(live):
-        raise RuntimeError("batch above the broadcast bound; use new_records")
-    return new_records(first_wins_dedup(live), stored, small_batch=True, batch_keys=live).select(
+    return new_records(first_wins_dedup(live), stored, small_batch=batch_is_small(live),
+                       batch_keys=live).select(
         "uinfo_md5", "uinfo")
 
 
