@@ -20,7 +20,8 @@ import re
 import time
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schemas import TABLES
@@ -90,20 +91,29 @@ class TableStore:
             cols = f"({ddl}) " if ddl else ""
             self.spark.sql(f"CREATE TABLE {q} {cols}USING parquet LOCATION '{path}'")
 
-    def overwrite(self, df: DataFrame, name: str) -> str:
-        """Write-then-swap replacement of the table's content (SNK-2)."""
+    @staticmethod
+    def _counted(df: DataFrame) -> tuple[DataFrame, Observation]:
+        """Count the written rows as a side effect of the write job (no extra pass)."""
+        obs = Observation()
+        return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
+
+    def overwrite(self, df: DataFrame, name: str) -> int:
+        """Write-then-swap replacement of the table's content (SNK-2); returns the rows."""
         path = self._new_folder(name)
+        df, obs = self._counted(df)
         self._writer(df, name).mode("errorifexists").save(path)
         self._point(name, path, df.schema)
-        return path
+        return int(obs.get.get("rows", 0))
 
-    def append(self, df: DataFrame, name: str) -> None:
-        """Append with one write job; creates the table on first use (SNK-1)."""
+    def append(self, df: DataFrame, name: str) -> int:
+        """Append with one write job; creates the table on first use (SNK-1); returns the
+        rows appended."""
         if not self.exists(name):
-            self.overwrite(df, name)
-            return
+            return self.overwrite(df, name)
+        df, obs = self._counted(df)
         self._writer(df, name).mode("append").save(self.location(name))
         self.spark.sql(f"REFRESH TABLE {self.qualified(name)}")
+        return int(obs.get.get("rows", 0))
 
     def declare(self, names=("artifactinfo", "gav", "g", "ga")) -> None:
         """Create empty tables with the declared schemas, when missing (SNK-3)."""
