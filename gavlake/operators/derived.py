@@ -8,17 +8,18 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.columns import epoch_ms_to_datetime, fix_extension, group_prefix, sha1_prefix
-from ..schemas import EXTENSION_FIXES, G, GA, GAV, RECORD_JSON_READ
+from ..schemas import EXTENSION_FIXES, G, GA, GAV, GAV_JSON_READ
 from .records import conform
 
 
 def flatten_gav(artifactinfo: DataFrame, fixes=EXTENSION_FIXES) -> DataFrame:
-    """``artifactinfo`` -> ``gav``: parse the JSON once, take typed fields, apply fixes.
+    """``artifactinfo`` -> ``gav``: parse the JSON once (only the fields ``gav`` uses),
+    take typed fields, apply fixes.
 
     Numbers are read as text and converted with ``try_cast`` so that quoted numbers are
     accepted; a value that is not a number becomes NULL instead of failing the job.
     """
-    parsed = artifactinfo.select("*", F.from_json("json", RECORD_JSON_READ).alias("_r"))
+    parsed = artifactinfo.select("*", F.from_json("json", GAV_JSON_READ).alias("_r"))
     r = lambda f: F.col(f"_r.{f}")
     out = parsed.select(
         "uinfo_md5", "uinfo_length", "uinfo",

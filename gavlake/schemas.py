@@ -93,6 +93,11 @@ RECORD_JSON_READ = T.StructType(
     [T.StructField(n, T.StringType(), True) for n, _ in RECORD_FIELDS]
 )
 
+# The record fields the flattened table uses (the parse skips the others).
+GAV_JSON_FIELDS = ("groupId", "artifactId", "version", "classifier", "fileExtension",
+                   "packaging", "name", "description", "lastModified", "size", "sha1")
+GAV_JSON_READ = T.StructType([f for f in RECORD_JSON_READ.fields if f.name in GAV_JSON_FIELDS])
+
 ARTIFACTINFO = T.StructType([
     T.StructField("uinfo_md5", T.BinaryType(), False),
     T.StructField("major_version", T.IntegerType(), True),
