@@ -46,9 +46,11 @@ def _any_violation(df: DataFrame, table: str) -> F.Column:
 def length_violations(df: DataFrame, table: str, key: str = "uinfo_md5") -> DataFrame:
     """One row per (record, broken limit): key, table, column, rule, actual length.
 
-    A single pass over the table; no per-rule scan.
+    A single pass over the table; no per-rule scan. The cheap combined test runs first,
+    so the per-rule detail is only built for the (rare) rows that break a limit.
     """
-    return df.select(F.col(key), F.explode(_violations(df, table)).alias("v")).select(
+    bad = df.filter(_any_violation(df, table))
+    return bad.select(F.col(key), F.explode(_violations(bad, table)).alias("v")).select(
         F.lower(F.hex(F.col(key))).alias(key), F.lit(table).alias("table_name"),
         "v.column_name", "v.rule", "v.actual_length")
 
