@@ -139,8 +139,9 @@ def bench_pass(spark: SparkSession, sf_dir: str, times: dict[str, float] | None)
     delta_root = scratch_path(spark, "bench-delta")
     raw.filter(F.col("doc_ord") > top - top // 100).write.parquet(f"{delta_root}/in")
     rep, times["incremental_refresh_1pct"] = timed(
-        lambda: refresh(spark, f"{delta_root}/in", store, f"{delta_root}/ckpt"), sp,
-        "incremental_refresh_1pct")
+        lambda: refresh(spark, f"{delta_root}/in", store, f"{delta_root}/ckpt",
+                        job_description="bench:incremental_refresh_1pct" if track else None),
+        sp, "incremental_refresh_1pct")
     assert rep.mode == "incremental" and rep.rows_appended == 0
 
     ai, gav, g, ga = (store.table(n) for n in ("artifactinfo", "gav", "g", "ga"))
