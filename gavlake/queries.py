@@ -60,7 +60,11 @@ def _store(spark: SparkSession) -> TableStore:
 # ---------------------------------------------------------------- sources, sinks
 @query("index_scan")
 def q_index_scan(spark, sf_dir):
-    """All index documents in document order (SRC-1)."""
+    """All index documents with their dense document position ``doc_ord`` (SRC-1).
+
+    The stored files are range-partitioned and sorted by that order, so reading them
+    yields documents in order within each file; no global sort is added.
+    """
     return raw_index(spark, sf_dir)
 
 
