@@ -1,0 +1,24 @@
+"""gavlake: artifact-index ETL and analytics on Spark DataFrames.
+
+Main entry points:
+
+* ``build_session`` - a session with the settings the package expects;
+* ``read_index`` / ``raw_index`` - the raw index (from files, or derived from the test tables);
+* ``TableStore`` - catalog tables with append and write-then-swap overwrite;
+* ``run_all`` / ``run_load`` / ``run_refresh`` - full load and derived-table refresh;
+* ``refresh`` - incremental load with Structured Streaming;
+* ``register_views`` - the tables and views for ``spark.sql``.
+"""
+
+from .plans.catalog import register_views
+from .plans.etl import full_plan, run_all, run_load, run_refresh
+from .session import build_session
+from .sinks.tables import TableStore
+from .sources.fixture import raw_index
+from .sources.index import read_index
+from .streaming.incremental import refresh
+
+__all__ = [
+    "TableStore", "build_session", "full_plan", "raw_index", "read_index", "refresh",
+    "register_views", "run_all", "run_load", "run_refresh",
+]
