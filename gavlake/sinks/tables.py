@@ -28,6 +28,8 @@ from ..schemas import TABLES
 
 # Sort columns within written files, per table.
 SORT_COLUMNS = {
+    # the dedup already yields key order within partitions, so this sort is free
+    "artifactinfo": ("uinfo_md5",),
     "gav": ("group_id", "artifact_id", "artifact_version"),
     "g": ("group_id",),
     "ga": ("group_id", "artifact_id"),
@@ -40,6 +42,8 @@ class TableStore:
     def __init__(self, spark: SparkSession, root: str, database: str | None = None,
                  max_records_per_file: int | None = None):
         self.spark = spark
+        if "'" in root:
+            raise ValueError(f"quote in store path {root!r}")
         self.root = root.rstrip("/")
         self.database = database or "gavlake_" + uuid.uuid4().hex[:12]
         if not re.fullmatch(r"[A-Za-z_][A-Za-z0-9_]*", self.database):
