@@ -30,9 +30,10 @@ def first_wins_dedup(records: DataFrame, key: str = KEY, order: str = "doc_ord")
             .filter(F.col("_rn") == 1).drop("_rn"))
 
 
-# Largest number of batch rows whose keys are broadcast to filter the store (16-byte keys:
-# a 4M-row batch is a hash relation of well under 200 MB).
-MAX_BROADCAST_KEYS = 4_000_000
+# Largest number of batch rows whose keys are broadcast to filter the store. A 16-byte key
+# costs about 50 bytes in a broadcast hash relation, so 2M keys stay near 100 MB, which a
+# default driver can build. Bigger batches take the hash-partitioned anti join (same result).
+MAX_BROADCAST_KEYS = 2_000_000
 
 
 def batch_is_small(batch: DataFrame, limit: int = MAX_BROADCAST_KEYS) -> bool:

@@ -81,3 +81,8 @@ def test_small_batch_does_not_shuffle_the_store(spark, store):
     assert "LeftSemi" in p and "LeftAnti" in p
     # the only scan of the store not under a limit is read without an exchange above it
     assert "SortMergeJoin" not in p
+
+
+def test_key_lookup_pushes_binary_equality(store):
+    p = plan(A.find_by_md5(store.table("artifactinfo"), oracle.LOOKUP_UINFO))
+    assert re.search(r"PushedFilters: \[[^\]]*EqualTo\(uinfo_md5", p), p
