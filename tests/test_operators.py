@@ -269,3 +269,19 @@ def test_every_declared_limit_at_and_above(spark):
     nulls = _gav(spark, [{c: None} for t, c, n, nn in COLUMN_LIMITS if t == "gav" and nn], nullable=True)
     got = sorted(r.column_name for r in length_violations(nulls, "gav").filter("rule = 'not_null'").collect())
     assert got == sorted(c for t, c, n, nn in COLUMN_LIMITS if t == "gav" and nn)
+
+
+def test_full_record_with_nested_keys(spark):
+    """A record with all 18 keys, incl. nested ones the tables do not use."""
+    doc = ('{"groupId":"g","artifactId":"a","version":"1.0","classifier":null,'
+           '"fileExtension":"jar","packaging":"jar","name":"n","description":"d",'
+           '"lastModified":1700000000500,"size":5,"sha1":"' + "a" * 40 + '",'
+           '"repository":"central","sourcesExists":"PRESENT","javadocExists":"NOT_PRESENT",'
+           '"signatureExists":"NOT_AVAILABLE","attributes":{"k":"v"},"context":"ctx",'
+           '"matchHighlights":[]}')
+    ai = _ai_with_json(spark, [doc])
+    row = flatten_gav(ai).first()
+    assert (row.group_id, row.artifact_version, row.size, row.classifier) == ("g", "1.0", 5, None)
+    assert row.last_modified == dt.datetime(2023, 11, 14, 22, 13, 21)
+    keys = [r.json_key for r in A.distinct_json_keys(ai).collect()]
+    assert len(keys) == 18 and {"attributes", "context", "matchHighlights"} <= set(keys)
