@@ -55,6 +55,11 @@ def length_violations(df: DataFrame, table: str, key: str = "uinfo_md5") -> Data
         "v.column_name", "v.rule", "v.actual_length")
 
 
+def with_reject_flag(df: DataFrame, table: str, flag: str = "rejected") -> DataFrame:
+    """Quarantine mode as one column: ``flag`` is true for rows breaking a limit."""
+    return df.withColumn(flag, _any_violation(df, table))
+
+
 def split_valid(df: DataFrame, table: str) -> tuple[DataFrame, DataFrame]:
     """Quarantine mode: (rows within all limits, rows breaking at least one)."""
     flagged = df.withColumn("_bad", _any_violation(df, table))

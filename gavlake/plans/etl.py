@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import types as T
 
 from ..operators.derived import flatten_gav, group_artifact_rollup, group_rollup
-from ..operators.quality import enforce_limits, split_valid
+from ..operators.quality import enforce_limits, with_reject_flag
 from ..operators.records import artifactinfo_from_records, batch_is_small
 from ..sinks.tables import TableStore
 from ..sources.index import live_records
@@ -81,13 +81,15 @@ def run_refresh(spark: SparkSession, store: TableStore, limits: str = "fail") ->
     gav_new = flatten_gav(store.table("artifactinfo"))
     rejected = 0
     if limits == "fail":
-        gav_new = enforce_limits(gav_new, "gav")
+        written = store.overwrite(enforce_limits(gav_new, "gav"), "gav")
     elif limits == "quarantine":
-        gav_new, bad = split_valid(gav_new, "gav")
-        rejected = store.overwrite(bad, "gav_rejects")
-    elif limits != "off":
+        # one job, one JSON parse: the write is split by the reject flag
+        written, rejected = store.overwrite_split(
+            with_reject_flag(gav_new, "gav", "rejected"), "rejected", "gav", "gav_rejects")
+    elif limits == "off":
+        written = store.overwrite(gav_new, "gav")
+    else:
         raise ValueError(f"limits must be fail, quarantine or off, not {limits!r}")
-    written = store.overwrite(gav_new, "gav")
     audit.append(("refresh", "gav", written, rejected, time.time() - t0))
     gav = store.table("gav")
     for name, build in (("g", group_rollup), ("ga", group_artifact_rollup)):

@@ -109,6 +109,32 @@ class TableStore:
         self._point(name, path, df.schema)
         return int(obs.get.get("rows", 0))
 
+    def overwrite_split(self, df: DataFrame, flag: str, name_false: str, name_true: str
+                        ) -> tuple[int, int]:
+        """Write-then-swap of two tables from one job: rows with ``flag`` false go to
+        ``name_false``, true to ``name_true`` (one pass over ``df``, e.g. one JSON parse).
+
+        The write is partitioned by the flag; each table then points at its folder.
+        Returns the row counts (false, true).
+        """
+        path = self._new_folder(name_false)
+        data_cols = [c for c in df.columns if c != flag]
+        obs = Observation()
+        counted = df.observe(obs, F.count_if(~F.col(flag)).alias("n_false"),
+                             F.count_if(F.col(flag)).alias("n_true"))
+        counted = counted.withColumn(flag, F.when(F.col(flag), F.lit("1")).otherwise(F.lit("0")))
+        # flag first, so the writer's ordering on the partition column is already met
+        sort = [flag] + [c for c in SORT_COLUMNS.get(name_false, ()) if c in data_cols]
+        w = counted.sortWithinPartitions(*sort).write.format("parquet")
+        if self.max_records_per_file:
+            w = w.option("maxRecordsPerFile", self.max_records_per_file)
+        w.partitionBy(flag).mode("errorifexists").save(path)
+        schema = df.select(*data_cols).schema
+        self._point(name_false, f"{path}/{flag}=0", schema)
+        self._point(name_true, f"{path}/{flag}=1", schema)
+        m = obs.get
+        return int(m.get("n_false", 0)), int(m.get("n_true", 0))
+
     def append(self, df: DataFrame, name: str) -> int:
         """Append with one write job; creates the table on first use (SNK-1); returns the
         rows appended."""
