@@ -188,3 +188,13 @@ def test_doc_ord_is_reproducible(spark):
                     project=record_columns)
     cols = ["doc_ord", "uinfo", "lastModified"]
     assert sorted(map(tuple, a.select(cols).collect())) == sorted(map(tuple, b.select(cols).collect()))
+
+
+def test_stream_from_json_lines(spark, raw):
+    root = scratch_path(spark, "json-stream")
+    raw.write.json(f"{root}/in")
+    store = TableStore(spark, f"{root}/store")
+    rep = refresh(spark, f"{root}/in", store, f"{root}/ckpt", source_format="json")
+    full = full_plan(raw).artifactinfo
+    assert rep.rows_appended == full.count()
+    assert _keys(store.table("artifactinfo")) == _keys(full)
