@@ -16,15 +16,20 @@ from pyspark.sql import SparkSession
 _CHECKPOINT_KEY = "spark.checkpoint.dir"
 
 
-def build_session(master: str | None = None, shuffle_partitions: int = 8,
+def build_session(master: str | None = None, shuffle_partitions: int | None = None,
                   app_name: str = "gavlake") -> SparkSession:
-    """Session with the settings the package expects (AQE on, UTC, no UI)."""
+    """Session with the settings the package expects (AQE on, UTC, no UI).
+
+    For a local master the shuffle partitions default to 8; on a cluster the cluster's
+    own setting is kept unless ``shuffle_partitions`` is given.
+    """
     master = master or os.environ.get("GAVLAKE_MASTER", "local[8]")
+    if shuffle_partitions is None and master.startswith("local"):
+        shuffle_partitions = 8
     builder = (
         SparkSession.builder.master(master)
         .appName(app_name)
         .config("spark.ui.enabled", "false")
-        .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
@@ -32,6 +37,8 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
         .config("spark.driver.memory", os.environ.get("GAVLAKE_DRIVER_MEMORY", "16g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
+    if shuffle_partitions is not None:
+        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     scratch_root(spark)
@@ -39,11 +46,17 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The shared checkpoint folder of the session; created only when unset."""
+    """The shared checkpoint folder of the session.
+
+    Read from the session; only a local session without one gets a temporary folder.
+    """
     current = spark.conf.get(_CHECKPOINT_KEY, None)
     if not current:
         current = spark.sparkContext.getCheckpointDir()
     if not current:
+        if not spark.sparkContext.master.startswith("local"):
+            # a machine-local folder is not visible to the executors of a cluster
+            raise RuntimeError("set spark.checkpoint.dir to a folder on shared storage")
         current = tempfile.mkdtemp(prefix="gavlake-ckpt-")
         spark.conf.set(_CHECKPOINT_KEY, current)
     if spark.sparkContext.getCheckpointDir() is None:
