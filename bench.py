@@ -28,7 +28,7 @@ from gavlake.operators import analytics as A  # noqa: E402
 from gavlake.operators.quality import length_violations  # noqa: E402
 from gavlake.operators.views import ga_latest, stable_binaries  # noqa: E402
 from gavlake.plans.etl import run_load, run_refresh  # noqa: E402
-from gavlake.session import scratch_path  # noqa: E402
+from gavlake.session import scratch_path, scratch_root  # noqa: E402
 from gavlake.sinks.tables import TableStore  # noqa: E402
 from gavlake.sources.fixture import raw_index  # noqa: E402
 from gavlake.streaming.incremental import refresh  # noqa: E402
@@ -46,13 +46,13 @@ def session(cpus: int, scratch: str) -> SparkSession:
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "16g")
-        .config("spark.checkpoint.dir", f"{scratch}/checkpoint")
         .config("spark.sql.warehouse.dir", f"{scratch}/warehouse")
         .config("spark.eventLog.enabled", "true")
         .config("spark.eventLog.dir", f"{scratch}/eventlog")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
+    scratch_root(spark)  # the session's spark.checkpoint.dir; a local one only if unset
     return spark
 
 
