@@ -47,6 +47,18 @@ SAMPLE_SQL = {
     "bad_checksums": """
         SELECT *, hex(uinfo_md5) AS uinfo_md5_hex FROM artifactinfo
         WHERE octet_length(get_json_object(json, '$.sha1')) > 40""",
+    "json_keys": """
+        SELECT uinfo_md5, json_object_keys(json) AS json_keys FROM artifactinfo
+        ORDER BY uinfo_md5 LIMIT 100""",
+    "json_rows_lateral": """
+        SELECT uinfo_md5, CAST(pos + 1 AS INT) AS rowid, r.groupId AS groupId
+        FROM artifactinfo
+        LATERAL VIEW posexplode(from_json(
+            CASE WHEN startswith(ltrim(json), '[') THEN json ELSE concat('[', json, ']') END,
+            'array<struct<groupId:string>>')) t AS pos, r
+        ORDER BY uinfo_md5, rowid LIMIT 100""",
+    "hex_key": """
+        SELECT hex(uinfo_md5) AS uinfo_md5_hex, uinfo FROM artifactinfo""",
 }
 
 

@@ -118,6 +118,9 @@ def test_sql_views_match_dataframe_queries(spark, raw):
         "distinct_json_keys": A.distinct_json_keys(ai),
         "max_checksum_length": A.max_checksum_length(ai),
         "bad_checksums": A.bad_checksums(ai),
+        "json_keys": A.json_keys(ai, limit=100),
+        "json_rows_lateral": A.json_rows_lateral(ai, limit=100),
+        "hex_key": A.hex_keys(ai),
     }
     for name in SAMPLE_SQL:
         got = run_sample(spark, name, oracle.AS_OF).collect()
