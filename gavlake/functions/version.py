@@ -28,6 +28,11 @@ from pyspark.sql import types as T
 MAJOR_VERSION_MAX = 922
 YEAR_PREFIX_LEN = 10
 YEAR_FIRST_MAX = 9223372036
+# Slot limits: normal branch minor 9999, incremental 999999, fourth 999999; date-like
+# branch second 999999, third 999. A limit of all nines with k digits keeps the leading
+# k digits, which is how they are applied below (k = 4, 6, 6 and 6, 3).
+MINOR_DIGITS, INCREMENTAL_DIGITS, FOURTH_DIGITS = 4, 6, 6
+YEAR_SECOND_DIGITS, YEAR_THIRD_DIGITS = 6, 3
 INT_MAX = 2147483647
 LONG_MIN = -9223372036854775808
 # The year-branch sum passes 2^63-1 exactly when the first part is YEAR_FIRST_MAX and
@@ -94,14 +99,15 @@ def _key_from_parts(has_dot: Column, t1: Column, t2: Column, t3: Column, t4: Col
                           ).otherwise(F.lit(0).cast(T.LongType()))
     seq_normal = (
         major_normal * F.lit(10 ** 16)
-        + F.when(has_dot, shrink_to_digits(t2, 4)).otherwise(0) * F.lit(10 ** 12)
-        + F.when(has_dot, shrink_to_digits(t3, 6)).otherwise(0) * F.lit(10 ** 6)
-        + shrink_to_digits(fourth, 6)
+        + F.when(has_dot, shrink_to_digits(t2, MINOR_DIGITS)).otherwise(0) * F.lit(10 ** 12)
+        + F.when(has_dot, shrink_to_digits(t3, INCREMENTAL_DIGITS)).otherwise(0) * F.lit(10 ** 6)
+        + shrink_to_digits(fourth, FOURTH_DIGITS)
     )
 
     # date-like branch, with two's complement wrap
     head = _shrink_year(t1)
-    rest = shrink_to_digits(t2, 6) * F.lit(1000) + shrink_to_digits(t3, 3)
+    rest = (shrink_to_digits(t2, YEAR_SECOND_DIGITS) * F.lit(1000)
+            + shrink_to_digits(t3, YEAR_THIRD_DIGITS))
     wraps = (head == F.lit(YEAR_FIRST_MAX)) & (rest > F.lit(YEAR_REST_MAX))
     seq_year = (
         F.when(wraps, F.lit(LONG_MIN) + F.greatest(rest - F.lit(YEAR_REST_MAX + 1), F.lit(0)))
