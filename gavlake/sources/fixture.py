@@ -19,6 +19,10 @@ from pyspark.sql import functions as F
 from ..schemas import RAW_INDEX
 from ..session import scratch_path
 
+# Every lineitem row becomes one index document. The modulo expressions below only
+# derive attributes of a document (deleted, not an artifact, version form, extension,
+# ...), as FIXTURES.md §2 specifies; none of them selects a subset of the rows.
+
 # Fixed values of the fixture rules (FIXTURES.md §2).
 TOP_LEVEL_DOMAINS = ("org", "com", "io", "de", "cn")
 SPECIAL_GROUP = "org.apache.tomcat"
