@@ -106,10 +106,26 @@ def find_by_major_version(artifactinfo: DataFrame, major: int) -> DataFrame:
     return artifactinfo.filter(F.col("major_version") == F.lit(major))
 
 
-def coordinate_lookup(gav: DataFrame, group_id: str, artifact_id: str, size: int = 10) -> DataFrame:
-    """First page of files of one artifact, ordered by key (FLT-3, LIM-1)."""
-    return (gav.filter((F.col("group_id") == group_id) & (F.col("artifact_id") == artifact_id))
-            .orderBy("uinfo_md5").limit(size))
+def records(table: DataFrame, eq: dict[str, object] | None = None, size: int = 10,
+            page: int = 1, order: str = "uinfo_md5") -> DataFrame:
+    """A page of rows matching a conjunction of equality filters (FLT-3, LIM-1).
+
+    The filters reach the Parquet scan; the page is a top-k on ``order`` (a total
+    order, so pages are stable), planned as TakeOrderedAndProject.
+    """
+    cond = F.lit(True)
+    for col, value in (eq or {}).items():
+        cond = cond & (F.col(col) == F.lit(value))
+    ordered = table.filter(cond).orderBy(order)
+    if page > 1:
+        ordered = ordered.offset((page - 1) * size)
+    return ordered.limit(size)
+
+
+def coordinate_lookup(gav: DataFrame, group_id: str, artifact_id: str, size: int = 10,
+                      page: int = 1) -> DataFrame:
+    """A page of files of one artifact, ordered by key (FLT-3, LIM-1)."""
+    return records(gav, {"group_id": group_id, "artifact_id": artifact_id}, size, page)
 
 
 def hex_keys(artifactinfo: DataFrame) -> DataFrame:

@@ -285,3 +285,14 @@ def test_full_record_with_nested_keys(spark):
     assert row.last_modified == dt.datetime(2023, 11, 14, 22, 13, 21)
     keys = [r.json_key for r in A.distinct_json_keys(ai).collect()]
     assert len(keys) == 18 and {"attributes", "context", "matchHighlights"} <= set(keys)
+
+
+def test_records_pages(spark):
+    gav = _gav(spark, [dict(artifact_version=f"1.{i}") for i in range(25)]
+               + [dict(artifact_id="other")])
+    pages = [A.records(gav, {"group_id": "g", "artifact_id": "a"}, size=10, page=p).collect()
+             for p in (1, 2, 3, 4)]
+    assert [len(x) for x in pages] == [10, 10, 5, 0]
+    keys = [r.uinfo_md5 for x in pages for r in x]
+    assert keys == sorted(keys) and len(set(keys)) == 25
+    assert A.coordinate_lookup(gav, "g", "other").count() == 1
