@@ -145,6 +145,36 @@ class TableStore:
         self.spark.sql(f"REFRESH TABLE {self.qualified(name)}")
         return int(obs.get.get("rows", 0))
 
+    # -- retention ----------------------------------------------------------------
+    def _fs_path(self, path: str):
+        """Hadoop FileSystem and Path for ``path`` (works for any scheme: file, hdfs, s3a)."""
+        jvm = self.spark.sparkContext._jvm
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        return p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), p
+
+    def versions(self, name: str) -> list[str]:
+        """Version folders of a table, oldest first (names sort by write time)."""
+        fs, p = self._fs_path(f"{self.root}/{name}")
+        if not fs.exists(p):
+            return []
+        return sorted(st.getPath().toString() for st in fs.listStatus(p)
+                      if st.isDirectory() and st.getPath().getName().startswith("v"))
+
+    def vacuum(self, name: str, keep: int = 1) -> list[str]:
+        """Delete old version folders of ``name``: all but the newest ``keep``, and never
+        one that a table of this store points to. Returns the deleted folders."""
+        in_use = [self.location(t.name) for t in self.spark.catalog.listTables(self.database)]
+        versions = self.versions(name)
+        newest = set(versions[-keep:]) if keep > 0 else set()
+        removed = []
+        for v in versions:
+            if v in newest or any(loc == v or loc.startswith(v + "/") for loc in in_use):
+                continue
+            fs, p = self._fs_path(v)
+            fs.delete(p, True)
+            removed.append(v)
+        return removed
+
     def declare(self, names=("artifactinfo", "gav", "g", "ga")) -> None:
         """Create empty tables with the declared schemas, when missing (SNK-3)."""
         for name in names:

@@ -39,3 +39,20 @@ def test_append_respects_records_per_file(spark):
     files = spark.table(store.qualified("artifactinfo")).inputFiles()
     n = store.table("artifactinfo").count()
     assert n == ai.count() and len(files) >= n // 1000
+
+
+def test_vacuum_keeps_what_tables_use(spark):
+    from gavlake.plans.etl import run_load, run_refresh
+    store = TableStore(spark, scratch_path(spark, "vacuum"))
+    run_load(spark, raw_index(spark, SMALL_SF), store)
+    run_refresh(spark, store, limits="quarantine")   # gav and gav_rejects share a folder
+    run_refresh(spark, store, limits="fail")
+    run_refresh(spark, store, limits="fail")
+    n = store.table("gav").count()
+    assert len(store.versions("gav")) == 3
+    removed = store.vacuum("gav", keep=1)
+    assert len(removed) == 1                         # the quarantine folder is still in use
+    assert store.table("gav").count() == n and store.table("gav_rejects").count() == 0
+    assert len(store.versions("gav")) == 2
+    assert store.vacuum("g", keep=1) and len(store.versions("g")) == 1
+    assert store.table("g").count() > 0
