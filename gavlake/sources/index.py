@@ -22,14 +22,18 @@ def live_records(raw: DataFrame, observation: Observation | None = None) -> Data
     With an ``Observation`` the dropped counts are collected as a side effect of the
     job that consumes the result (no extra pass): ``deleted`` and ``not_artifact``.
     """
+    # a missing flag counts as false, in the filter and in the drop counts alike; the
+    # null-safe equality is still pushed to the Parquet scan
+    live = F.col("is_live").eqNullSafe(True)
+    artifact = F.col("is_artifact").eqNullSafe(True)
     if observation is not None:
         raw = raw.observe(
             observation,
             F.count(F.lit(1)).alias("scanned"),
-            F.count_if(~F.col("is_live")).alias("deleted"),
-            F.count_if(F.col("is_live") & ~F.col("is_artifact")).alias("not_artifact"),
+            F.count_if(~live).alias("deleted"),
+            F.count_if(live & ~artifact).alias("not_artifact"),
         )
-    return raw.filter(F.col("is_live") & F.col("is_artifact"))
+    return raw.filter(live & artifact)
 
 
 def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:

@@ -201,3 +201,15 @@ def test_stream_from_json_lines(spark, raw):
     full = full_plan(raw).artifactinfo
     assert rep.rows_appended == full.count()
     assert _keys(store.table("artifactinfo")) == _keys(full)
+
+
+def test_drop_counts_cover_missing_flags(spark):
+    from pyspark.sql import Observation
+    from gavlake.sources.index import live_records
+    from tests.test_operators import raw_row
+    from gavlake.schemas import RAW_INDEX
+    rows = [raw_row(1), raw_row(2, live=None), raw_row(3, artifact=None), raw_row(4, live=False)]
+    obs = Observation()
+    kept = live_records(spark.createDataFrame(rows, RAW_INDEX), obs).count()
+    m = obs.get
+    assert kept == 1 and m["scanned"] == 4 and m["deleted"] + m["not_artifact"] == 3
