@@ -46,15 +46,21 @@ def sha1_prefix(sha1: Column | str) -> Column:
     return F.left(_c(sha1), F.lit(SHA1_MAX_LEN))
 
 
+# Last millisecond that rounds to a DATETIME (9999-12-31 23:59:59).
+MAX_DATETIME_MS = 253402300799499
+
+
 def epoch_ms_to_datetime(ms: Column | str) -> Column:
-    """Epoch milliseconds -> second-precision TIMESTAMP_NTZ, half-up rounded; NULL if < 0.
+    """Epoch milliseconds -> second-precision TIMESTAMP_NTZ, half-up rounded; NULL if
+    negative or past 9999-12-31 23:59:59.
 
-    Independent of the session time zone.
+    Independent of the session time zone. Nothing is added to ``ms`` itself, so a
+    corrupt value near the long range gives NULL instead of an overflow error.
     """
     ms = _c(ms)
-    secs = F.floor((ms + F.lit(500)) / F.lit(1000)).cast(T.LongType())
+    secs = (F.floor(ms / F.lit(1000)) + F.when(ms % 1000 >= 500, 1).otherwise(0)).cast(T.LongType())
     ts = F.timestamp_add("SECOND", secs, F.lit("1970-01-01 00:00:00").cast(T.TimestampNTZType()))
-    return F.when(ms >= 0, ts)
+    return F.when((ms >= 0) & (ms <= F.lit(MAX_DATETIME_MS)), ts)
 
 
 def fix_extension(group_id: Column | str, artifact_id: Column | str,

@@ -185,7 +185,7 @@ gav AS (
     left(uinfo, 250) AS uinfo,
     groupId AS group_id, artifactId AS artifact_id, version AS artifact_version,
     major_version, version_seq,
-    CASE WHEN lastModified >= 0
+    CASE WHEN lastModified >= 0 AND lastModified <= 253402300799499
          THEN TIMESTAMP '1970-01-01 00:00:00' + to_seconds(CAST((lastModified + 500) // 1000 AS BIGINT))
     END AS last_modified,
     size, left(sha1, 40) AS sha1,

@@ -67,12 +67,14 @@ def test_availability_codes(spark):
 
 
 def test_epoch_rounding(spark):
-    vals = [0, 499, 500, 1_700_000_000_499, 1_700_000_000_500, -1, None]
+    vals = [0, 499, 500, 1_700_000_000_499, 1_700_000_000_500, -1, None,
+            253402300799499, 253402300799500, 9223372036854775807]
     df = spark.createDataFrame([(v,) for v in vals], "ms long")
     got = [r.t for r in df.select(epoch_ms_to_datetime("ms").alias("t")).collect()]
     e = dt.datetime(1970, 1, 1)
     assert got == [e, e, e + dt.timedelta(seconds=1), dt.datetime(2023, 11, 14, 22, 13, 20),
-                   dt.datetime(2023, 11, 14, 22, 13, 21), None, None]
+                   dt.datetime(2023, 11, 14, 22, 13, 21), None, None,
+                   dt.datetime(9999, 12, 31, 23, 59, 59), None, None]
 
 
 def test_epoch_rounding_independent_of_session_zone(spark):
