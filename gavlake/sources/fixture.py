@@ -39,8 +39,8 @@ _MONO_ID_SHIFT = 33
 
 def _group_id(p: dict[str, Column]) -> Column:
     brand = F.lower(F.replace(p["p_brand"], F.lit("#"), F.lit("")))
-    tld = F.element_at(F.array(*[F.lit(t) for t in TOP_LEVEL_DOMAINS]),
-                       (p["p_partkey"] % 6 + 1).cast("int"))
+    tld = F.try_element_at(F.array(*[F.lit(t) for t in TOP_LEVEL_DOMAINS]),
+                           (p["p_partkey"] % 6 + 1).cast("int"))
     type_part = F.when(p["p_size"] % 3 != 0, F.concat(F.lit("."), F.lower(p["p_type"]))
                        ).otherwise(F.lit(""))
     return (
