@@ -163,7 +163,8 @@ class TableStore:
     def vacuum(self, name: str, keep: int = 1) -> list[str]:
         """Delete old version folders of ``name``: all but the newest ``keep``, and never
         one that a table of this store points to. Returns the deleted folders."""
-        in_use = [self.location(t.name) for t in self.spark.catalog.listTables(self.database)]
+        in_use = [self.location(t.name) for t in self.spark.catalog.listTables(self.database)
+                  if not t.isTemporary]  # the listing also holds the session's temp views
         versions = self.versions(name)
         newest = set(versions[-keep:]) if keep > 0 else set()
         removed = []
