@@ -213,3 +213,12 @@ def test_drop_counts_cover_missing_flags(spark):
     kept = live_records(spark.createDataFrame(rows, RAW_INDEX), obs).count()
     m = obs.get
     assert kept == 1 and m["scanned"] == 4 and m["deleted"] + m["not_artifact"] == 3
+
+
+def test_stream_checkpoint_defaults_to_store(spark, raw):
+    root = scratch_path(spark, "ckpt-default")
+    raw.write.parquet(f"{root}/incoming")
+    store = TableStore(spark, f"{root}/store")
+    first = refresh(spark, f"{root}/incoming", store)
+    again = refresh(spark, f"{root}/incoming", store)
+    assert first.rows_appended > 0 and again.batches == []  # progress kept with the store
