@@ -129,3 +129,13 @@ def test_property_against_model(spark):
 @given(st.text(st.sampled_from(list("0123456789.-aé")), max_size=30))
 def test_property_single_strings(spark, version):
     assert _spark_keys(spark, [version])[version] == model(version)
+
+
+def test_staged_form_matches_model(spark):
+    """The staged DataFrame form used by the load, on the same 4,000 strings + golden rows."""
+    from gavlake.functions.version import with_version_key
+    versions = _random_versions(4000) + [g[0] for g in GOLDEN]
+    df = with_version_key(spark.createDataFrame([(v,) for v in sorted(set(versions))], "version string"))
+    bad = [(r.version, (r.major_version, r.version_seq), model(r.version))
+           for r in df.collect() if (r.major_version, r.version_seq) != model(r.version)]
+    assert not bad, bad[:5]
