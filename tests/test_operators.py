@@ -298,3 +298,20 @@ def test_records_pages(spark):
     keys = [r.uinfo_md5 for x in pages for r in x]
     assert keys == sorted(keys) and len(set(keys)) == 25
     assert A.coordinate_lookup(gav, "g", "other").count() == 1
+
+
+def test_extension_table_above_bound_uses_shuffle_join(spark, monkeypatch):
+    import gavlake.operators.views as V
+    gav = _gav(spark, [dict(file_extension=e) for e in ("jar", "zip", "pom", "war")])
+    ext = spark.createDataFrame([("jar",), ("zip",)], "extension string")
+    small = V.extension_filter(gav, ext)
+    monkeypatch.setattr(V, "MAX_BROADCAST_EXTENSIONS", 1)
+    big = V.extension_filter(gav, ext)
+
+    def analyzed(df):
+        return df._jdf.queryExecution().analyzed().toString().lower()
+
+    # below the bound the broadcast is forced by a hint; above it the planner decides
+    assert "strategy=broadcast" in analyzed(small) and "strategy=broadcast" not in analyzed(big)
+    assert "leftsemi" in analyzed(big)
+    assert sorted(r.file_extension for r in big.collect()) == ["jar", "zip"]
