@@ -1,7 +1,8 @@
 """Compare each registered Spark query with its DuckDB oracle SQL on one scale factor.
 
-Usage: python tests/oracle_compare.py [sf_dir] [name ...]
-Prints one line per query and exits non-zero on any mismatch.
+Usage: python tests/oracle_compare.py [--out report.json] [sf_dir] [name ...]
+Prints one line per query (and optionally writes them as JSON); exits non-zero on any
+mismatch.
 """
 
 from __future__ import annotations
@@ -96,11 +97,20 @@ def compare(spark, sf_dir: str, names=None, con=None, verbose=True) -> dict:
 
 
 if __name__ == "__main__":
+    import json
+
     from gavlake.session import build_session
-    sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.001"
-    names = sys.argv[2:] or None
+    args = sys.argv[1:]
+    out = None
+    if args[:1] == ["--out"]:
+        out, args = args[1], args[2:]
+    sf = args[0] if args else "/root/testdata/sf0.001"
+    names = args[1:] or None
     spark = build_session()
     res = compare(spark, sf, names)
+    if out:
+        with open(out, "w", encoding="utf-8") as fh:
+            json.dump({k: list(v) for k, v in res.items()}, fh, indent=1, sort_keys=True)
     bad = [k for k, v in res.items() if v[0] not in ("OK", "ROWS_ONLY")]
     print("FAILED:", bad)
     sys.exit(1 if bad else 0)
