@@ -30,12 +30,13 @@ def final_plan(df) -> str:
     text = re.sub(r"#\d+L?", "", text)            # expression ids
     text = re.sub(r"\[plan_id=\d+\]", "", text)
     text = re.sub(r"Location: [^,\]]*", "Location: …", text)
-    return "\n".join(line[:160] for line in text.splitlines())
+    return "\n".join(line[:300] for line in text.splitlines())
 
 
 def main() -> None:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     spark = build_session()
+    spark.conf.set("spark.sql.maxMetadataStringLength", "300")  # show pushed filters
     store = TableStore(spark, scratch_path(spark, "plans-doc"))
     raw = raw_index(spark, sf_dir)
     run_all(spark, raw, store)
