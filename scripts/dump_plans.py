@@ -30,7 +30,9 @@ def final_plan(df) -> str:
     text = re.sub(r"#\d+L?", "", text)            # expression ids
     text = re.sub(r"\[plan_id=\d+\]", "", text)
     text = re.sub(r"Location: [^,\]]*", "Location: …", text)
-    return "\n".join(line[:300] for line in text.splitlines())
+    text = re.sub(r"(FileScan parquet [^\[]*)\[[^\]]*\]", r"\1[…]", text)  # columns: see ReadSchema
+    text = re.sub(r"DataFilters: \[[^\]]*\], ", "", text)
+    return "\n".join(line[:420] for line in text.splitlines())
 
 
 def main() -> None:
