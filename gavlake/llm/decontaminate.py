@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gavlake.llm.scratch import ship_by_value
+from gavlake.llm.scratch import ship_by_value, small_batches
 from gavlake.llm.text import SpanHasher, mix, runs, shingles, text_slices
 
 SHINGLE_WORDS = 5
@@ -187,6 +187,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """
     schema = ("doc_id bigint, item_id bigint, similarity double, distance int, "
               "first_word bigint, n_words bigint")
+    small_batches(docs.sparkSession)
     out = docs.sparkSession.createDataFrame([], schema)
     rows = docs.select("doc_id", F.lower("text").alias("text"))
     for k, block in enumerate(_passes(benchmark)):
@@ -210,6 +211,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``docs`` without the rows that match an item; all columns stay as they are."""
+    small_batches(docs.sparkSession)
     low = "_text_lower_case"
     out = docs
     for block in _passes(benchmark):

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from gavlake.llm.scratch import ship_by_value, shuffle_partitions
+from gavlake.llm.scratch import ship_by_value, shuffle_partitions, small_batches
 from gavlake.llm.text import SpanHasher, mix, text_slices
 
 LEAST, NORMAL, MOST = 12, 32, 128
@@ -111,6 +111,7 @@ def with_next(docs: DataFrame) -> DataFrame:
     first row also goes to the range before it, so one shuffle moves the texts once.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     n = RANGES * shuffle_partitions(spark)
     steps = [i / n for i in range(1, n)]

@@ -33,7 +33,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from gavlake.llm.components import components
-from gavlake.llm.scratch import discard, ship_by_value, shuffle_partitions, staged
+from gavlake.llm.scratch import (
+    discard,
+    ship_by_value,
+    shuffle_partitions,
+    small_batches,
+    staged,
+)
 from gavlake.llm.text import SpanHasher, lower_ascii, runs, shingles, spaces, text_slices
 
 SIMILARITY_PCT = 80
@@ -332,6 +338,7 @@ def jaccard_components(docs: DataFrame, pct: int = SIMILARITY_PCT,
     nothing: its own doc_id, and no root. An empty table gives an empty one. Other columns
     of ``docs`` are not read.
     """
+    small_batches(docs.sparkSession)
     sets = staged(shingle_sets(docs, size), "sets")
     roots = linked_sets(docs, sets, pct, size)
     classes = sets.where("n > 0").groupBy("k").agg(F.min("doc_id").alias("least"))

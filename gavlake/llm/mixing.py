@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from gavlake.llm.scratch import discard, ship_by_value, staged
+from gavlake.llm.scratch import discard, ship_by_value, small_batches, staged
 from gavlake.llm.text import runs, spaces, text_slices
 
 WEIGHTS = (3, 1, 2)
@@ -140,6 +140,7 @@ def plan_mix(docs: DataFrame, members: Column | None = None):
     ``copies`` times, and once more where their place is below ``cut``.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     members = F.array("source") if members is None else members
     rows = staged(with_words(docs, "doc_id", F.array_sort(F.array_distinct(members)).alias("sources"),
                              _pattern(members).alias("pattern"), _place().alias("place")), "mix")

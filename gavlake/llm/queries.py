@@ -6,7 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from gavlake.llm.decontaminate import contaminated
+from gavlake.llm.fingerprint import fingerprints
 from gavlake.llm.jaccard_join import jaccard_components
+from gavlake.llm.language import fit_languages, held_out, identify
+from gavlake.llm.mixing import mix_report
+from gavlake.llm.sharding import assign_shards
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,13 +20,41 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints(table(spark, sf_dir, "documents"))
+
+
+def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return assign_shards(table(spark, sf_dir, "documents"))
+
+
 def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (jaccard_components(table(spark, sf_dir, "documents"))
             .select("doc_id", "n_shingles", "component_id"))
 
 
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_report(table(spark, sf_dir, "documents"))
+
+
+def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = fit_languages(docs.where("doc_id is not null").where(~held_out(2, 4)))
+    return (identify(docs.select("doc_id", "text", held_out(2, 4).alias("held_out")), model)
+            .select("doc_id", "held_out", "lang_pred", "score"))
+
+
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 REGISTRY: dict[str, Query] = {
+    "op1_fingerprint": op1_fingerprint,
+    "op3_sharding": op3_sharding,
     "op4_jaccard_join": op4_jaccard_join,
+    "op6_mixing": op6_mixing,
+    "op7_language": op7_language,
+    "op9_decontamination": op9_decontamination,
 }
 
 ORACLE: dict[str, str] = {

@@ -39,5 +39,17 @@ def discard(*tables: DataFrame) -> None:
             target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
+#: Bytes of a batch of rows on its way to Python; long texts then make short batches.
+BATCH_BYTES = 4 << 20
+_BATCH_KEY = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Hold the session's Arrow batches to BATCH_BYTES, as the plans to come read the setting."""
+    now = int(spark.conf.get(_BATCH_KEY).rstrip("bB"))
+    if now <= 0 or now > BATCH_BYTES:
+        spark.conf.set(_BATCH_KEY, str(BATCH_BYTES))
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from gavlake.llm.scratch import ship_by_value, staged
+from gavlake.llm.scratch import ship_by_value, small_batches, staged
 
 SHARDS = 16
 #: Largest table of offsets that is broadcast; above it the join shuffles.
@@ -46,6 +46,7 @@ def assign_shards(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     rows are moved. Rows with the same doc_id, null ones too, share a shard and have
     a slot each. Other columns are not read.
     """
+    small_batches(docs.sparkSession)
     rows = docs.select(
         "doc_id", (F.coalesce(F.octet_length("text"), F.lit(0)) + 1).cast("bigint").alias("size"),
         F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("text_crc32"),
