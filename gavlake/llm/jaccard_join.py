@@ -11,9 +11,11 @@ the parts are summed. The sums decide three things, each exactly:
    sum is too small links with nothing.
 2. **Candidates.** N-grams are ordered by frequency among the sets that are left, rare ones
    first, and two linking sets share one of their first n - ceil(t n) + 1. Sets that share
-   such an n-gram are compared with a few leaders of its group, not with each other. Links
-   with leaders join nearly all of a large group; only pairs that are still in different
-   components are then compared. So a group of k near copies costs about 8 k pairs, not k².
+   such an n-gram are compared with a few leaders of its group, not with each other: those
+   with the fewest n-grams of their own, which are nearest to most. Links with leaders join
+   nearly all of a large group; only pairs that are still in different components, and that
+   sizes and positions allow to link, are then compared. So a group of k near copies costs
+   about 8 k pairs, not k².
 3. **Links.** Fragments count the overlap of a pair's segments, and the sums give the exact
    similarity.
 
@@ -178,23 +180,15 @@ def _partial_counts(postings: DataFrame) -> DataFrame:
 
 
 def _frequencies(postings: DataFrame) -> DataFrame:
-    """(k, tokens, dfs): per fragment and set, the n-grams that other sets have, with counts."""
+    """(k, token, df): per fragment, the n-grams that several sets have, and how many have them."""
 
     def count(table: pa.Table) -> pa.Table:
         toks, names, df = _gather(table, np.uint64)
         shared = df > 1
-        toks, names, df = toks[shared], names[shared], df[shared]
-        order = np.argsort(names, kind="stable")
-        toks, names, df = toks[order], names[order], df[order]
-        edge = np.flatnonzero(np.concatenate([[len(names) > 0], names[1:] != names[:-1]])[:len(names)])
-        ends = np.append(edge[1:], len(names))
-        return pa.table({
-            "k": pa.array(names[edge], pa.int64()),
-            "tokens": pa.array([toks[a:b].tobytes() for a, b in zip(edge, ends)], pa.binary()),
-            "dfs": pa.array([df[a:b].astype(np.int32).tobytes() for a, b in zip(edge, ends)],
-                            pa.binary())})
+        return pa.table({"k": names[shared], "token": toks[shared].view(np.int64),
+                         "df": df[shared].astype(np.int32)})
 
-    return postings.groupBy("fragment").applyInArrow(count, "k bigint, tokens binary, dfs binary")
+    return postings.groupBy("fragment").applyInArrow(count, "k bigint, token bigint, df int")
 
 
 def _bounded(df: DataFrame, rows: int) -> DataFrame:
@@ -227,19 +221,18 @@ def linked_sets(docs: DataFrame, sets: DataFrame, pct: int, size: int) -> DataFr
     # whole sets of what is left: n-grams that nothing else has settle nothing but the size
     shared = staged(
         _frequencies(_postings(left, fragments, size, pct, True))
-        .groupBy("k").agg(F.collect_list(F.struct("tokens", "dfs")).alias("parts"))
+        .groupBy("k").agg(F.collect_list(F.struct("df", "token")).alias("parts"))
         .join(kept.select("k", "n"), "k"), "shared")
     segments = staged(_ordered(shared, pct), "segments")
     discard(left, shared, kept)
     seg = segments.where("segment >= 0").select("k", "n", "segment", "tokens")
     heads = (segments.where("segment = -1")
              .select("k", "n", F.posexplode("tokens").alias("pos", "token"), "first")
-             .select("k", "n", "token", (F.col("n") - F.col("first") - F.col("pos")).alias("rest")))
+             .select("k", "n", "first", "token", (F.col("n") - F.col("first") - F.col("pos")).alias("rest")))
     heads = staged(heads, "heads")
 
-    # leaders: the sets of a group that come first by a hash of their names
-    rank = F.xxhash64("k")
-    near = Window.partitionBy("token").orderBy(rank, "k")
+    # leaders: the sets of a group with the fewest n-grams of their own, which are nearest to most
+    near = Window.partitionBy("token").orderBy("first", F.xxhash64("k"), "k")
     lead = (heads.withColumn("rank", F.row_number().over(near)).where(F.col("rank") <= LEADERS)
             .select("token", F.col("k").alias("a"), F.col("n").alias("na"), F.col("rest").alias("ra")))
     pairs = _possible(heads.join(lead, "token").where("a <> k"), pct)
@@ -303,11 +296,12 @@ def _ordered(shared: DataFrame, pct: int) -> DataFrame:
     def order(batches):
         for batch in batches:
             ks, ns, segs, firsts, toks = [], [], [], [], []
-            for k, n, parts in zip(*(batch.column(c).to_pylist() for c in ("k", "n", "parts"))):
-                tok = np.concatenate([np.frombuffer(p["tokens"], np.uint64) for p in parts])
-                if len(tok) < need(n, pct):
+            for k, n, parts in zip(*(batch.column(c) for c in ("k", "n", "parts"))):
+                k, n, parts = k.as_py(), n.as_py(), parts.values
+                if len(parts) < need(n, pct):
                     continue
-                df = np.concatenate([np.frombuffer(p["dfs"], np.int32) for p in parts])
+                tok = parts.field("token").to_numpy().view(np.uint64)
+                df = parts.field("df").to_numpy()
                 alone = n - len(tok)
                 head = tok[np.lexsort((tok, df))][:n - need(n, pct) + 1 - alone]
                 tok = np.sort(tok)
