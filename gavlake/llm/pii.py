@@ -119,13 +119,15 @@ def candidates(docs: DataFrame) -> DataFrame:
                   F.col("_clean").contains("@") | F.col("_clean").rlike(r"[(\[]at[)\]]"))
     rows = _spans(rows, "_number", LIKE_NUMBER, F.col("_digit"))
     fields = ", ".join(f"'{n}', {e}" for n, e, _ in FEATURES)
+    # columns are read twice below where the planner must not inline them into a lambda
     rows = rows.withColumn("_base", F.expr(
         "transform(concat(email, ip, card, phone), x -> named_struct('start', x.start, 'end', x.end))"))
     return rows.withColumn("proposals", F.expr(f"""
         transform(filter(concat(_mail, _number), x -> x.value like '%@%' or x.value rlike '[A-Za-z]'
                          or length(regexp_replace(x.value, '[^0-9]', '')) >= 7),
           x -> named_struct('kind', {_KIND}, 'start', x.start, 'end', x.end,
-            'base', array_contains(_base, named_struct('start', x.start, 'end', x.end)), {fields}))"""
+            'base', size(_base) > 0 and array_contains(_base, named_struct('start', x.start, 'end', x.end)),
+            {fields}))"""
     )).drop("_clean", "_digit", "_mail", "_number")
 
 
@@ -184,16 +186,24 @@ def _sql(tree) -> str:
 
 def fit(found: DataFrame):
     """(trees, threshold) from ``candidates``: fitted on half of the texts, calibrated on the other."""
-    names = [n for n, _, _ in FEATURES]
-    counts = (found.select(F.explode("proposals").alias("x"), F.pmod(F.xxhash64("doc_id"), F.lit(2)).alias("half"))
-              .groupBy("half", *(F.col(f"x.{n}").alias(n) for n in names))
-              .agg(F.count_if("x.base").alias("yes"), F.count_if(~F.col("x.base")).alias("no"))
-              .orderBy("half", *names).collect())
+    code = "0"  # a feature vector as one number, and whether it is positive
+    for name, _, bins in FEATURES:
+        code = f"({code}) * {bins} + x.{name}"
+    counts = (found.select(F.explode(F.expr(f"transform(proposals, x -> 2 * ({code}) + int(x.base))")).alias("code"),
+                           F.pmod(F.xxhash64("doc_id"), F.lit(2)).alias("half"))
+              .groupBy("half", "code").count().orderBy("half", "code").collect())
 
     def part(half):
-        own = [r for r in counts if r.half == half]
-        return (np.array([[r[n] for n in names] for r in own], int).reshape(-1, len(names)),
-                np.array([r.yes for r in own], float), np.array([r.no for r in own], float))
+        both: dict[int, list[int]] = {}
+        for r in counts:
+            if r.half == half:
+                both.setdefault(r.code // 2, [0, 0])[r.code % 2] += r["count"]
+        vectors = np.zeros((len(both), len(FEATURES)), int)
+        rest = np.array(list(both), int)
+        for f in reversed(range(len(FEATURES))):
+            vectors[:, f], rest = rest % FEATURES[f][2], rest // FEATURES[f][2]
+        no, yes = np.array(list(both.values()), float).reshape(-1, 2).T
+        return vectors, yes, no
 
     trees = fit_trees(*part(0))
     vectors, yes, no = part(1)

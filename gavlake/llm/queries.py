@@ -10,7 +10,9 @@ from gavlake.llm.decontaminate import contaminated
 from gavlake.llm.fingerprint import fingerprints
 from gavlake.llm.jaccard_join import jaccard_components
 from gavlake.llm.language import fit_languages, held_out, identify
+from gavlake.llm.line_templates import line_report
 from gavlake.llm.mixing import mix_report
+from gavlake.llm.pii import pii_report
 from gavlake.llm.sharding import assign_shards
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,6 +26,10 @@ def op1_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii_report(table(spark, sf_dir, "documents"))
+
+
 def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return assign_shards(table(spark, sf_dir, "documents"))
 
@@ -44,16 +50,22 @@ def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", "held_out", "lang_pred", "score"))
 
 
+def op8_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_report(table(spark, sf_dir, "documents"))
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
 REGISTRY: dict[str, Query] = {
     "op1_fingerprint": op1_fingerprint,
+    "op2_pii": op2_pii,
     "op3_sharding": op3_sharding,
     "op4_jaccard_join": op4_jaccard_join,
     "op6_mixing": op6_mixing,
     "op7_language": op7_language,
+    "op8_line_templates": op8_line_templates,
     "op9_decontamination": op9_decontamination,
 }
 
