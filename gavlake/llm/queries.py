@@ -13,7 +13,9 @@ from gavlake.llm.language import fit_languages, held_out, identify
 from gavlake.llm.line_templates import line_report
 from gavlake.llm.mixing import mix_report
 from gavlake.llm.pii import pii_report
+from gavlake.llm.quality import quality
 from gavlake.llm.sharding import assign_shards
+from gavlake.llm.toxicity import toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -39,6 +41,10 @@ def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", "n_shingles", "component_id"))
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_report(table(spark, sf_dir, "documents"))
 
@@ -58,15 +64,21 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 REGISTRY: dict[str, Query] = {
     "op1_fingerprint": op1_fingerprint,
     "op2_pii": op2_pii,
     "op3_sharding": op3_sharding,
     "op4_jaccard_join": op4_jaccard_join,
+    "op5_toxicity": op5_toxicity,
     "op6_mixing": op6_mixing,
     "op7_language": op7_language,
     "op8_line_templates": op8_line_templates,
     "op9_decontamination": op9_decontamination,
+    "op10_quality": op10_quality,
 }
 
 ORACLE: dict[str, str] = {
