@@ -87,13 +87,13 @@ ORACLE: dict[str, str] = {
 WITH RECURSIVE w AS (
   SELECT doc_id, list_filter(string_split_regex(
            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-           '[\x20\x09-\x0D]+'), x -> x <> '') AS ws
+           '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws
   FROM documents),
 s AS (
   SELECT DISTINCT doc_id, unnest(CASE
     WHEN len(ws) = 0 THEN []::VARCHAR[]
     WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')]
-    ELSE list_transform(range(1, len(ws) - 3), i -> array_to_string(ws[i:i + 4], ' ')) END) AS g
+    ELSE list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' ')) END) AS g
   FROM w),
 n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
 o AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c
