@@ -64,16 +64,24 @@ def _shrink_year(x: Column) -> Column:
     )
 
 
-def version_tokens(version: Column) -> tuple[Column, list[Column]]:
-    """``(has_dot, [token1..token4])``: digit-run tokens as strings, NULL when absent
-    (PRJ-2)."""
-    tokens = F.regexp_extract_all(version, F.lit("([0-9]+)"), 1)
-    return version.rlike("[^0-9]"), [F.get(tokens, i) for i in range(4)]
-
-
-def safe_long(token: Column) -> Column:
-    """Token -> long, 0 when absent, empty or out of range (PRJ-3)."""
-    return _to_long(token)
+def with_version_parts(df: DataFrame, version: str = "version") -> DataFrame:
+    """Add the parsed parts of a version, in two projections (PRJ-2, PRJ-3).
+
+    ``_v_dot``: whether the version has anything but digits; ``_v_tok``: its digit runs;
+    ``_v_t1`` .. ``_v_t4``: the first four as longs, 0 when absent or too large;
+    ``_v_first10``: the first 10 characters of the first run as a long. The token array is
+    a column of its own, so the regular expression runs once per row (Catalyst does not
+    merge a projection that would repeat a non-trivial expression).
+    """
+    v = F.col(version)
+    staged = df.withColumn("_v_tok", F.regexp_extract_all(v, F.lit("([0-9]+)"), 1))
+    # "has a dot" = not all digits = non-empty and not one token covering the string
+    return staged.withColumns({
+        "_v_dot": ~((F.length(v) == 0)
+                    | ((F.size("_v_tok") == 1) & (F.length(F.get(F.col("_v_tok"), 0)) == F.length(v)))),
+        **{f"_v_t{i + 1}": _to_long(F.get(F.col("_v_tok"), i)) for i in range(4)},
+        "_v_first10": _to_long(F.substring(F.get(F.col("_v_tok"), 0), 1, YEAR_PREFIX_LEN)),
+    })
 
 
 def shrink_year(x: Column) -> Column:
@@ -120,48 +128,17 @@ def _key_from_parts(has_dot: Column, t1: Column, t2: Column, t3: Column, t4: Col
     return major, seq
 
 
-def version_columns(version: Column) -> tuple[Column, Column]:
-    """Return ``(major_version INT, version_seq BIGINT)`` for a version column.
-
-    A null version gives nulls. This single-expression form repeats the token
-    expressions at every use; on large tables prefer ``with_version_key``.
-    """
-    has_dot, tok = version_tokens(version)
-    t1, t2, t3, t4 = (_to_long(t) for t in tok)
-    major, seq = _key_from_parts(has_dot, t1, t2, t3, t4,
-                                 _to_long(F.substring(tok[0], 1, YEAR_PREFIX_LEN)))
-    nulled = version.isNull()
-    return (F.when(~nulled, major), F.when(~nulled, seq))
-
-
 def with_version_key(df: DataFrame, version: str = "version", major_out: str = "major_version",
                      seq_out: str = "version_seq") -> DataFrame:
-    """Add the version key columns in three projections.
+    """Add ``major_version INT`` and ``version_seq BIGINT`` (PRJ-5, PRJ-6).
 
-    The token array and the token values are columns of their own, so the regular
-    expression runs once per row (Catalyst does not merge a projection that would
-    repeat a non-trivial expression), and the key arithmetic only reads columns.
+    The key arithmetic only reads the columns of ``with_version_parts``. A null version
+    gives nulls.
     """
-    v = F.col(version)
-    staged = df.withColumn("_v_tok", F.regexp_extract_all(v, F.lit("([0-9]+)"), 1))
-    # "has a dot" = not all digits = non-empty and not one token covering the string
-    staged = staged.withColumns({
-        "_v_dot": ~((F.length(v) == 0)
-                    | ((F.size("_v_tok") == 1) & (F.length(F.get(F.col("_v_tok"), 0)) == F.length(v)))),
-        **{f"_v_t{i + 1}": _to_long(F.get(F.col("_v_tok"), i)) for i in range(4)},
-        "_v_first10": _to_long(F.substring(F.get(F.col("_v_tok"), 0), 1, YEAR_PREFIX_LEN)),
-    })
+    staged = with_version_parts(df, version)
     major, seq = _key_from_parts(F.col("_v_dot"), *[F.col(f"_v_t{i}") for i in range(1, 5)],
                                  F.col("_v_first10"))
-    nulled = v.isNull()
+    nulled = F.col(version).isNull()
     return staged.withColumns({major_out: F.when(~nulled, major), seq_out: F.when(~nulled, seq)}
                               ).drop("_v_dot", "_v_tok", "_v_first10",
                                      *[f"_v_t{i}" for i in range(1, 5)])
-
-
-def major_version(version: Column) -> Column:
-    return version_columns(version)[0]
-
-
-def version_seq(version: Column) -> Column:
-    return version_columns(version)[1]

@@ -4,12 +4,13 @@ LIM-1, PRJ-19..21)."""
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.columns import byte_length, content_key, group_prefix, key_hex
+from ..functions.columns import byte_length, group_prefix, key_hex
 from ..schemas import DEFAULT_EXTENSIONS, SHA1_MAX_LEN
 from .views import extension_filter
 
@@ -96,9 +97,18 @@ def bad_checksums(artifactinfo: DataFrame) -> DataFrame:
         "*", key_hex("uinfo_md5", upper=True).alias("uinfo_md5_hex"))
 
 
+def find_by_key(artifactinfo: DataFrame, key: bytes | str) -> DataFrame:
+    """Point lookup by the content key itself: 16 bytes, or their hex form (FLT-1).
+
+    On the bucketed table the equality selects one bucket.
+    """
+    raw = bytes.fromhex(key) if isinstance(key, str) else bytes(key)
+    return artifactinfo.filter(F.col("uinfo_md5") == F.lit(bytearray(raw)))
+
+
 def find_by_md5(artifactinfo: DataFrame, uinfo: str) -> DataFrame:
-    """Point lookup by content key of a coordinate string (FLT-1)."""
-    return artifactinfo.filter(F.col("uinfo_md5") == content_key(F.lit(uinfo)))
+    """Point lookup by the content key of a coordinate string (FLT-1)."""
+    return find_by_key(artifactinfo, hashlib.md5(uinfo.encode()).digest())
 
 
 def find_by_major_version(artifactinfo: DataFrame, major: int) -> DataFrame:
@@ -129,16 +139,19 @@ def coordinate_lookup(gav: DataFrame, group_id: str, artifact_id: str, size: int
 
 
 def hex_keys(artifactinfo: DataFrame) -> DataFrame:
-    """``HEX(uinfo_md5)`` next to the stored columns (PRJ-19)."""
-    return artifactinfo.select(key_hex("uinfo_md5", upper=True).alias("uinfo_md5_hex"), "uinfo")
+    """All stored columns and ``HEX(uinfo_md5)`` (PRJ-19)."""
+    return artifactinfo.select("*", key_hex("uinfo_md5", upper=True).alias("uinfo_md5_hex"))
 
 
 def json_keys(artifactinfo: DataFrame, limit: int | None = 100) -> DataFrame:
-    """Top-level keys of each JSON record, first ``limit`` records by key (PRJ-21, LIM-1)."""
-    out = artifactinfo.select("uinfo_md5", F.json_object_keys("json").alias("json_keys"))
+    """Top-level keys of each JSON record, first ``limit`` records by key (PRJ-21, LIM-1).
+
+    The top-k comes first, so keys are read from ``limit`` documents only.
+    """
+    rows = artifactinfo.select("uinfo_md5", "json")
     if limit is not None:
-        out = out.orderBy("uinfo_md5").limit(limit)
-    return out
+        rows = rows.orderBy("uinfo_md5").limit(limit)
+    return rows.select("uinfo_md5", F.json_object_keys("json").alias("json_keys"))
 
 
 def json_key_lateral(artifactinfo: DataFrame) -> DataFrame:
@@ -158,12 +171,21 @@ def distinct_json_keys(artifactinfo: DataFrame) -> DataFrame:
 
 def json_rows_lateral(artifactinfo: DataFrame, limit: int | None = 100) -> DataFrame:
     """Each JSON document as rows of an array (an object counts as a one-element array),
-    numbered from 1, with its ``groupId``; first ``limit`` rows by record key (JOIN-6)."""
+    numbered from 1, with its ``groupId``; first ``limit`` rows by record key (JOIN-6).
+
+    Every document that is not an empty array (a cheap text test) or null gives a row at
+    least, so the first ``limit`` rows come from the first ``limit`` such documents; only
+    those are parsed.
+    """
+    rows = artifactinfo.select("uinfo_md5", "json")
+    if limit is not None:
+        rows = (rows.filter(F.col("json").isNotNull() & ~F.col("json").rlike(r"^\s*\[\s*\]\s*$"))
+                .orderBy("uinfo_md5").limit(limit))
     arr = F.from_json(
         F.when(F.ltrim(F.col("json")).startswith("["), F.col("json"))
         .otherwise(F.concat(F.lit("["), F.col("json"), F.lit("]"))),
         "array<struct<groupId:string>>")
-    out = artifactinfo.select("uinfo_md5", F.posexplode(arr).alias("pos", "r")).select(
+    out = rows.select("uinfo_md5", F.posexplode(arr).alias("pos", "r")).select(
         "uinfo_md5", (F.col("pos") + 1).cast(T.IntegerType()).alias("rowid"),
         F.col("r.groupId").alias("groupId"))
     if limit is not None:

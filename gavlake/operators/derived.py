@@ -12,6 +12,16 @@ from ..schemas import EXTENSION_FIXES, G, GA, GAV, GAV_JSON_READ
 from .records import conform
 
 
+def by_coordinate(artifactinfo: DataFrame) -> DataFrame:
+    """Rows range-partitioned by the coordinate string, which begins with group and artifact.
+
+    Files of ``gav`` then hold narrow ranges of coordinates, a hot group spreads over
+    several of them, and lookups skip the others by their statistics. The range
+    partitioner samples the stored rows, before the JSON parse.
+    """
+    return artifactinfo.repartitionByRange("uinfo")
+
+
 def flatten_gav(artifactinfo: DataFrame, fixes=EXTENSION_FIXES) -> DataFrame:
     """``artifactinfo`` -> ``gav``: parse the JSON once (only the fields ``gav`` uses),
     take typed fields, apply fixes.

@@ -60,14 +60,6 @@ def with_reject_flag(df: DataFrame, table: str, flag: str = "rejected") -> DataF
     return df.withColumn(flag, _any_violation(df, table))
 
 
-def split_valid(df: DataFrame, table: str) -> tuple[DataFrame, DataFrame]:
-    """Quarantine mode: (rows within all limits, rows breaking at least one)."""
-    flagged = df.withColumn("_bad", _any_violation(df, table))
-    good = flagged.filter(~F.col("_bad")).drop("_bad")
-    bad = flagged.filter(F.col("_bad")).drop("_bad")
-    return good, bad
-
-
 def enforce_limits(df: DataFrame, table: str) -> DataFrame:
     """Fail mode: the job that writes the result raises on the first broken limit.
 

@@ -36,9 +36,13 @@ def first_wins_dedup(records: DataFrame, key: str = KEY, order: str = "doc_ord")
 MAX_BROADCAST_KEYS = 2_000_000
 
 
-def batch_is_small(batch: DataFrame, limit: int = MAX_BROADCAST_KEYS) -> bool:
-    """Row count of ``batch`` checked against ``limit`` (reads at most limit+1 rows)."""
-    return batch.limit(limit + 1).count() <= limit
+def batch_is_small(batch: DataFrame, limit: int | None = None) -> bool:
+    """Row count of ``batch`` checked against ``limit`` (default: MAX_BROADCAST_KEYS).
+
+    A plain count: every task counts its rows, and the single exchange carries one row per
+    task. (A ``limit`` before the count would move the rows themselves into one task.)
+    """
+    return batch.count() <= (MAX_BROADCAST_KEYS if limit is None else limit)
 
 
 def new_records(batch: DataFrame, store_keys: DataFrame, key: str = KEY,

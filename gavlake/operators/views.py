@@ -13,7 +13,7 @@ from ..schemas import DEFAULT_EXTENSIONS, LOCATION_TYPE
 MAX_BROADCAST_EXTENSIONS = 100_000
 
 
-def ga_latest(ga: DataFrame, gav: DataFrame, distinct: bool = False) -> DataFrame:
+def ga_latest(ga: DataFrame, gav: DataFrame, distinct: bool = False, rolled_up: bool = False) -> DataFrame:
     """``v_ga2ga``: every (group, artifact) with name and description of its newest files.
 
     All files of the newest version match, so an artifact can appear more than once
@@ -22,8 +22,13 @@ def ga_latest(ga: DataFrame, gav: DataFrame, distinct: bool = False) -> DataFram
     The left outer join is written as an inner equi-join plus the ``ga`` rows without a
     match. In a left outer join AQE can split only the preserved side, so a hot key on
     ``gav`` (one version with very many files) would stay in one task; an inner join
-    lets AQE split the skewed side. The unmatched rows come from an anti join against
-    the *distinct* join keys of ``gav``, which partial aggregation reduces map-side.
+    lets AQE split the skewed side.
+
+    ``rolled_up`` says that ``ga`` is the roll-up of this very ``gav``, which holds for a
+    store, as its tables are swapped together. Then a maximum that is not null is some
+    file's key, only rows with a null in the join key lack a match, and ``gav`` is read
+    once. Otherwise (a stale ``ga``) the unmatched rows come from an anti join against the
+    *distinct* join keys of ``gav``, which partial aggregation reduces map-side.
     """
     keys = ("group_id", "artifact_id")
     a = ga.select(*keys, F.col("version_seq_max").alias("version_seq"))
@@ -33,25 +38,32 @@ def ga_latest(ga: DataFrame, gav: DataFrame, distinct: bool = False) -> DataFram
         F.coalesce("name", "artifact_id").alias("name"),
         F.coalesce("description", "artifact_id").alias("description"),
     )
-    unmatched = a.join(b.select(*keys, "version_seq").distinct(), [*keys, "version_seq"],
-                       "left_anti").select(
+    if rolled_up:
+        unmatched = a.where("group_id is null or artifact_id is null or version_seq is null")
+    else:
+        unmatched = a.join(b.select(*keys, "version_seq").distinct(), [*keys, "version_seq"], "left_anti")
+    unmatched = unmatched.select(
         *keys, F.col("artifact_id").alias("name"), F.col("artifact_id").alias("description"))
     out = matched.unionByName(unmatched)
     return out.distinct() if distinct else out
 
 
+def extensions_are_small(extensions: DataFrame) -> bool:
+    """Row count of an extension table checked against the broadcast bound (runs a job)."""
+    return extensions.count() <= MAX_BROADCAST_EXTENSIONS
+
+
 def extension_filter(df: DataFrame, extensions=DEFAULT_EXTENSIONS,
-                     col: str = "file_extension") -> DataFrame:
+                     col: str = "file_extension", small_extensions: bool = False) -> DataFrame:
     """``col IN (extensions)``.
 
     A Python collection becomes an ``In`` predicate that reaches the Parquet scan.
-    A DataFrame becomes a left semi join, broadcast only when its row count is
-    checked to be at most ``MAX_BROADCAST_EXTENSIONS``.
+    A DataFrame becomes a left semi join, planned by size; with ``small_extensions`` (see
+    ``extensions_are_small``) its side is broadcast. No job runs here.
     """
     if isinstance(extensions, DataFrame):
         ext = extensions.select(F.col(extensions.columns[0]).alias("_ext")).distinct()
-        small = ext.limit(MAX_BROADCAST_EXTENSIONS + 1).count() <= MAX_BROADCAST_EXTENSIONS
-        right = F.broadcast(ext) if small else ext
+        right = F.broadcast(ext) if small_extensions else ext
         return df.join(right, F.col(col) == F.col("_ext"), "left_semi")
     return df.filter(F.col(col).isin(list(extensions)))
 

@@ -69,17 +69,28 @@ src AS (
   SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
     l_orderkey % 101 <> 0 AS is_live,
     l_orderkey % 211 <> 0 AS is_artifact,
-    CASE WHEN p_partkey % 50 = 0 THEN 'org.apache.tomcat'
+    CASE WHEN l_orderkey % 541 = 0 THEN NULL WHEN l_orderkey % 571 = 0 THEN repeat('g', 260)
+         WHEN p_partkey % 50 = 0 THEN 'org.apache.tomcat'
          WHEN p_partkey % 6 = 5 THEN 'flat' || {_BRAND}
          ELSE (['org', 'com', 'io', 'de', 'cn'])[p_partkey % 6 + 1] || '.' || {_BRAND}
               || CASE WHEN p_size % 3 <> 0 THEN '.' || lower(p_type) ELSE '' END
     END AS groupId,
-    CASE WHEN p_partkey % 50 = 0 THEN 'tomcat' ELSE replace(p_name, ' ', '-') END AS artifactId,
-    CASE l_orderkey % 16 {' '.join(f'WHEN {i} THEN {f}' for i, f in enumerate(_VERSION_FORMS))} END AS version,
-    CASE l_returnflag WHEN 'R' THEN 'sources' WHEN 'N' THEN 'bin' END AS classifier,
-    CASE l_suppkey % 5 WHEN 0 THEN 'pom' WHEN 1 THEN 'zip' WHEN 2 THEN 'zip.sha512' ELSE 'jar' END AS fileExtension,
-    CASE WHEN p_partkey % 4 = 0 THEN NULL ELSE p_name END AS name,
-    CASE WHEN p_partkey % 3 = 0 THEN NULL ELSE p_name || ' é ' || p_type END AS description,
+    CASE WHEN l_orderkey % 547 = 0 THEN NULL WHEN l_orderkey % 577 = 0 THEN repeat('a', 260)
+         WHEN p_partkey % 50 = 0 THEN 'tomcat' ELSE replace(p_name, ' ', '-') END AS artifactId,
+    CASE WHEN l_orderkey % 521 = 0 THEN NULL
+         ELSE CASE l_orderkey % 16 {' '.join(f'WHEN {i} THEN {f}' for i, f in enumerate(_VERSION_FORMS))} END
+              || CASE WHEN l_orderkey % 523 = 0 THEN repeat('.1', 70) ELSE '' END END AS version,
+    CASE WHEN l_orderkey % 509 = 0 THEN repeat('c', 130)
+         WHEN l_returnflag = 'R' THEN 'sources' WHEN l_returnflag = 'N' THEN 'bin' END AS classifier,
+    CASE WHEN l_orderkey % 569 = 0 THEN repeat('e', 260) WHEN l_suppkey % 5 = 0 THEN 'pom'
+         WHEN l_suppkey % 5 = 1 THEN 'zip' WHEN l_suppkey % 5 = 2 THEN 'zip.sha512' ELSE 'jar' END AS fileExtension,
+    CASE WHEN l_orderkey % 503 = 0 THEN repeat('n', 1030) WHEN p_partkey % 4 = 0 THEN NULL ELSE p_name END AS name,
+    CASE WHEN p_partkey % 3 = 0 THEN NULL ELSE p_name || ' é "' || p_type || '" \\' END AS description,
+    CASE WHEN l_orderkey % 7 = 0 THEN
+         '{{"Bundle-Version":"' || {_N} || '.0","note":"a \\"quoted\\" value"}}' END AS attributes,
+    CASE WHEN l_orderkey % 11 = 0 THEN 'central-ctx' END AS context,
+    CASE WHEN l_orderkey % 13 = 0 THEN '[]'
+         WHEN l_orderkey % 13 = 1 THEN '["h1","' || {_N} || '"]' END AS matchHighlights,
     epoch_ms(l_shipdate) + l_orderkey % 1000 AS lastModified,
     l_orderkey * 1000 + l_linenumber AS size,
     sha1(CAST(l_orderkey AS VARCHAR)) || CASE WHEN l_orderkey % 997 = 0 THEN ' bad-checksum' ELSE '' END AS sha1,
@@ -93,8 +104,10 @@ raw AS (
   SELECT row_number() OVER (ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, lastModified) AS doc_ord,
     is_live, is_artifact,
     concat_ws('|', groupId, artifactId, version, coalesce(classifier, 'NA'), fileExtension) AS uinfo,
-    groupId, artifactId, version, classifier, fileExtension, fileExtension AS packaging, name,
-    description, lastModified, size, sha1, repository, sourcesExists, javadocExists, signatureExists
+    groupId, artifactId, version, classifier, fileExtension,
+    CASE WHEN l_orderkey % 563 = 0 THEN repeat('p', 260) ELSE fileExtension END AS packaging, name,
+    description, lastModified, size, sha1, repository, sourcesExists, javadocExists, signatureExists,
+    attributes, context, matchHighlights
   FROM src
 ),
 live AS (SELECT * FROM raw WHERE is_live AND is_artifact),
@@ -109,6 +122,7 @@ _JSON_FIELDS = [
     ("fileExtension", "s"), ("packaging", "s"), ("name", "s"), ("description", "s"),
     ("lastModified", "n"), ("size", "n"), ("sha1", "s"), ("repository", "s"),
     ("sourcesExists", "s"), ("javadocExists", "s"), ("signatureExists", "s"),
+    ("attributes", "j"), ("context", "s"), ("matchHighlights", "j"),
 ]
 
 
@@ -152,9 +166,9 @@ vshr AS (
 ),
 ver AS (
   SELECT *,
-    CAST(least(CASE WHEN is_year THEN coalesce(TRY_CAST(left(toks[1], 10) AS BIGINT), 0)
-                    WHEN has_dot THEN t1 ELSE 0 END, 2147483647) AS INTEGER) AS major_version,
-    CASE WHEN is_year THEN
+    CAST(CASE WHEN version IS NULL THEN NULL ELSE least(CASE WHEN is_year THEN coalesce(TRY_CAST(left(toks[1], 10) AS BIGINT), 0)
+                    WHEN has_dot THEN t1 ELSE 0 END, 2147483647) END AS INTEGER) AS major_version,
+    CASE WHEN version IS NULL THEN NULL WHEN is_year THEN
            CAST(CAST(head AS HUGEINT) * 1000000000 + rest
                 - CASE WHEN CAST(head AS HUGEINT) * 1000000000 + rest > 9223372036854775807
                        THEN CAST('18446744073709551616' AS HUGEINT) ELSE 0 END AS BIGINT)
@@ -208,45 +222,66 @@ def _prefix(col: str, k: int) -> str:
     return f"array_to_string(string_split({col}, '.')[1:{k}], '.')"
 
 
-ROLLUP_CTE = f"""
-g AS (
+def _limit_rules(table: str):
+    return [(c, n, required) for t, c, n, required in COLUMN_LIMITS if t == table]
+
+
+_BROKEN = " OR ".join(
+    [f"{c} IS NULL" for c, _, required in _limit_rules("gav") if required]
+    + [f"length({c}) > {n}" for c, n, _ in _limit_rules("gav") if n is not None])
+
+
+def _rollups(gav: str, suffix: str) -> str:
+    return f"""
+g{suffix} AS (
   SELECT group_id, {_ROLLUP_AGGS},
     {', '.join(f"{_prefix('group_id', k)} AS group_id_left{k}" for k in range(1, 5))}
-  FROM gav GROUP BY group_id
+  FROM {gav} GROUP BY group_id
 ),
-ga AS (
+ga{suffix} AS (
   SELECT group_id, artifact_id, {_ROLLUP_AGGS}
-  FROM gav GROUP BY group_id, artifact_id
+  FROM {gav} GROUP BY group_id, artifact_id
 )"""
 
+
+# of all rows, and of the rows that a refresh in quarantine mode accepts
+ROLLUP_CTE = f"""{_rollups('gav', '')},
+gav_bad AS (SELECT * FROM gav WHERE coalesce({_BROKEN}, false)),
+gav_ok AS (SELECT * FROM gav WHERE NOT coalesce({_BROKEN}, false)),
+{_rollups('gav_ok', '_ok')}"""
+
 _UNSTABLE = " AND ".join(f"lower(artifact_version) NOT LIKE '%{w}%'" for w in UNSTABLE_VERSION_WORDS)
 
-VIEWS_CTE = f"""
-v_ga2ga AS (
+def _views(suffix: str) -> str:
+    return f"""
+v_ga2ga{suffix} AS (
   SELECT ga.group_id, ga.artifact_id,
     coalesce(ai.name, ga.artifact_id) AS name,
     coalesce(ai.description, ga.artifact_id) AS description
-  FROM ga LEFT JOIN gav ai
+  FROM ga{suffix} ga LEFT JOIN gav{suffix} ai
     ON ga.group_id = ai.group_id AND ga.artifact_id = ai.artifact_id
    AND ga.version_seq_max = ai.version_seq
 ),
-extension AS (SELECT * FROM (VALUES {', '.join(f'({_q(e)})' for e in DEFAULT_EXTENSIONS)}) t(extension)),
-v_artifactinfo2gav AS (
+v_artifactinfo2gav{suffix} AS (
   SELECT group_id, artifact_id, artifact_version, major_version, version_seq,
     uinfo_md5 AS ref_md5, last_modified AS mvn_last_modified, 2 AS location_type,
-    concat({_q(DOWNLOAD_COMMAND_PREFIX)},
+    {_q(DOWNLOAD_COMMAND_PREFIX)} ||
       CASE WHEN classifier IS NULL
-           THEN concat(group_id, ':', artifact_id, ':', artifact_version, ':', file_extension)
-           ELSE concat(group_id, ':', artifact_id, ':', artifact_version, ':', file_extension, ':', classifier)
-      END) AS location,
+           THEN group_id || ':' || artifact_id || ':' || artifact_version || ':' || file_extension
+           ELSE group_id || ':' || artifact_id || ':' || artifact_version || ':' || file_extension || ':' || classifier
+      END AS location,
     size, classifier, file_extension, packaging, name, description
-  FROM gav
+  FROM gav{suffix}
   WHERE (classifier IS NULL OR classifier = 'bin')
     AND file_extension IN (SELECT extension FROM extension)
     AND artifact_version IS NOT NULL
     AND {_UNSTABLE}
 )"""
 
+
+VIEWS_CTE = f"""
+extension AS (SELECT * FROM (VALUES {', '.join(f'({_q(e)})' for e in DEFAULT_EXTENSIONS)}) t(extension)),{_views('')},{_views('_ok')}"""
+
 _ALL = ",".join([RAW_CTE, VERSION_CTE, ARTIFACTINFO_CTE, GAV_CTE, ROLLUP_CTE, VIEWS_CTE])
 
 
@@ -262,8 +297,36 @@ GAV_COLS = ("uinfo_md5, uinfo_length, uinfo, group_id, artifact_id, artifact_ver
             "packaging, name, description")
 RAW_COLS = ("doc_ord, is_live, is_artifact, uinfo, groupId, artifactId, version, classifier, "
             "fileExtension, packaging, name, description, lastModified, size, sha1, repository, "
-            "sourcesExists, javadocExists, signatureExists")
-_EXT_IN = _in_list(DEFAULT_EXTENSIONS)
+            "sourcesExists, javadocExists, signatureExists, attributes, context, matchHighlights")
+
+# Declared columns and types of each object: fixed values.
+_GAV_TYPES = ("uinfo_md5 binary, uinfo_length int, uinfo string, group_id string, artifact_id string, "
+              "artifact_version string, major_version int, version_seq bigint, last_modified timestamp_ntz, "
+              "size bigint, sha1 string, signature_exists int, sources_exists int, javadoc_exists int, "
+              "classifier string, classifier_length int, file_extension string, packaging string, "
+              "name string, description string")
+_COUNTER_TYPES = ("artifact_version_counter int, major_version_counter int, version_seq_max bigint, "
+                  "last_modified_max date")
+OBJECTS = [
+    ("artifactinfo", "artifactinfo", "uinfo_md5 binary, major_version int, version_seq bigint, uinfo_length int, "
+     "classifier_length int, signature_exists int, sources_exists int, javadoc_exists int, uinfo string, json string"),
+    ("gav", "gav_ok", _GAV_TYPES),
+    ("g", "g_ok", f"group_id string, {_COUNTER_TYPES}, group_id_left1 string, group_id_left2 string, "
+     "group_id_left3 string, group_id_left4 string"),
+    ("ga", "ga_ok", f"group_id string, artifact_id string, {_COUNTER_TYPES}"),
+    ("v_ga2ga", "v_ga2ga_ok", "group_id string, artifact_id string, name string, description string"),
+    ("v_artifactinfo2gav", "v_artifactinfo2gav_ok", "group_id string, artifact_id string, artifact_version string, "
+     "major_version int, version_seq bigint, ref_md5 binary, mvn_last_modified timestamp_ntz, location_type int, "
+     "location string, size bigint, classifier string, file_extension string, packaging string, name string, "
+     "description string"),
+]
+
+
+def _objects_sql() -> str:
+    return " UNION ALL ".join(
+        f"SELECT '{name}' AS object, '{c.split()[0]}' AS column_name, '{c.split()[1]}' AS data_type, "
+        f"{i + 1} AS position, (SELECT count({c.split()[0]}) FROM {source}) AS n_values"
+        for name, source, columns in OBJECTS for i, c in enumerate(columns.split(", ")))
 
 
 def _revised(keys: str) -> str:
@@ -289,12 +352,24 @@ def sql() -> dict[str, str]:
         "index_scan": f"SELECT {RAW_COLS} FROM raw",
         "live_records": f"SELECT {RAW_COLS} FROM live",
         "incremental_refresh": ai_out,
-        "table_reads": ai_out,
-        "append_artifactinfo": ai_out,
-        "overwrite_gav": f"SELECT {GAV_COLS} FROM gav",
-        "overwrite_g": "SELECT * FROM g",
-        "overwrite_ga": "SELECT * FROM ga",
-        "declare_tables": "SELECT * FROM ga",
+        "table_reads": " UNION ALL ".join(
+            f"SELECT '{t}' AS table_name, count(*) AS n_rows, count(DISTINCT {k}) AS n_keys FROM {source}"
+            for t, source, k in (("artifactinfo", "artifactinfo", "uinfo_md5"), ("gav", "gav_ok", "uinfo_md5"),
+                                 ("gav_rejects", "gav_bad", "uinfo_md5"), ("g", "g_ok", "group_id"),
+                                 ("ga", "ga_ok", "group_id"))),
+        "append_artifactinfo": (
+            "SELECT uinfo_md5, CASE WHEN uinfo_md5 IN (SELECT md5(uinfo) FROM live "
+            "WHERE doc_ord <= (SELECT max(doc_ord) FROM raw) // 2) THEN 1 ELSE 2 END AS run FROM artifactinfo"),
+        "overwrite_gav": f"SELECT {GAV_COLS} FROM gav_ok",
+        "overwrite_g": "SELECT * FROM g_ok",
+        "overwrite_ga": "SELECT * FROM ga_ok",
+        "gav_rejects": f"SELECT {GAV_COLS} FROM gav_bad",
+        "declare_tables": _objects_sql(),
+        "sql_views": (
+            "SELECT n.group_id, n.artifact_id, n.name, count(*) AS files, max(b.version_seq) AS newest "
+            "FROM (SELECT DISTINCT group_id, artifact_id, name FROM v_ga2ga_ok) n "
+            "JOIN v_artifactinfo2gav_ok b ON n.group_id = b.group_id AND n.artifact_id = b.artifact_id "
+            "GROUP BY n.group_id, n.artifact_id, n.name"),
         "export_json": "SELECT json FROM artifactinfo",
         # projections
         "content_key": "SELECT uinfo, uinfo_md5 FROM artifactinfo",
@@ -314,15 +389,16 @@ def sql() -> dict[str, str]:
         "flatten_gav": f"SELECT {GAV_COLS} FROM gav",
         "epoch_ms_to_datetime": "SELECT uinfo_md5, last_modified FROM gav",
         "sha1_prefix": "SELECT uinfo_md5, sha1 FROM gav",
-        "fix_known_bad": ("SELECT uinfo_md5, uinfo, file_extension FROM gav "
-                          f"WHERE group_id = {_q(LOOKUP_GROUP)} AND artifact_id = {_q(LOOKUP_ARTIFACT)}"),
+        "fix_known_bad": "SELECT uinfo_md5, uinfo, file_extension FROM gav",
         "group_prefixes": ("SELECT group_id, group_id_left1, group_id_left2, group_id_left3, "
                            "group_id_left4 FROM g"),
-        "null_fallback": "SELECT group_id, artifact_id, name, description FROM v_ga2ga",
+        "null_fallback": ("SELECT uinfo_md5, artifact_id, coalesce(name, artifact_id) AS name, "
+                          "coalesce(description, artifact_id) AS description "
+                          "FROM gav WHERE name IS NULL OR description IS NULL"),
         "download_command": "SELECT ref_md5, location FROM v_artifactinfo2gav",
         "constant_and_rename": ("SELECT ref_md5, mvn_last_modified, location_type "
                                 "FROM v_artifactinfo2gav"),
-        "hex_key": "SELECT upper(uinfo_md5) AS uinfo_md5_hex, uinfo FROM artifactinfo",
+        "hex_key": f"SELECT {AI_COLS}, upper(uinfo_md5) AS uinfo_md5_hex FROM artifactinfo",
         "byte_length": ("SELECT uinfo_md5, CAST(strlen(json_sha1) AS INTEGER) AS sha1_bytes "
                         "FROM artifactinfo"),
         "json_keys": ("SELECT uinfo_md5, json_keys FROM artifactinfo ORDER BY uinfo_md5 LIMIT 100"),
@@ -330,9 +406,9 @@ def sql() -> dict[str, str]:
             "SELECT * FROM (VALUES "
             "('load', 'artifactinfo', (SELECT count(*) FROM artifactinfo), "
             "(SELECT count(*) FROM raw) - (SELECT count(*) FROM live)), "
-            "('refresh', 'gav', (SELECT count(*) FROM gav), 0), "
-            "('refresh', 'g', (SELECT count(*) FROM g), 0), "
-            "('refresh', 'ga', (SELECT count(*) FROM ga), 0)) "
+            "('refresh', 'gav', (SELECT count(*) FROM gav_ok), (SELECT count(*) FROM gav_bad)), "
+            "('refresh', 'g', (SELECT count(*) FROM g_ok), 0), "
+            "('refresh', 'ga', (SELECT count(*) FROM ga_ok), 0)) "
             "t(step, table_name, rows_written, rows_dropped)"),
         # filters
         "find_by_md5": f"{ai_out} WHERE uinfo_md5 = md5({_q(LOOKUP_UINFO)})",
@@ -354,16 +430,18 @@ def sql() -> dict[str, str]:
         "stable_binaries": "SELECT * FROM v_artifactinfo2gav",
         "semi_in_samples": _revised("group_id, artifact_id"),
         "new_records": (
-            "SELECT uinfo_md5, uinfo FROM artifactinfo WHERE uinfo_md5 NOT IN ("
+            "SELECT md5(uinfo) AS uinfo_md5, uinfo FROM dedup WHERE md5(uinfo) NOT IN ("
             "SELECT md5(uinfo) FROM live WHERE doc_ord <= (SELECT max(doc_ord) FROM raw) // 2)"),
         "new_records_small_batch": (
-            "SELECT uinfo_md5, uinfo FROM artifactinfo WHERE uinfo_md5 NOT IN ("
+            "SELECT md5(uinfo) AS uinfo_md5, uinfo FROM dedup WHERE md5(uinfo) NOT IN ("
             "SELECT md5(uinfo) FROM live WHERE doc_ord <= (SELECT max(doc_ord) FROM raw) // 2)"),
         "json_key_lateral": ("SELECT uinfo_md5, unnest(string_split(json_keys, ',')) AS json_key "
                              "FROM artifactinfo"),
-        "json_rows_lateral": ("SELECT uinfo_md5, CAST(1 AS INTEGER) AS rowid, groupId "
-                              "FROM (SELECT md5(uinfo) AS uinfo_md5, groupId FROM ver) "
-                              "ORDER BY uinfo_md5, rowid LIMIT 100"),
+        "json_rows_lateral": (
+            "SELECT uinfo_md5, rowid, groupId FROM ("
+            "SELECT md5(uinfo) AS uinfo_md5, CAST(1 AS INTEGER) AS rowid, groupId FROM ver UNION ALL "
+            "SELECT md5(uinfo), CAST(2 AS INTEGER), 'second' FROM ver WHERE length(uinfo) % 3 = 0) "
+            "ORDER BY uinfo_md5, rowid LIMIT 100"),
         # aggregations
         "group_rollup": "SELECT * FROM g",
         "group_artifact_rollup": "SELECT * FROM ga",
@@ -385,13 +463,12 @@ def sql() -> dict[str, str]:
 def _length_violations_sql() -> str:
     arms = []
     for table, col, max_len, not_null in COLUMN_LIMITS:
-        if table != "gav":
-            continue
         if not_null:
-            arms.append(f"SELECT uinfo_md5, 'gav' AS table_name, '{col}' AS column_name, "
+            arms.append(f"SELECT uinfo_md5, '{table}' AS table_name, '{col}' AS column_name, "
                         f"'not_null' AS rule, CAST(NULL AS INTEGER) AS actual_length "
-                        f"FROM gav WHERE {col} IS NULL")
+                        f"FROM {table} WHERE {col} IS NULL")
         if max_len is not None:
-            arms.append(f"SELECT uinfo_md5, 'gav', '{col}', 'max_length_{max_len}', "
-                        f"CAST(length({col}) AS INTEGER) FROM gav WHERE length({col}) > {max_len}")
+            arms.append(f"SELECT uinfo_md5, '{table}' AS table_name, '{col}' AS column_name, "
+                        f"'max_length_{max_len}' AS rule, "
+                        f"CAST(length({col}) AS INTEGER) AS actual_length FROM {table} WHERE length({col}) > {max_len}")
     return " UNION ALL ".join(arms)

@@ -10,9 +10,10 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import types as T
 
-from ..operators.derived import flatten_gav, group_artifact_rollup, group_rollup
+from ..operators.derived import by_coordinate, flatten_gav, group_artifact_rollup, group_rollup
 from ..operators.quality import enforce_limits, with_reject_flag
 from ..operators.records import artifactinfo_from_records, batch_is_small
+from ..schemas import GAV
 from ..sinks.tables import TableStore
 from ..sources.index import live_records
 
@@ -38,7 +39,7 @@ def load_plan(raw: DataFrame, store_keys: DataFrame | None = None, fix_signature
     """Raw index -> new ``artifactinfo`` rows (lazy, apart from the batch-size check).
 
     The size check runs on the plan without the observation, so the observed counts
-    always come from the real load, never from the (possibly cut short) check.
+    always come from the real load.
     """
     small = batch_is_small(live_records(raw)) if store_keys is not None else None
     return artifactinfo_from_records(live_records(raw, observation), store_keys,
@@ -56,11 +57,17 @@ def full_plan(raw: DataFrame, fix_signature: bool = False) -> Tables:
 
 
 def run_load(spark: SparkSession, raw: DataFrame, store: TableStore,
-             fix_signature: bool = False) -> list[tuple]:
-    """Append the new records of ``raw`` to ``artifactinfo`` (full load when empty)."""
+             fix_signature: bool = False, limits: str = "off") -> list[tuple]:
+    """Append the new records of ``raw`` to ``artifactinfo`` (full load when empty).
+
+    ``limits="fail"`` stops on a record that breaks a declared limit of ``artifactinfo``;
+    otherwise such records are stored, and the refresh reports or rejects them.
+    """
     obs = Observation("scan")
     t0 = time.time()
     new = load_plan(raw, store.keys(), fix_signature=fix_signature, observation=obs)
+    if limits == "fail":
+        new = enforce_limits(new, "artifactinfo")
     written = store.append(new, "artifactinfo")
     m = obs.get
     dropped = int(m.get("deleted", 0)) + int(m.get("not_artifact", 0))
@@ -70,37 +77,41 @@ def run_load(spark: SparkSession, raw: DataFrame, store: TableStore,
 def run_refresh(spark: SparkSession, store: TableStore, limits: str = "fail") -> list[tuple]:
     """Rebuild ``gav`` from ``artifactinfo``, then ``g`` and ``ga`` from the new ``gav``.
 
-    Each table is replaced write-then-swap; a failure stops the refresh with the old
-    tables intact. ``limits`` handles rows breaking a declared column limit (QLT-1):
-    ``"fail"`` stops the refresh (like the reference, whose insert fails on too long
-    data), ``"quarantine"`` writes them to ``gav_rejects`` and keeps them out of ``gav``,
-    ``"off"`` skips the check. Row counts come from the write jobs themselves.
+    All three are written first and swapped together, so a failure in any of them leaves
+    all old tables as they were. ``limits`` handles rows breaking a declared column limit
+    (QLT-1): ``"fail"`` stops the refresh (like the reference, whose insert fails on too
+    long data), ``"quarantine"`` writes them to ``gav_rejects`` and keeps them out of
+    ``gav``, ``"off"`` skips the check. Row counts come from the write jobs themselves.
     """
     audit = []
     t0 = time.time()
-    gav_new = flatten_gav(store.table("artifactinfo"))
+    gav_new = flatten_gav(by_coordinate(store.table("artifactinfo")))
     rejected = 0
     if limits == "fail":
-        written = store.overwrite(enforce_limits(gav_new, "gav"), "gav")
+        entry, written = store.write_version(enforce_limits(gav_new, "gav"), "gav")
+        entries = {"gav": entry}
     elif limits == "quarantine":
         # one job, one JSON parse: the write is split by the reject flag
-        written, rejected = store.overwrite_split(
+        entries, written, rejected = store.write_split(
             with_reject_flag(gav_new, "gav", "rejected"), "rejected", "gav", "gav_rejects")
     elif limits == "off":
-        written = store.overwrite(gav_new, "gav")
+        entry, written = store.write_version(gav_new, "gav")
+        entries = {"gav": entry}
     else:
         raise ValueError(f"limits must be fail, quarantine or off, not {limits!r}")
     audit.append(("refresh", "gav", written, rejected, time.time() - t0))
-    gav = store.table("gav")
+    gav = spark.read.schema(GAV).parquet(entries["gav"]["path"])  # not yet pointed to
     for name, build in (("g", group_rollup), ("ga", group_artifact_rollup)):
         t0 = time.time()
-        written = store.overwrite(build(gav), name)
+        entries[name], written = store.write_version(build(gav), name)
         audit.append(("refresh", name, written, 0, time.time() - t0))
+    store.replace_all(entries)
     return audit
 
 
 def run_all(spark: SparkSession, raw: DataFrame, store: TableStore,
             fix_signature: bool = False, limits: str = "fail") -> DataFrame:
     """Load then refresh; returns the audit as a DataFrame (one row per step)."""
-    audit = run_load(spark, raw, store, fix_signature) + run_refresh(spark, store, limits)
+    audit = run_load(spark, raw, store, fix_signature, "fail" if limits == "fail" else "off")
+    audit += run_refresh(spark, store, limits)
     return spark.createDataFrame(audit, AUDIT_SCHEMA)

@@ -17,17 +17,18 @@ from pyspark.sql import types as T
 
 from . import oracle
 from .functions.columns import is_binary_classifier, is_stable_version, key_hex
-from .functions.version import safe_long, shrink_to_digits, shrink_year, version_tokens, with_version_key
+from .functions.version import shrink_to_digits, shrink_year, with_version_key, with_version_parts
 from .operators import analytics as A
 from .operators.quality import length_violations
 from .operators.records import batch_is_small, first_wins_dedup, new_records, with_content_key
 from .operators.views import ga_latest, stable_binaries
 from .schemas import DEFAULT_EXTENSIONS
+from .plans.catalog import declare_views, register_views
 from .plans.etl import Tables, full_plan, run_all, run_load, run_refresh
 from .session import scratch_path
 from .sinks.tables import TableStore, export_json
 from .sources.fixture import raw_index
-from .sources.index import live_records
+from .sources.index import live_records, read_index
 from .streaming.incremental import refresh
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -43,10 +44,15 @@ def query(name: str):
 
 
 def printable(df: DataFrame) -> DataFrame:
-    """Binary columns -> lower-case hex strings (same as ``md5()``)."""
-    return df.select(*[
-        key_hex(F.col(f.name)).alias(f.name) if isinstance(f.dataType, T.BinaryType) else F.col(f.name)
-        for f in df.schema.fields])
+    """Binary columns -> lower-case hex strings (same as ``md5()``), nested ones -> JSON."""
+    def shown(f):
+        if isinstance(f.dataType, T.BinaryType):
+            return key_hex(F.col(f.name)).alias(f.name)
+        if isinstance(f.dataType, (T.MapType, T.ArrayType)):
+            return F.to_json(F.col(f.name)).alias(f.name)
+        return F.col(f.name)
+
+    return df.select(*[shown(f) for f in df.schema.fields])
 
 
 def tables(spark: SparkSession, sf_dir: str) -> Tables:
@@ -60,12 +66,14 @@ def _store(spark: SparkSession) -> TableStore:
 # ---------------------------------------------------------------- sources, sinks
 @query("index_scan")
 def q_index_scan(spark, sf_dir):
-    """All index documents with their dense document position ``doc_ord`` (SRC-1).
+    """All index documents, written as an index and scanned with the declared schema (SRC-1).
 
-    The stored files are range-partitioned and sorted by that order, so reading them
+    The stored files are range-partitioned and sorted by ``doc_ord``, so reading them
     yields documents in order within each file; no global sort is added.
     """
-    return raw_index(spark, sf_dir)
+    path = scratch_path(spark, "index")
+    raw_index(spark, sf_dir).write.parquet(path)
+    return read_index(spark, path)
 
 
 @query("live_records")
@@ -74,84 +82,120 @@ def q_live_records(spark, sf_dir):
     return live_records(raw_index(spark, sf_dir))
 
 
-def _stage_halves(spark, sf_dir) -> tuple[DataFrame, int, str]:
-    """Materialise the raw index once; return it with its middle ``doc_ord`` and the
-    staging folder."""
-    raw = raw_index(spark, sf_dir)
-    root = scratch_path(spark, "stage")
-    raw.write.parquet(f"{root}/all")
-    staged = spark.read.parquet(f"{root}/all")
-    mid = staged.agg(F.max("doc_ord")).first()[0] // 2
-    return staged, mid, root
+def _middle(raw: DataFrame) -> int:
+    """The middle document position: two runs then cover the whole index."""
+    return raw.agg(F.max("doc_ord")).first()[0] // 2
 
 
 @query("incremental_refresh")
 def q_incremental_refresh(spark, sf_dir):
-    """Two stream runs over arriving files: first full, then the delta (SRC-3)."""
-    staged, mid, root = _stage_halves(spark, sf_dir)
+    """Stream runs over arriving files, the store reopened by its root before each: first
+    full, then the delta, then nothing (SRC-3)."""
+    raw = raw_index(spark, sf_dir)
+    mid = _middle(raw)
+    root = scratch_path(spark, "stream")
     src = f"{root}/incoming"
-    store = _store(spark)
-    ckpt = f"{root}/checkpoint"
-    staged.filter(F.col("doc_ord") <= mid).write.mode("append").parquet(src)
-    first = refresh(spark, src, store, ckpt)
-    staged.filter(F.col("doc_ord") > mid).write.mode("append").parquet(src)
-    second = refresh(spark, src, store, ckpt)
-    third = refresh(spark, src, store, ckpt)  # nothing new: appends nothing
+    raw.filter(F.col("doc_ord") <= mid).write.mode("append").parquet(src)
+    first = refresh(spark, src, TableStore(spark, f"{root}/store"))
+    raw.filter(F.col("doc_ord") > mid).write.mode("append").parquet(src)
+    second = refresh(spark, src, TableStore(spark, f"{root}/store"))
+    third = refresh(spark, src, TableStore(spark, f"{root}/store"))
     if not (first.mode == "full" and second.mode == "incremental" and third.rows_appended == 0):
         raise RuntimeError(f"incremental refresh misbehaved: {first}, {second}, {third}")
-    return store.table("artifactinfo")
+    return TableStore(spark, f"{root}/store").table("artifactinfo")
 
 
 @query("table_reads")
 def q_table_reads(spark, sf_dir):
-    """Whole ``artifactinfo`` table read back from the store (SRC-4)."""
-    store = _store(spark)
-    run_load(spark, raw_index(spark, sf_dir), store)
-    return store.table("artifactinfo")
+    """Every table of a store opened by its root: rows, and distinct keys or groups (SRC-4)."""
+    store = _refreshed_store(spark, sf_dir)
+    opened = TableStore(spark, store.root)
+    names = {"artifactinfo": "uinfo_md5", "gav": "uinfo_md5", "gav_rejects": "uinfo_md5",
+             "g": "group_id", "ga": "group_id"}
+    parts = [opened.table(t).agg(F.lit(t).alias("table_name"), F.count(F.lit(1)).alias("n_rows"),
+                                 F.count_distinct(k).alias("n_keys")) for t, k in names.items()]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
 
 
 @query("append_artifactinfo")
 def q_append(spark, sf_dir):
-    """Two appends: first half of the index, then the whole index (skip-if-stored) (SNK-1)."""
-    staged, mid, _ = _stage_halves(spark, sf_dir)
+    """Key and run of every record of two appends: first half of the index, then the whole
+    index, of which the stored records are skipped (SNK-1)."""
+    raw = raw_index(spark, sf_dir)
     store = _store(spark)
-    run_load(spark, staged.filter(F.col("doc_ord") <= mid), store)
-    run_load(spark, staged, store)
-    return store.table("artifactinfo")
+    run_load(spark, raw.filter(F.col("doc_ord") <= _middle(raw)), store)
+    before = store.write_version(store.table("artifactinfo").select("uinfo_md5"), "first_run")[0]
+    run_load(spark, raw, store)
+    first = spark.read.parquet(before["path"]).select("uinfo_md5", F.lit(1).alias("seen"))
+    return (store.table("artifactinfo").join(first, "uinfo_md5", "left")
+            .select("uinfo_md5", F.when(F.col("seen").isNull(), 2).otherwise(1).alias("run")))
 
 
 def _refreshed_store(spark, sf_dir) -> TableStore:
+    """A store after a load and two refreshes; rows that break a limit are set aside."""
     store = _store(spark)
-    run_all(spark, raw_index(spark, sf_dir), store)
-    run_refresh(spark, store)  # second refresh replaces content write-then-swap
+    run_all(spark, raw_index(spark, sf_dir), store, limits="quarantine")
+    run_refresh(spark, store, limits="quarantine")  # replaces the content write-then-swap
     return store
 
 
 @query("overwrite_gav")
 def q_overwrite_gav(spark, sf_dir):
-    """``gav`` after two write-then-swap refreshes (SNK-2)."""
+    """``gav`` after two write-then-swap refreshes, without the rejected rows (SNK-2)."""
     return _refreshed_store(spark, sf_dir).table("gav")
 
 
 @query("overwrite_g")
 def q_overwrite_g(spark, sf_dir):
-    """``g`` after two write-then-swap refreshes (SNK-2)."""
+    """``g`` after two write-then-swap refreshes, of the accepted rows (SNK-2)."""
     return _refreshed_store(spark, sf_dir).table("g")
 
 
 @query("overwrite_ga")
 def q_overwrite_ga(spark, sf_dir):
-    """``ga`` after two write-then-swap refreshes (SNK-2)."""
+    """``ga`` after two write-then-swap refreshes, of the accepted rows (SNK-2)."""
     return _refreshed_store(spark, sf_dir).table("ga")
 
 
+@query("gav_rejects")
+def q_gav_rejects(spark, sf_dir):
+    """Rows that the refresh set aside as breaking a declared limit (QLT-1)."""
+    return _refreshed_store(spark, sf_dir).table("gav_rejects")
+
+
 @query("declare_tables")
 def q_declare_tables(spark, sf_dir):
-    """Declared empty tables, then filled by a load and refresh; ``ga`` read back (SNK-3)."""
+    """Columns of the four declared tables and two views, with the values that a load and a
+    refresh put there: object, column, type, position, number of values (SNK-3)."""
     store = _store(spark)
     store.declare()
-    run_all(spark, raw_index(spark, sf_dir), store)
-    return store.table("ga")
+    declare_views(spark, store)
+    run_all(spark, raw_index(spark, sf_dir), store, limits="quarantine")
+    out = None
+    for name in ("artifactinfo", "gav", "g", "ga", "v_ga2ga", "v_artifactinfo2gav"):
+        t = spark.table(store.qualified(name))
+        counted = t.agg(*[F.count(F.col(c)).alias(c) for c in t.columns])
+        rows = [F.struct(F.lit(name).alias("object"), F.lit(f.name).alias("column_name"),
+                         F.lit(f.dataType.simpleString()).alias("data_type"),
+                         F.lit(i + 1).alias("position"), F.col(f.name).alias("n_values"))
+                for i, f in enumerate(t.schema.fields)]
+        part = counted.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@query("sql_views")
+def q_sql_views(spark, sf_dir):
+    """SQL over the two registered views: downloadable files per named artifact (SNK-3)."""
+    register_views(spark, _refreshed_store(spark, sf_dir))
+    return spark.sql("""
+        SELECT n.group_id, n.artifact_id, n.name, count(*) AS files, max(b.version_seq) AS newest
+        FROM (SELECT DISTINCT group_id, artifact_id, name FROM v_ga2ga) n
+        JOIN v_artifactinfo2gav b ON n.group_id = b.group_id AND n.artifact_id = b.artifact_id
+        GROUP BY n.group_id, n.artifact_id, n.name""")
 
 
 @query("export_json")
@@ -173,28 +217,31 @@ def q_content_key(spark, sf_dir):
     return ai.select("uinfo", "uinfo_md5")
 
 
+def _version_parts(spark, sf_dir) -> DataFrame:
+    """The parsed parts of each distinct version, as the load stages them."""
+    return with_version_parts(_distinct_versions(spark, sf_dir))
+
+
 @query("version_tokens")
 def q_version_tokens(spark, sf_dir):
     """Digit-run tokens of each distinct version (PRJ-2)."""
-    has_dot, tok = version_tokens(F.col("version"))
-    return _distinct_versions(spark, sf_dir).select(
-        "version", has_dot.alias("has_dot"), *[t.alias(f"token{i + 1}") for i, t in enumerate(tok)])
+    return _version_parts(spark, sf_dir).select(
+        "version", F.col("_v_dot").alias("has_dot"),
+        *[F.get("_v_tok", i).alias(f"token{i + 1}") for i in range(4)])
 
 
 @query("safe_long")
 def q_safe_long(spark, sf_dir):
     """Tokens as longs, 0 when absent or too large (PRJ-3)."""
-    _, tok = version_tokens(F.col("version"))
-    return _distinct_versions(spark, sf_dir).select(
-        "version", *[safe_long(t).alias(f"t{i + 1}") for i, t in enumerate(tok)])
+    return _version_parts(spark, sf_dir).select(
+        "version", *[F.col(f"_v_t{i}").alias(f"t{i}") for i in range(1, 5)])
 
 
 @query("shrink_long")
 def q_shrink_long(spark, sf_dir):
     """Tokens shrunk to their slot limits (PRJ-4)."""
-    _, tok = version_tokens(F.col("version"))
-    t1, t2, t3, t4 = (safe_long(t) for t in tok)
-    return _distinct_versions(spark, sf_dir).select(
+    t1, t2, t3, t4 = (F.col(f"_v_t{i}") for i in range(1, 5))
+    return _version_parts(spark, sf_dir).select(
         "version", shrink_year(t1).alias("first_shrunk"),
         shrink_to_digits(t2, 4).alias("minor_4"), shrink_to_digits(t2, 6).alias("minor_6"),
         shrink_to_digits(t3, 6).alias("incremental_6"), shrink_to_digits(t3, 3).alias("incremental_3"),
@@ -258,11 +305,8 @@ def q_sha1_prefix(spark, sf_dir):
 
 @query("fix_known_bad")
 def q_fix_known_bad(spark, sf_dir):
-    """Extensions of the artifact with known-bad index data, after the fix (PRJ-14)."""
-    gav = tables(spark, sf_dir).gav
-    return gav.filter((F.col("group_id") == oracle.LOOKUP_GROUP)
-                      & (F.col("artifact_id") == oracle.LOOKUP_ARTIFACT)).select(
-        "uinfo_md5", "uinfo", "file_extension")
+    """Extension of every file after the fix of known-bad data (PRJ-14)."""
+    return tables(spark, sf_dir).gav.select("uinfo_md5", "uinfo", "file_extension")
 
 
 @query("group_prefixes")
@@ -273,9 +317,10 @@ def q_group_prefixes(spark, sf_dir):
 
 @query("null_fallback")
 def q_null_fallback(spark, sf_dir):
-    """Name and description falling back to the artifact id (PRJ-16)."""
-    t = tables(spark, sf_dir)
-    return ga_latest(t.ga, t.gav)
+    """Files without a name or description, with the artifact id in its place (PRJ-16)."""
+    gav = tables(spark, sf_dir).gav.filter("name is null or description is null")
+    return gav.select("uinfo_md5", "artifact_id", F.coalesce("name", "artifact_id").alias("name"),
+                      F.coalesce("description", "artifact_id").alias("description"))
 
 
 @query("download_command")
@@ -293,7 +338,7 @@ def q_constant_and_rename(spark, sf_dir):
 
 @query("hex_key")
 def q_hex_key(spark, sf_dir):
-    """Upper-case hex of the key (PRJ-19)."""
+    """All columns and the upper-case hex of the key (PRJ-19)."""
     return A.hex_keys(tables(spark, sf_dir).artifactinfo)
 
 
@@ -314,7 +359,7 @@ def q_json_keys(spark, sf_dir):
 @query("refresh_marker")
 def q_refresh_marker(spark, sf_dir):
     """One audit row per load/refresh step (PRJ-22); seconds left out of the result."""
-    audit = run_all(spark, raw_index(spark, sf_dir), _store(spark))
+    audit = run_all(spark, raw_index(spark, sf_dir), _store(spark), limits="quarantine")
     return audit.select("step", "table_name", "rows_written", "rows_dropped")
 
 
@@ -372,8 +417,9 @@ def q_bad_checksums(spark, sf_dir):
 
 @query("length_violations")
 def q_length_violations(spark, sf_dir):
-    """Broken declared limits of ``gav`` (QLT-1)."""
-    return length_violations(tables(spark, sf_dir).gav, "gav")
+    """Broken declared limits of ``gav`` and ``artifactinfo`` (QLT-1)."""
+    t = tables(spark, sf_dir)
+    return length_violations(t.gav, "gav").unionByName(length_violations(t.artifactinfo, "artifactinfo"))
 
 
 # ---------------------------------------------------------------- joins
@@ -381,7 +427,7 @@ def q_length_violations(spark, sf_dir):
 def q_ga_latest(spark, sf_dir):
     """Newest-version name/description per artifact, fan-out kept (JOIN-1)."""
     t = tables(spark, sf_dir)
-    return ga_latest(t.ga, t.gav)
+    return ga_latest(t.ga, t.gav, rolled_up=True)
 
 
 @query("stable_binaries")
@@ -394,6 +440,7 @@ def q_stable_binaries(spark, sf_dir):
 def q_semi_in_samples(spark, sf_dir):
     """Most revised artifacts with the extension list as a table (semi join) (JOIN-3)."""
     ext = spark.createDataFrame([(e,) for e in DEFAULT_EXTENSIONS], "extension string")
+    # planned by size: no broadcast is asked for
     return A.most_revised_artifacts(tables(spark, sf_dir).gav, oracle.AS_OF, ext)
 
 
@@ -430,8 +477,12 @@ def q_json_key_lateral(spark, sf_dir):
 
 @query("json_rows_lateral")
 def q_json_rows_lateral(spark, sf_dir):
-    """JSON documents as numbered rows, first 100 by key (JOIN-6)."""
-    return A.json_rows_lateral(tables(spark, sf_dir).artifactinfo, limit=100)
+    """JSON documents as numbered rows, first 100 by key; every third document, by the
+    length of its coordinates, is an array of two (JOIN-6)."""
+    ai = tables(spark, sf_dir).artifactinfo
+    json = F.when(F.col("uinfo_length") % 3 == 0,
+                  F.concat(F.lit("["), "json", F.lit(',{"groupId":"second"}]'))).otherwise(F.col("json"))
+    return A.json_rows_lateral(ai.withColumn("json", json), limit=100)
 
 
 # ---------------------------------------------------------------- aggregations

@@ -40,6 +40,8 @@ DEFAULT_EXTENSIONS = ("jar", "zip")
 
 # Declared column limits: (table, column, max characters or None, not null).
 COLUMN_LIMITS = (
+    ("artifactinfo", "uinfo_md5", None, True),
+    ("artifactinfo", "version_seq", None, True),
     ("artifactinfo", "uinfo", 254, True),
     ("gav", "uinfo", 254, True),
     ("gav", "group_id", 254, True),
@@ -75,6 +77,9 @@ RECORD_FIELDS = (
     ("sourcesExists", T.StringType()),
     ("javadocExists", T.StringType()),
     ("signatureExists", T.StringType()),
+    ("attributes", T.MapType(T.StringType(), T.StringType())),
+    ("context", T.StringType()),
+    ("matchHighlights", T.ArrayType(T.StringType())),
 )
 
 RAW_INDEX = T.StructType(

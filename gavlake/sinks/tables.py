@@ -1,21 +1,27 @@
 """Table sinks (SNK-1..4).
 
-Tables are catalog tables over Parquet folders below a root folder:
+Tables are catalog tables over Parquet folders below a root folder. The root holds one
+small pointer file that names the current folder of every table, so a store is opened by
+its root alone: another object, another session or another program on the same root sees
+the same tables.
 
 * ``append`` adds the rows of one DataFrame with a single write job (the Parquet commit
   protocol makes the job's files visible together or not at all);
-* ``overwrite`` writes the new content to a fresh folder and only then points the table
-  at it (``ALTER TABLE … SET LOCATION``), so a failed refresh leaves the old content
-  readable instead of an empty table;
+* ``overwrite`` writes the new content to a fresh folder and only then moves the pointer,
+  so a failed refresh leaves the old content readable instead of an empty table;
+  ``replace_all`` moves it for several tables at once, when all of them are written;
 * ``declare`` creates empty tables with the declared schemas.
 
-Output rows are sorted within partitions by the given columns, so the Parquet row
-groups carry tight min/max statistics for those columns (what the reference's
-composite index is used for).
+Layout: ``artifactinfo`` is bucketed by its key, so a key lookup reads one bucket and the
+skip-if-stored join needs no shuffle of the store; the other tables are sorted within
+files, so that Parquet statistics let lookups skip row groups. One writer per store is
+assumed.
 """
 
 from __future__ import annotations
 
+import hashlib
+import json
 import re
 import time
 import uuid
@@ -34,47 +40,112 @@ SORT_COLUMNS = {
     "g": ("group_id",),
     "ga": ("group_id", "artifact_id"),
 }
+# Tables that are bucketed, and by which column.
+BUCKET_COLUMN = {"artifactinfo": "uinfo_md5"}
 
 
 class TableStore:
-    """Named tables under ``root`` in catalog database ``database``."""
+    """Named tables under ``root``; the catalog database is named after the root.
+
+    ``buckets`` is the bucket count of a bucketed table when it is created (default: the
+    session's shuffle partitions, so the dedup's partitions are the buckets).
+    """
 
     def __init__(self, spark: SparkSession, root: str, database: str | None = None,
-                 max_records_per_file: int | None = None):
+                 max_records_per_file: int | None = None, buckets: int | None = None):
         self.spark = spark
         if "'" in root:
             raise ValueError(f"quote in store path {root!r}")
         self.root = root.rstrip("/")
-        self.database = database or "gavlake_" + uuid.uuid4().hex[:12]
+        self.database = database or "gavlake_" + hashlib.md5(self.root.encode()).hexdigest()[:16]
         if not re.fullmatch(r"[A-Za-z_][A-Za-z0-9_]*", self.database):
             raise ValueError(f"bad database name {self.database!r}")
         self.max_records_per_file = max_records_per_file
+        self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.database} LOCATION '{self.root}/_db'")
+        self._sync()
+
+    # -- the pointer: which folder holds each table -------------------------------
+    def _pointer_files(self) -> list[str]:
+        """Pointer files, oldest first."""
+        fs, p = self._fs_path(f"{self.root}/_pointer")
+        if not fs.exists(p):
+            return []
+        return sorted(st.getPath().toString() for st in fs.listStatus(p)
+                      if st.getPath().getName().endswith(".json"))
+
+    def _pointer(self) -> dict[str, dict]:
+        files = self._pointer_files()
+        if not files:
+            return {}
+        return json.loads("".join(r.value for r in self.spark.read.text(files[-1], wholetext=True).collect()))
+
+    def _commit(self, changes: dict[str, dict]) -> None:
+        """Move the pointer for all ``changes`` at once: a new file, visible by one rename."""
+        files = self._pointer_files()
+        number = int(files[-1].rsplit("/", 1)[-1].split(".")[0]) + 1 if files else 0
+        content = json.dumps(self._pointer() | changes)
+        fs, tmp = self._fs_path(f"{self.root}/_pointer/_{uuid.uuid4().hex}")
+        out = fs.create(tmp)
+        out.write(bytearray(content.encode()))
+        out.close()
+        _, final = self._fs_path(f"{self.root}/_pointer/{number:012d}.json")
+        if not fs.rename(tmp, final):
+            raise RuntimeError(f"the pointer of {self.root} could not be moved")
+        for old in files[:-2]:
+            fs.delete(self._fs_path(old)[1], False)
+        self._sync()
+
+    def _sync(self) -> dict[str, dict]:
+        """Make the catalog's tables those of the pointer."""
+        pointer = self._pointer()
+        for name, entry in pointer.items():
+            q = self.qualified(name)
+            if self.spark.catalog.tableExists(q):
+                if self._location(name).rstrip("/").endswith(entry["path"].rstrip("/")):
+                    continue
+                self.spark.sql(f"ALTER TABLE {q} SET LOCATION '{entry['path']}'")
+                self.spark.sql(f"REFRESH TABLE {q}")
+            else:
+                self.spark.sql(f"CREATE TABLE {q} ({entry['columns']}) USING parquet "
+                               f"{entry.get('clustered', '')} LOCATION '{entry['path']}'")
+        return pointer
+
+    def _entry(self, name: str, path: str, schema: T.StructType) -> dict:
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+        entry = {"path": path, "columns": columns}
+        if name in BUCKET_COLUMN:
+            # the bucket count stays that of the table's creation
+            key, known = BUCKET_COLUMN[name], self._pointer().get(name, {}).get("clustered")
+            entry["clustered"] = known or (f"CLUSTERED BY (`{key}`) SORTED BY (`{key}`) "
+                                           f"INTO {self.buckets} BUCKETS")
+        return entry
 
     # -- naming -----------------------------------------------------------------
     def qualified(self, name: str) -> str:
         return f"{self.database}.{name}"
 
     def exists(self, name: str) -> bool:
-        return self.spark.catalog.tableExists(self.qualified(name))
+        return name in self._sync()
 
     def table(self, name: str) -> DataFrame:
+        self._sync()
         return self.spark.table(self.qualified(name))
 
     def keys(self, name: str = "artifactinfo", key: str = "uinfo_md5") -> DataFrame | None:
         return self.table(name).select(key) if self.exists(name) else None
 
-    def location(self, name: str) -> str:
+    def _location(self, name: str) -> str:
         rows = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.qualified(name)}").collect()
-        for r in rows:
-            if r.col_name == "Location":
-                return r.data_type
-        raise KeyError(name)
+        return next(r.data_type for r in rows if r.col_name == "Location")
+
+    def location(self, name: str) -> str:
+        return self._sync()[name]["path"]
 
     # -- writing ----------------------------------------------------------------
     def _writer(self, df: DataFrame, name: str):
         sort = [c for c in SORT_COLUMNS.get(name, ()) if c in df.columns]
-        if sort:
+        if sort and name not in BUCKET_COLUMN:
             df = df.sortWithinPartitions(*sort)
         w = df.write.format("parquet")
         if self.max_records_per_file:
@@ -84,38 +155,54 @@ class TableStore:
     def _new_folder(self, name: str) -> str:
         return f"{self.root}/{name}/v{int(time.time() * 1000):015d}_{uuid.uuid4().hex[:8]}"
 
-    def _point(self, name: str, path: str, schema: T.StructType | None = None) -> None:
-        q = self.qualified(name)
-        if self.exists(name):
-            self.spark.sql(f"ALTER TABLE {q} SET LOCATION '{path}'")
-            self.spark.sql(f"REFRESH TABLE {q}")
-        else:
-            ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields) \
-                if schema is not None else None
-            cols = f"({ddl}) " if ddl else ""
-            self.spark.sql(f"CREATE TABLE {q} {cols}USING parquet LOCATION '{path}'")
-
     @staticmethod
     def _counted(df: DataFrame) -> tuple[DataFrame, Observation]:
         """Count the written rows as a side effect of the write job (no extra pass)."""
         obs = Observation()
         return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
 
-    def overwrite(self, df: DataFrame, name: str) -> int:
-        """Write-then-swap replacement of the table's content (SNK-2); returns the rows."""
+    def write_version(self, df: DataFrame, name: str) -> tuple[dict, int]:
+        """Write ``df`` as a new version of the table that nothing points to yet; returns
+        (entry for ``replace_all``, rows)."""
         path = self._new_folder(name)
+        entry = self._entry(name, path, df.schema)
         df, obs = self._counted(df)
-        self._writer(df, name).mode("errorifexists").save(path)
-        self._point(name, path, df.schema)
-        return int(obs.get.get("rows", 0))
+        if "clustered" in entry:
+            self._write_buckets(df, name, entry)
+        else:
+            self._writer(df, name).mode("errorifexists").save(path)
+        return entry, int(obs.get.get("rows", 0))
+
+    def _write_buckets(self, df: DataFrame, name: str, entry: dict) -> None:
+        """Bucketed files can only be written through a catalog table: a passing one over
+        the folder, dropped again (it is external, the files stay)."""
+        key = BUCKET_COLUMN[name]
+        count = int(re.search(r"INTO (\d+) BUCKETS", entry["clustered"])[1])
+        passing = self.qualified(f"{name}_{uuid.uuid4().hex[:8]}")
+        self.spark.sql(f"CREATE TABLE {passing} ({entry['columns']}) USING parquet "
+                       f"{entry['clustered']} LOCATION '{entry['path']}'")
+        try:
+            (self._writer(df, name).bucketBy(count, key).sortBy(key)
+             .mode("append").saveAsTable(passing))
+        finally:
+            self.spark.sql(f"DROP TABLE {passing}")
 
-    def overwrite_split(self, df: DataFrame, flag: str, name_false: str, name_true: str
-                        ) -> tuple[int, int]:
-        """Write-then-swap of two tables from one job: rows with ``flag`` false go to
+    def replace_all(self, entries: dict[str, dict]) -> None:
+        """Point several tables at versions written before, all at once (SNK-2)."""
+        self._commit(entries)
+
+    def overwrite(self, df: DataFrame, name: str) -> int:
+        """Write-then-swap replacement of the table's content (SNK-2); returns the rows."""
+        entry, rows = self.write_version(df, name)
+        self._commit({name: entry})
+        return rows
+
+    def write_split(self, df: DataFrame, flag: str, name_false: str, name_true: str
+                    ) -> tuple[dict[str, dict], int, int]:
+        """New versions of two tables from one job: rows with ``flag`` false go to
         ``name_false``, true to ``name_true`` (one pass over ``df``, e.g. one JSON parse).
 
-        The write is partitioned by the flag; each table then points at its folder.
-        Returns the row counts (false, true).
+        The write is partitioned by the flag. Returns (entries, rows false, rows true).
         """
         path = self._new_folder(name_false)
         data_cols = [c for c in df.columns if c != flag]
@@ -129,19 +216,26 @@ class TableStore:
         if self.max_records_per_file:
             w = w.option("maxRecordsPerFile", self.max_records_per_file)
         w.partitionBy(flag).mode("errorifexists").save(path)
+        fs, _ = self._fs_path(path)
+        for part in "01":  # a table needs its folder even if no row went there
+            fs.mkdirs(self._fs_path(f"{path}/{flag}={part}")[1])
         schema = df.select(*data_cols).schema
-        self._point(name_false, f"{path}/{flag}=0", schema)
-        self._point(name_true, f"{path}/{flag}=1", schema)
         m = obs.get
-        return int(m.get("n_false", 0)), int(m.get("n_true", 0))
+        entries = {name_false: self._entry(name_false, f"{path}/{flag}=0", schema),
+                   name_true: self._entry(name_true, f"{path}/{flag}=1", schema)}
+        return entries, int(m.get("n_false", 0)), int(m.get("n_true", 0))
 
     def append(self, df: DataFrame, name: str) -> int:
         """Append with one write job; creates the table on first use (SNK-1); returns the
         rows appended."""
-        if not self.exists(name):
+        pointer = self._sync()
+        if name not in pointer:
             return self.overwrite(df, name)
         df, obs = self._counted(df)
-        self._writer(df, name).mode("append").save(self.location(name))
+        if "clustered" in pointer[name]:
+            self._write_buckets(df, name, pointer[name])
+        else:
+            self._writer(df, name).mode("append").save(pointer[name]["path"])
         self.spark.sql(f"REFRESH TABLE {self.qualified(name)}")
         return int(obs.get.get("rows", 0))
 
@@ -152,6 +246,10 @@ class TableStore:
         p = jvm.org.apache.hadoop.fs.Path(path)
         return p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), p
 
+    def folder_exists(self, path: str) -> bool:
+        fs, p = self._fs_path(path)
+        return fs.exists(p)
+
     def versions(self, name: str) -> list[str]:
         """Version folders of a table, oldest first (names sort by write time)."""
         fs, p = self._fs_path(f"{self.root}/{name}")
@@ -161,15 +259,15 @@ class TableStore:
                       if st.isDirectory() and st.getPath().getName().startswith("v"))
 
     def vacuum(self, name: str, keep: int = 1) -> list[str]:
-        """Delete old version folders of ``name``: all but the newest ``keep``, and never
-        one that a table of this store points to. Returns the deleted folders."""
-        in_use = [self.location(t.name) for t in self.spark.catalog.listTables(self.database)
-                  if not t.isTemporary]  # the listing also holds the session's temp views
+        """Delete old version folders of ``name``: all but the newest ``keep`` (at least
+        one), and never one that the store's pointer names. Returns the deleted folders."""
+        in_use = [e["path"] for e in self._pointer().values()]
         versions = self.versions(name)
-        newest = set(versions[-keep:]) if keep > 0 else set()
+        newest = set(versions[-max(keep, 1):])
         removed = []
         for v in versions:
-            if v in newest or any(loc == v or loc.startswith(v + "/") for loc in in_use):
+            folder = v.rsplit("/", 1)[-1]  # folder names are unique
+            if v in newest or any(folder in loc.split("/") for loc in in_use):
                 continue
             fs, p = self._fs_path(v)
             fs.delete(p, True)
@@ -177,11 +275,12 @@ class TableStore:
         return removed
 
     def declare(self, names=("artifactinfo", "gav", "g", "ga")) -> None:
-        """Create empty tables with the declared schemas, when missing (SNK-3)."""
-        for name in names:
-            if not self.exists(name):
-                empty = self.spark.createDataFrame([], TABLES[name])
-                self.overwrite(empty, name)
+        """Create empty tables with the declared schemas, when missing (SNK-3); the two
+        views over them are in ``plans.catalog.declare_views``."""
+        missing = [n for n in names if not self.exists(n)]
+        if missing:
+            self._commit({n: self.write_version(self.spark.createDataFrame([], TABLES[n]), n)[0]
+                          for n in missing})
 
 
 def export_json(artifactinfo: DataFrame, path: str) -> str:

@@ -31,6 +31,10 @@ RETURNFLAG_CLASSIFIER = {"R": "sources", "N": "bin"}
 EXTENSION_BY_SUPPKEY = ("pom", "zip", "zip.sha512")  # suppkey % 5 = 0, 1, 2; else "jar"
 BAD_CHECKSUM_SUFFIX = " bad-checksum"
 REPOSITORY = "central"
+# Records that break a declared limit or lack a value: l_orderkey % n = 0.
+NO_GROUP, NO_ARTIFACT, NO_VERSION = 541, 547, 521
+LONG_GROUP, LONG_ARTIFACT, LONG_VERSION = 571, 577, 523
+LONG_CLASSIFIER, LONG_EXTENSION, LONG_PACKAGING, LONG_NAME = 509, 569, 563, 503
 ORDER_COLUMNS = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "lastModified")
 
 # Bit width of the in-partition position inside monotonically_increasing_id().
@@ -120,6 +124,22 @@ def record_columns(j: DataFrame) -> DataFrame:
                 .when(ext_sel == 1, F.lit(EXTENSION_BY_SUPPKEY[1]))
                 .when(ext_sel == 2, F.lit(EXTENSION_BY_SUPPKEY[2]))
                 .otherwise(F.lit("jar")))
+    version = _version(okey, n, b, s)
+    every = lambda k: okey % k == 0
+    none = F.lit(None).cast("string")
+    filled = lambda c, k: F.repeat(F.lit(c), F.lit(k))
+    group_id = F.when(every(NO_GROUP), none).when(every(LONG_GROUP), filled("g", 260)).otherwise(group_id)
+    artifact_id = (F.when(every(NO_ARTIFACT), none).when(every(LONG_ARTIFACT), filled("a", 260))
+                   .otherwise(artifact_id))
+    version = (F.when(every(NO_VERSION), none)
+               .when(every(LONG_VERSION), F.concat(version, filled(".1", 70))).otherwise(version))
+    classifier = F.when(every(LONG_CLASSIFIER), filled("c", 130)).otherwise(classifier)
+    file_ext = F.when(every(LONG_EXTENSION), filled("e", 260)).otherwise(file_ext)
+    packaging = F.when(every(LONG_PACKAGING), filled("p", 260)).otherwise(file_ext)
+    attributes = F.when(every(7), F.create_map(
+        F.lit("Bundle-Version"), F.concat(n, F.lit(".0")), F.lit("note"), F.lit('a "quoted" value')))
+    highlights = (F.when(okey % 13 == 0, F.array().cast("array<string>"))
+                  .when(okey % 13 == 1, F.array(F.lit("h1"), n)))
     sha1 = F.sha1(okey.cast("string").cast("binary"))
     present = F.lit("PRESENT")
     not_present = F.lit("NOT_PRESENT")
@@ -130,14 +150,14 @@ def record_columns(j: DataFrame) -> DataFrame:
         (okey % 211 != 0).alias("is_artifact"),
         group_id.alias("groupId"),
         artifact_id.alias("artifactId"),
-        _version(okey, n, b, s).alias("version"),
+        version.alias("version"),
         classifier.alias("classifier"),
         file_ext.alias("fileExtension"),
-        file_ext.alias("packaging"),
-        F.when(p["p_partkey"] % 4 == 0, F.lit(None).cast("string")).otherwise(p["p_name"]
-                                                                              ).alias("name"),
-        F.when(p["p_partkey"] % 3 == 0, F.lit(None).cast("string")).otherwise(
-            F.concat(p["p_name"], F.lit(" é "), p["p_type"])).alias("description"),
+        packaging.alias("packaging"),
+        F.when(every(LONG_NAME), filled("n", 1030)).when(p["p_partkey"] % 4 == 0, none)
+        .otherwise(p["p_name"]).alias("name"),
+        F.when(p["p_partkey"] % 3 == 0, none).otherwise(
+            F.concat(p["p_name"], F.lit(' é "'), p["p_type"], F.lit('" \\'))).alias("description"),
         F.col("lastModified"),
         (okey * 1000 + F.col("l_linenumber")).alias("size"),
         F.when(okey % 997 == 0, F.concat(sha1, F.lit(BAD_CHECKSUM_SUFFIX))).otherwise(sha1
@@ -149,6 +169,9 @@ def record_columns(j: DataFrame) -> DataFrame:
                                                                  ).alias("javadocExists"),
         F.when(F.col("l_linenumber") % 3 == 0, present).otherwise(not_present
                                                                  ).alias("signatureExists"),
+        attributes.alias("attributes"),
+        F.when(every(11), F.lit("central-ctx")).alias("context"),
+        highlights.alias("matchHighlights"),
     )
     return rec.withColumn(
         "uinfo",
@@ -211,7 +234,23 @@ def raw_index_from_tables(lineitem: DataFrame, part: DataFrame) -> DataFrame:
     return ordered.select(*[F.col(f.name).cast(f.dataType) for f in RAW_INDEX.fields])
 
 
+# Raw index written before, per session and data folder, so that queries share it.
+_WRITTEN: dict[tuple[str, str], DataFrame] = {}
+
+
 def raw_index(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lineitem = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
-    part = spark.read.parquet(f"{sf_dir}/part.parquet")
-    return raw_index_from_tables(lineitem, part)
+    """The raw index of a data folder; it is derived and written once per session."""
+    known = (spark.sparkContext.applicationId, sf_dir)
+    df = _WRITTEN.get(known)
+    if df is None or not _readable(df):
+        lineitem = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+        part = spark.read.parquet(f"{sf_dir}/part.parquet")
+        df = _WRITTEN[known] = raw_index_from_tables(lineitem, part)
+    return df
+
+
+def _readable(df: DataFrame) -> bool:
+    """Whether the files below ``df`` are still there (a scratch folder may be cleared)."""
+    jvm, conf = df.sparkSession._jvm, df.sparkSession._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path(df.inputFiles()[0])
+    return path.getFileSystem(conf).exists(path)

@@ -1,11 +1,11 @@
-"""Index scan (SRC-1), live-record filter (SRC-2) and table reads (SRC-4)."""
+"""Index scan (SRC-1) and live-record filter (SRC-2)."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ..schemas import RAW_INDEX, TABLES
+from ..schemas import RAW_INDEX
 
 
 def read_index(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
@@ -35,7 +35,3 @@ def live_records(raw: DataFrame, observation: Observation | None = None) -> Data
         )
     return raw.filter(live & artifact)
 
-
-def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """Read one stored table written by this package."""
-    return spark.read.schema(TABLES[name]).parquet(f"{root}/{name}")

@@ -50,8 +50,9 @@ def canon(cols, rows):
 
 
 def compare(spark, sf_dir: str, names=None, con=None, verbose=True) -> dict:
-    import __spark_entry__ as E
-    qs, sqls = E.queries(), E.oracle_sql()
+    from gavlake import oracle
+    from gavlake.queries import REGISTRY as qs
+    sqls = oracle.sql()
     con = con or duck(sf_dir)
     results = {}
     for name in names or sorted(qs):

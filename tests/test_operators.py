@@ -16,7 +16,7 @@ from gavlake.functions.columns import (
 )
 from gavlake.operators import analytics as A
 from gavlake.operators.derived import flatten_gav, group_artifact_rollup, group_rollup
-from gavlake.operators.quality import enforce_limits, length_violations, split_valid
+from gavlake.operators.quality import enforce_limits, length_violations, with_reject_flag
 from gavlake.operators.records import artifactinfo_from_records
 from gavlake.operators.views import extension_filter, ga_latest, stable_binaries
 from gavlake.plans.etl import full_plan
@@ -28,7 +28,8 @@ def raw_row(doc_ord, uinfo="g|a|1.0|NA|jar", live=True, artifact=True, **kw):
                 artifactId="a", version="1.0", classifier=None, fileExtension="jar",
                 packaging="jar", name="n", description="d", lastModified=1_700_000_000_499,
                 size=10, sha1="x" * 40, repository="central", sourcesExists="PRESENT",
-                javadocExists="NOT_PRESENT", signatureExists="NOT_AVAILABLE")
+                javadocExists="NOT_PRESENT", signatureExists="NOT_AVAILABLE",
+                attributes=None, context=None, matchHighlights=None)
     base.update(kw)
     return tuple(base[f.name] for f in RAW_INDEX.fields)
 
@@ -209,8 +210,8 @@ def test_quality_modes(spark):
     v = length_violations(gav, "gav").collect()
     assert sorted((r.column_name, r.rule) for r in v) == [
         ("artifact_version", "max_length_128"), ("group_id", "not_null"), ("sha1", "max_length_40")]
-    good, bad = split_valid(gav, "gav")
-    assert good.count() == 1 and bad.count() == 2
+    flagged = with_reject_flag(gav, "gav").collect()
+    assert sorted(r.rejected for r in flagged) == [False, True, True]
     assert enforce_limits(gav.limit(1), "gav").count() == 1
     with pytest.raises(Exception, match="declared limit broken"):
         enforce_limits(gav, "gav").collect()
@@ -304,9 +305,9 @@ def test_extension_table_above_bound_uses_shuffle_join(spark, monkeypatch):
     import gavlake.operators.views as V
     gav = _gav(spark, [dict(file_extension=e) for e in ("jar", "zip", "pom", "war")])
     ext = spark.createDataFrame([("jar",), ("zip",)], "extension string")
-    small = V.extension_filter(gav, ext)
+    small = V.extension_filter(gav, ext, small_extensions=V.extensions_are_small(ext))
     monkeypatch.setattr(V, "MAX_BROADCAST_EXTENSIONS", 1)
-    big = V.extension_filter(gav, ext)
+    big = V.extension_filter(gav, ext, small_extensions=V.extensions_are_small(ext))
 
     def analyzed(df):
         return df._jdf.queryExecution().analyzed().toString().lower()
@@ -315,3 +316,45 @@ def test_extension_table_above_bound_uses_shuffle_join(spark, monkeypatch):
     assert "strategy=broadcast" in analyzed(small) and "strategy=broadcast" not in analyzed(big)
     assert "leftsemi" in analyzed(big)
     assert sorted(r.file_extension for r in big.collect()) == ["jar", "zip"]
+
+
+def test_uinfo_is_cut_at_250(spark):
+    rows = [raw_row(i, uinfo="u" * n) for i, n in enumerate((249, 250, 251, 300), start=1)]
+    got = artifactinfo_from_records(spark.createDataFrame(rows, RAW_INDEX)).collect()
+    assert sorted((r.uinfo_length, len(r.uinfo)) for r in got) == [(249, 249), (250, 250), (251, 250), (300, 250)]
+
+
+def test_nested_record_keys_reach_the_json(spark):
+    import json
+    row = raw_row(1)
+    names = [f.name for f in RAW_INDEX.fields]
+    full = dict(zip(names, row))
+    full.update(attributes={"k": 'a "quoted" value'}, context="ctx", matchHighlights=["x", "y"])
+    ai = artifactinfo_from_records(spark.createDataFrame([tuple(full[n] for n in names)], RAW_INDEX)).first()
+    doc = json.loads(ai.json)
+    assert doc["attributes"] == {"k": 'a "quoted" value'} and doc["matchHighlights"] == ["x", "y"]
+    assert doc["context"] == "ctx"
+
+
+def test_rolled_up_latest_equals_the_general_one(spark):
+    gav = _gav(spark, [dict(), dict(artifact_id="b", version_seq=None), dict(artifact_id=None),
+                       dict(group_id=None), dict(artifact_version="2.0")], nullable=True)
+    ga = group_artifact_rollup(gav)
+    a = sorted(map(repr, ga_latest(ga, gav).collect()))
+    assert a == sorted(map(repr, ga_latest(ga, gav, rolled_up=True).collect())) and len(a) >= 4
+
+
+def test_lazy_functions_start_no_job(spark):
+    from gavlake.operators.views import extension_filter
+    gav = _gav(spark, [dict()])
+    ext = spark.createDataFrame([("jar",)], "extension string")
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("lazy", "lazy")
+    try:
+        extension_filter(gav, ext)
+        stable_binaries(gav)
+        ga_latest(group_artifact_rollup(gav), gav)
+        A.json_rows_lateral(_ai_with_json(spark, ["{}"]))
+        assert list(tracker.getJobIdsForGroup("lazy")) == []
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from gavlake import oracle
 from gavlake.operators import analytics as A
@@ -33,7 +34,7 @@ def long_metadata(spark):
 @pytest.fixture(scope="module")
 def store(spark):
     s = TableStore(spark, scratch_path(spark, "plans"))
-    run_all(spark, raw_index(spark, SMALL_SF), s)
+    run_all(spark, raw_index(spark, SMALL_SF), s, limits="quarantine")
     return s
 
 
@@ -86,3 +87,67 @@ def test_small_batch_does_not_shuffle_the_store(spark, store):
 def test_key_lookup_pushes_binary_equality(store):
     p = plan(A.find_by_md5(store.table("artifactinfo"), oracle.LOOKUP_UINFO))
     assert re.search(r"PushedFilters: \[[^\]]*EqualTo\(uinfo_md5", p), p
+
+
+def test_key_lookup_reads_one_bucket(spark, store):
+    # the plan names the buckets only where it also reads them as partitions
+    spark.conf.set("spark.sql.sources.bucketing.autoBucketedScan.enabled", "false")
+    try:
+        p = plan(A.find_by_md5(store.table("artifactinfo"), oracle.LOOKUP_UINFO))
+    finally:
+        spark.conf.unset("spark.sql.sources.bucketing.autoBucketedScan.enabled")
+    assert re.search(r"SelectedBucketsCount: 1 out of (\d+)", p), p
+    assert A.find_by_md5(store.table("artifactinfo"), oracle.LOOKUP_UINFO).count() == 1
+    key = store.table("artifactinfo").first().uinfo_md5
+    assert A.find_by_key(store.table("artifactinfo"), bytes(key)).count() == 1
+    assert A.find_by_key(store.table("artifactinfo"), bytes(key).hex()).count() == 1
+
+
+def test_large_batch_join_does_not_shuffle_the_store(spark, store):
+    """The store's buckets are the partitions that the anti join asks for."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        ai = store.table("artifactinfo")
+        batch = ai.select(F.unhex(F.md5("uinfo_md5")).alias("uinfo_md5"))
+        p = plan(new_records(batch, ai, small_batch=False))
+        assert p.count("Exchange hashpartitioning") == 1, p
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_coordinate_lookup_can_skip_files(spark):
+    """Files of ``gav`` hold narrow ranges: few can hold a given group, and a hot group fills several."""
+    import glob
+
+    import pyarrow.parquet as pq
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        s = TableStore(spark, scratch_path(spark, "ranges"))
+        run_all(spark, raw_index(spark, SMALL_SF), s, limits="quarantine")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    ranges = []
+    for f in glob.glob(s.location("gav").removeprefix("file:") + "/*.parquet"):
+        meta = pq.ParquetFile(f).metadata
+        col = next(i for i in range(meta.num_columns) if meta.row_group(0).column(i).path_in_schema == "group_id")
+        stats = [meta.row_group(g).column(col).statistics for g in range(meta.num_row_groups)]
+        ranges.append((min(x.min for x in stats), max(x.max for x in stats)))
+    assert len(ranges) >= 6
+    assert 1 <= sum(lo <= oracle.LOOKUP_GROUP <= hi for lo, hi in ranges) <= 3
+    top = s.table("g").orderBy("artifact_version_counter", ascending=False).first().group_id
+    assert any(lo <= top <= hi for lo, hi in ranges)
+
+
+def test_json_work_comes_after_the_limit(store):
+    for df in (A.json_keys(store.table("artifactinfo")), A.json_rows_lateral(store.table("artifactinfo"))):
+        p = plan(df)
+        below = p[p.rindex("TakeOrderedAndProject"):].split("\n", 1)[1]
+        assert not re.search(r"(?i)invoke|json_object_keys|from_json|Generate", below), p
+
+
+def test_ga_latest_reads_gav_once(store):
+    from gavlake.operators.views import ga_latest
+    p = plan(ga_latest(store.table("ga"), store.table("gav"), rolled_up=True))
+    assert len(re.findall(r"Location: [^\n]*/gav/", p)) == 1 or p.count("description:string") == 1

@@ -8,9 +8,7 @@ import re
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
-
-from gavlake.functions.version import version_columns
+from gavlake.functions.version import with_version_key
 
 GOLDEN = [
     ("1.2.3", 1, 10002000003000000),
@@ -72,8 +70,7 @@ def model(version: str) -> tuple[int, int]:
 
 def _spark_keys(spark, versions):
     df = spark.createDataFrame([(v,) for v in versions], "version string")
-    m, s = version_columns(F.col("version"))
-    return {r.version: (r.m, r.s) for r in df.select("version", m.alias("m"), s.alias("s")).collect()}
+    return {r.version: (r.major_version, r.version_seq) for r in with_version_key(df).collect()}
 
 
 def test_golden_table(spark):
@@ -89,9 +86,8 @@ def test_model_matches_golden():
 
 def test_null_version_gives_nulls(spark):
     df = spark.createDataFrame([(None,)], "version string")
-    m, s = version_columns(F.col("version"))
-    row = df.select(m.alias("m"), s.alias("s")).first()
-    assert row.m is None and row.s is None
+    row = with_version_key(df).first()
+    assert row.major_version is None and row.version_seq is None
 
 
 def _random_versions(n: int, seed: int = 7) -> list[str]:
@@ -119,7 +115,7 @@ def _random_versions(n: int, seed: int = 7) -> list[str]:
 
 
 def test_property_against_model(spark):
-    versions = _random_versions(4000)
+    versions = _random_versions(4000) + [g[0] for g in GOLDEN]
     got = _spark_keys(spark, versions)
     bad = [(v, got[v], model(v)) for v in versions if got[v] != model(v)]
     assert not bad, bad[:5]
@@ -130,12 +126,3 @@ def test_property_against_model(spark):
 def test_property_single_strings(spark, version):
     assert _spark_keys(spark, [version])[version] == model(version)
 
-
-def test_staged_form_matches_model(spark):
-    """The staged DataFrame form used by the load, on the same 4,000 strings + golden rows."""
-    from gavlake.functions.version import with_version_key
-    versions = _random_versions(4000) + [g[0] for g in GOLDEN]
-    df = with_version_key(spark.createDataFrame([(v,) for v in sorted(set(versions))], "version string"))
-    bad = [(r.version, (r.major_version, r.version_seq), model(r.version))
-           for r in df.collect() if (r.major_version, r.version_seq) != model(r.version)]
-    assert not bad, bad[:5]
