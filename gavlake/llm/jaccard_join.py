@@ -106,7 +106,12 @@ def _cut(tokens, fragments, whole):
 
 
 def _postings(docs, fragments, size, pct, whole):
-    """(fragment, tokens, names): n-grams of extended prefixes (or whole sets), once a task."""
+    """(fragment, tokens, names): n-grams of extended prefixes (or whole sets), once a task.
+
+    N-grams of prefixes go as their low 32 bits: a fragment's range fixes most of the rest,
+    and where two of them match by chance a set only stays that the next count drops.
+    """
+    width = np.uint64 if whole else np.uint32
 
     def emit(batches):
         seen: set[int] = set()
@@ -126,7 +131,7 @@ def _postings(docs, fragments, size, pct, whole):
             toks, names = np.concatenate(toks), np.concatenate(names)
             at = _cut(toks, fragments, whole)
             order = np.argsort(at, kind="stable")
-            at, toks, names = at[order], toks[order], names[order]
+            at, toks, names = at[order], toks[order].astype(width), names[order]
             edge = np.flatnonzero(np.diff(at, prepend=-1))
             ends = np.append(edge[1:], len(at))
             yield pa.RecordBatch.from_arrays(
@@ -138,22 +143,6 @@ def _postings(docs, fragments, size, pct, whole):
     return docs.select("text").mapInArrow(emit, "fragment int, tokens binary, names binary")
 
 
-def _narrow(postings):
-    """Tokens cut to their low 32 bits: a fragment's range fixes most of the rest.
-
-    For the first count only, where a chance match of two n-grams lets a set stay that the
-    next count drops.
-    """
-
-    def cut(batches):
-        for batch in batches:
-            small = [np.frombuffer(x, np.uint64).astype(np.uint32).tobytes()
-                     for x in batch.column("tokens").to_pylist()]
-            yield batch.set_column(1, "tokens", pa.array(small, pa.binary()))
-
-    return postings.mapInArrow(cut, postings.schema)
-
-
 def _gather(table, dtype):
     parts = [np.frombuffer(x, dtype) for x in table.column("tokens").to_pylist()]
     names = [np.frombuffer(x, np.int64) for x in table.column("names").to_pylist()]
@@ -199,7 +188,7 @@ def linked_sets(docs: DataFrame, sets: DataFrame, pct: int, size: int) -> DataFr
     """(k, root) of the sets that link with another set; root names their component."""
     spark = docs.sparkSession
     fragments = 4 * shuffle_partitions(spark)
-    hits = (_partial_counts(_narrow(_postings(docs, fragments, size, pct, False)))
+    hits = (_partial_counts(_postings(docs, fragments, size, pct, False))
             .groupBy("k").agg(F.sum("shared").alias("shared")))
     # of all rows with one set, one goes on; a partner's prefix may be shorter, hence spare(need)
     least = F.expr(f"greatest(1, (({pct} * n + 99) div 100 + 9) div 10)")

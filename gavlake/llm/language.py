@@ -34,7 +34,7 @@ PIECE_BYTES, WORD_BYTES = 8, 32
 #: Expected uses that every piece is given besides those counted.
 SMOOTHING = 0.01
 #: Words whose scores a task keeps; then it begins anew.
-KEPT_WORDS = 400_000
+KEPT_WORDS = 200_000
 
 
 def read_pieces(path: str = VOCABULARY) -> np.ndarray:

@@ -13,7 +13,7 @@ import pyarrow.compute as pc
 
 from gavlake.llm.scratch import ship_by_value
 
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 _U = np.uint64
 
 
@@ -100,7 +100,7 @@ class SpanHasher:
     BASE = 0x9E3779B97F4A7C15
     INVERSE = pow(BASE, -1, 1 << 64)
 
-    def __init__(self, block=1 << 19):
+    def __init__(self, block=1 << 18):
         self.block = block
         self.letters = mix(np.arange(1, 257, dtype=_U) * _U(self.BASE))
         self._tables(2 * block)
