@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
-import random
-
 import pytest
+from llm_text import prose
 
 SMALL_SF = "/root/testdata/sf0.001"
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
@@ -12,12 +11,6 @@ CLASHES = ("k", "n", "size", "score", "shard", "slot", "row", "part", "own", "pl
            "lang_pred", "n_lines", "tokens", "label", "law", "held_out", "root", "pattern", "copies")
 
 
-def prose(seed: int, words: int) -> str:
-    r = random.Random(seed)
-    return " ".join("".join(r.choice(["the", "an", "er", "in", "ou", "st", "re"]) for _ in range(r.randint(1, 3)))
-                    for _ in range(words))
-
-
 @pytest.fixture(scope="session")
 def edge_rows():
     long = prose(1, 40_000)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import random
 
 import numpy as np
-from conftest import prose
+from llm_text import prose
 
 from gavlake.llm import decontaminate as dc
 

@@ -6,7 +6,7 @@ import random
 import re
 import string
 
-from conftest import prose
+from llm_text import prose
 
 from gavlake.llm.components import components
 from gavlake.llm.jaccard_join import jaccard_components, one_per_component
