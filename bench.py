@@ -4,7 +4,8 @@ Runs the load and refresh the way they are used: the raw index is prepared once
 (derived from lineitem/part, timed separately), then ``artifactinfo`` is loaded from
 it without its newest 1%, the derived tables are refreshed (``gav``, ``g``, ``ga``; write-then-swap,
 rows that break a limit set aside), the newest 1% arrives as an incremental stream batch
-and is appended, and the views and sample queries run over the stored tables. Each query is executed in full with the ``noop`` sink (no collect).
+and is appended, and the views and sample queries run over the stored tables. Each query is
+executed in full with the ``noop`` sink (no collect).
 
 Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8).
 Prints one JSON line.

@@ -78,7 +78,12 @@ class TableStore:
         files = self._pointer_files()
         if not files:
             return {}
-        return json.loads("".join(r.value for r in self.spark.read.text(files[-1], wholetext=True).collect()))
+        fs, p = self._fs_path(files[-1])
+        stream = fs.open(p)
+        try:
+            return json.loads(self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+        finally:
+            stream.close()
 
     def _commit(self, changes: dict[str, dict]) -> None:
         """Move the pointer for all ``changes`` at once: a new file, visible by one rename."""
