@@ -329,7 +329,8 @@ def jaccard_components(docs: DataFrame, pct: int = SIMILARITY_PCT,
         classes = classes.select("k", F.col("k").alias("root"), F.col("least").alias("component_id"))
     else:
         rooted = classes.join(roots, "k", "left").withColumn("root", F.coalesce("root", "k"))
-        ids = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
+        # written, so that the join's sides are both plain exchanges, which AQE can split
+        ids = staged(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "ids")
         classes = rooted.join(ids, "root").select("k", "root", "component_id")
     own = F.col("n") == 0
     return (sets.join(classes, (sets["k"] == classes["k"]) & (sets["n"] > 0), "left")
@@ -347,13 +348,13 @@ def one_per_component(docs: DataFrame, pct: int = SIMILARITY_PCT) -> DataFrame:
     parts = staged(jaccard_components(docs, pct).where("root is not null")
                    .select("root", "doc_id", "text_key"), "parts")
     rows = parts.groupBy("root", "doc_id", "text_key").agg(F.count("*").alias("c"))
-    first = parts.groupBy("root").agg(
-        F.min(F.struct(F.col("doc_id").isNull().alias("u"), "doc_id", "text_key")).alias("row"))
+    first = staged(parts.groupBy("root").agg(
+        F.min(F.struct(F.col("doc_id").isNull().alias("u"), "doc_id", "text_key")).alias("row")), "first")
     rows = staged(rows.join(first, "root").select(
         F.col("doc_id").alias("_d"), F.col("text_key").alias("_t"), "c",
         (F.col("row.doc_id").eqNullSafe(F.col("doc_id"))
          & (F.col("row.text_key") == F.col("text_key"))).alias("stays")), "rows")
-    discard(parts)
+    discard(parts, first)
     same = F.col("doc_id").eqNullSafe(F.col("_d")) & (F.xxhash64("text") == F.col("_t"))
     losers = rows.where("not stays").select("_d", "_t")
     kept = docs.join(_bounded(losers, losers.count()), same, "left_anti")
