@@ -44,8 +44,11 @@ def brute(docs, items):
     out = set()
     for d, t in docs:
         words = words_of(t or "")
+        own = set(grams(words))
         for i, w in items:
             b = grams(w)
+            if not own & set(b):
+                continue  # similarity 0 everywhere
             for at in range(-len(w) + 5, len(words) - 4):
                 a = grams(words[max(0, at):at + len(w)])
                 low = sum(min(n, b[g]) * weight(g) for g, n in a.items() if g in b)
