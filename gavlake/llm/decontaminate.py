@@ -7,8 +7,10 @@ window gets a 128-bit SimHash of its weighted shingles. A multi-index over the i
 (16 blocks of 8 bits, each block probed with its value and all values one bit away) returns
 every item within Hamming distance 31: of 31 differing bits, some block holds at most one.
 Items that it returns are verified by their exact weighted-shingle similarity (sum of minima
-over sum of maxima). A shingle weighs its count times ln(1 + items / items that hold it),
-items of the same pass.
+over sum of maxima). A shingle weighs its count times ln(1 + items / items that hold it), items of the
+whole benchmark: both numbers are counted once, and every pass has those of all shingles that
+several items hold, as a document's window may hold shingles of other passes' items. So passes
+do not change a result.
 
 Two texts at similarity 0.8 differ in 19 of 128 bits on average (standard deviation 4), so
 the radius lies three deviations above that.
@@ -16,6 +18,7 @@ the radius lies three deviations above that.
 
 from __future__ import annotations
 
+from array import array
 from collections import Counter
 
 import numpy as np
@@ -49,11 +52,23 @@ def _fingerprint(hashes, weights):
     return np.packbits(weights @ (2.0 * bits - 1.0) > 0)
 
 
+class Holders:
+    """Items per shingle, of those that several items hold; 16 bytes a shingle."""
+
+    def __init__(self, keys, counts):
+        order = np.argsort(keys)
+        self.keys, self.counts = keys[order], counts[order]
+
+    def get(self, shingle, default):
+        at = int(np.searchsorted(self.keys, np.uint64(shingle)))
+        return int(self.counts[at]) if at < len(self.keys) and int(self.keys[at]) == shingle else default
+
+
 class Benchmark:
     """Items of one pass, ready to be looked up."""
 
     def __init__(self, ids, texts, holders, total):
-        """``holders``: items of the pass per shingle; ``total``: their number."""
+        """``holders``: items of the whole benchmark per shingle; ``total``: their number."""
         hasher = SpanHasher()
         self.ids, self.sizes, self.counts, prints = [], [], [], []
         self.total, self.holders = total, holders
@@ -124,12 +139,14 @@ class Benchmark:
         return found
 
 
+def _items(benchmark: DataFrame) -> DataFrame:
+    return benchmark.select("item_id", F.lower("text").alias("text")).where("text is not null")
+
+
 def _passes(benchmark: DataFrame):
     """The benchmark in blocks of items, by item_id. Rows of null text or under 5 words match nothing."""
-    rows = (benchmark.select(F.col("item_id"), F.lower("text").alias("text"))
-            .where("text is not null").orderBy("item_id", "text").toLocalIterator())
     block: list = []
-    for row in rows:
+    for row in _items(benchmark).orderBy("item_id", "text").toLocalIterator():
         block.append((row.item_id, row.text))
         if len(block) == ITEMS_PER_PASS:
             yield block
@@ -138,16 +155,30 @@ def _passes(benchmark: DataFrame):
         yield block
 
 
-def _holders(block):
-    """Shingle -> number of items; and the number of items."""
-    holders: Counter = Counter()
-    hasher = SpanHasher()
-    for _, raw, offsets in text_slices(pa.array([t for _, t in block], pa.string())):
-        words, at = _words(raw, offsets, hasher)
-        h, row = shingles(words, at, SHINGLE_WORDS)
-        for r in range(len(row) - 1):
-            holders.update(set(h[row[r]:row[r + 1]].tolist()))
-    return dict(holders), len(block)
+def _holders(benchmark: DataFrame):
+    """Broadcast items per shingle, and the number of items, of the whole benchmark.
+
+    A shingle that one item holds weighs as one that no item holds, so only the others are kept.
+    """
+
+    def own(batches):
+        hasher = SpanHasher()
+        for batch in batches:
+            for _, raw, offsets in text_slices(batch.column("text")):
+                words, at = _words(raw, offsets, hasher)
+                h, row = shingles(words, at, SHINGLE_WORDS)
+                sets = [np.unique(h[row[r]:row[r + 1]]) for r in range(len(row) - 1)]
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(sets).view(np.int64))], ["shingle"])
+
+    items = _items(benchmark)
+    several = (items.select("text").mapInArrow(own, "shingle bigint")
+               .groupBy("shingle").agg(F.count("*").alias("n")).where("n > 1"))
+    keys, counts = array("q"), array("q")
+    for row in several.toLocalIterator():
+        keys.append(row.shingle)
+        counts.append(row.n)
+    held = Holders(np.array(keys, np.int64).view(np.uint64), np.array(counts, np.int64))
+    return benchmark.sparkSession.sparkContext.broadcast(held), items.count()
 
 
 def _found(column, benchmark):
@@ -164,13 +195,13 @@ def _found(column, benchmark):
                     yield first + int(r), found
 
 
-def _once(block):
+def _once(block, holders, total):
     """The block's index, built at its first use in a task."""
     built: list = []
 
     def get():
         if not built:
-            built.append(Benchmark([i for i, _ in block], [t for _, t in block], *_holders(block)))
+            built.append(Benchmark([i for i, _ in block], [t for _, t in block], holders.value, total))
         return built[0]
 
     return get
@@ -182,16 +213,17 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     One row for each row of ``docs`` (doc_id, text) and item of ``benchmark`` (item_id, text)
     that match; of equally similar windows the first. Null and empty texts, and those under 5
     words, match nothing; repeated rows and items match each on their own; an empty
-    benchmark or table gives no rows. Other columns are not read. No shuffle: the items of a
-    pass are a bounded set that every task holds.
+    benchmark or table gives no rows. Other columns are not read. Documents are not shuffled: every
+    task holds the items of a pass, and of the whole benchmark the counts of ``Holders``.
     """
     schema = ("doc_id bigint, item_id bigint, similarity double, distance int, "
               "first_word bigint, n_words bigint")
     small_batches(docs.sparkSession)
     out = docs.sparkSession.createDataFrame([], schema)
     rows = docs.select("doc_id", F.lower("text").alias("text"))
+    holders, total = _holders(benchmark)
     for k, block in enumerate(_passes(benchmark)):
-        items = _once(block)
+        items = _once(block, holders, total)
 
         def search(batches, items=items):
             for batch in batches:
@@ -214,8 +246,9 @@ def decontaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     small_batches(docs.sparkSession)
     low = "_text_lower_case"
     out = docs
+    holders, total = _holders(benchmark)
     for block in _passes(benchmark):
-        items = _once(block)
+        items = _once(block, holders, total)
 
         def clean(batches, items=items):
             for batch in batches:

@@ -106,3 +106,31 @@ def test_edge_cases(spark, edge_docs, edge_rows, no_docs):
     assert kept.columns == edge_docs.columns and kept.count() == len(edge_rows) - 5
     assert dc.contaminated(no_docs, items).collect() == [] and dc.decontaminated(no_docs, items).collect() == []
     assert dc.decontaminated(edge_docs, items.limit(0)).count() == len(edge_rows)
+
+
+def test_weights_are_those_of_the_whole_benchmark(spark, monkeypatch):
+    """Passages whose boilerplate, held by all items, is reworded: the same result in any passes."""
+    shared, second = [f"common{i}" for i in range(24)], [f"second{i}" for i in range(24)]
+    items = [(i, " ".join([*(shared if i < 9 else second), *(f"own{i}x{j}" for j in range(40))])) for i in range(12)]
+    docs = []
+    for d in range(9):
+        reworded = items[d][1].split()
+        reworded[2], reworded[8] = "new", "other"
+        # shingles that only items of other passes hold
+        borrowed = [*second[:8], *items[d][1].split()[8:]]
+        for k, words in enumerate((reworded, borrowed)):
+            docs.append((10 * d + k, " ".join([prose(10 * d + k, 30), *words, prose(500 + 10 * d + k, 30)])))
+    ds = spark.createDataFrame(docs, "doc_id long, text string")
+    bs = spark.createDataFrame(items, "item_id long, text string")
+    want = brute(docs, items)
+    assert len(want) == 18
+    results = []
+    for size in (5_000, 4, 1):
+        monkeypatch.setattr(dc, "ITEMS_PER_PASS", size)
+        got = dc.contaminated(ds, bs).collect()
+        assert {(r.doc_id, r.item_id) for r in got} == want
+        results.append(sorted(tuple(r) for r in got))
+        if size != 1:
+            kept = {r.doc_id for r in dc.decontaminated(ds, bs).collect()}
+            assert kept == {d for d, _ in docs} - {d for d, _ in want}
+    assert results[0] == results[1] == results[2]
