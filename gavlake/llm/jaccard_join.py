@@ -50,6 +50,8 @@ SHINGLE_WORDS = 5
 LEADERS = 8
 #: Segments of a pair's sets whose overlaps are counted separately.
 SEGMENTS = 4
+#: N-grams of a fragment, which one task holds, on average at most; more make more fragments.
+FRAGMENT_POSTINGS = 2_000_000
 #: Largest table of names that is broadcast; above it the join shuffles.
 MAX_BROADCAST_ROWS = 1_000_000
 
@@ -98,11 +100,24 @@ def shingle_sets(docs: DataFrame, size: int = SHINGLE_WORDS) -> DataFrame:
         measure, "doc_id bigint, n bigint, k bigint, text_key bigint")
 
 
-def _cut(tokens, fragments, whole):
-    """Fragment of each hash; prefixes lie in the lower half of the order, which is cut evenly."""
-    scale = fragments if whole else 2 * fragments
-    at = (tokens >> np.uint64(32)).astype(np.int64) * scale >> 32
-    return np.minimum(at, fragments - 1)
+def _kept(n, pct):
+    """Size of the extended prefix of a set of n."""
+    return min(n, n - need(n, pct) + _spare(n))
+
+
+def _cut(tokens, fragments):
+    """Fragment of each hash; the order is cut evenly."""
+    return (tokens >> np.uint64(32)).astype(np.int64) * fragments >> 32
+
+
+def _fragments(spark, postings, whole):
+    """Number of fragments for so many n-grams.
+
+    Prefixes of large sets lie in the lower half of the order, but those of a few n-grams
+    anywhere, so for prefixes both halves have as many fragments as whole sets have.
+    """
+    least = 4 * shuffle_partitions(spark)
+    return (1 if whole else 2) * max(least, -(-postings // FRAGMENT_POSTINGS))
 
 
 def _postings(docs, fragments, size, pct, whole):
@@ -123,13 +138,13 @@ def _postings(docs, fragments, size, pct, whole):
                     continue
                 seen.add(k)
                 n = len(tokens)
-                keep = n if whole else min(n, n - need(n, pct) + _spare(n))
+                keep = n if whole else _kept(n, pct)
                 toks.append(tokens[:keep])
                 names.append(np.full(keep, k, np.int64))
             if not toks:
                 continue
             toks, names = np.concatenate(toks), np.concatenate(names)
-            at = _cut(toks, fragments, whole)
+            at = _cut(toks, fragments)
             order = np.argsort(at, kind="stable")
             at, toks, names = at[order], toks[order].astype(width), names[order]
             edge = np.flatnonzero(np.diff(at, prepend=-1))
@@ -187,7 +202,10 @@ def _bounded(df: DataFrame, rows: int) -> DataFrame:
 def linked_sets(docs: DataFrame, sets: DataFrame, pct: int, size: int) -> DataFrame | None:
     """(k, root) of the sets that link with another set; root names their component."""
     spark = docs.sparkSession
-    fragments = 4 * shuffle_partitions(spark)
+    of_prefix = f"least(n, n - ({pct} * n + 99) div 100 + (n + 9) div 10)"
+    distinct = sets.where("n > 0").groupBy("k", "n").agg(F.count("*").alias("c"))
+    postings = distinct.agg(F.sum(F.expr(of_prefix)).alias("p")).first()["p"] or 0
+    fragments = _fragments(spark, postings, False)
     hits = (_partial_counts(_postings(docs, fragments, size, pct, False))
             .groupBy("k").agg(F.sum("shared").alias("shared")))
     # of all rows with one set, one goes on; a partner's prefix may be shorter, hence spare(need)
@@ -197,7 +215,7 @@ def linked_sets(docs: DataFrame, sets: DataFrame, pct: int, size: int) -> DataFr
         .agg(F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_key")).alias("row"))
         .join(hits, "k").where(F.col("shared") >= least)
         .select("k", "n", "row.doc_id", "row.text_key"), "kept")
-    rows = kept.count()
+    rows, postings = kept.agg(F.count("*"), F.sum("n")).first()
     if not rows:
         discard(kept)
         return None
@@ -206,6 +224,7 @@ def linked_sets(docs: DataFrame, sets: DataFrame, pct: int, size: int) -> DataFr
         _bounded(chosen, rows),
         F.col("doc_id").eqNullSafe(F.col("d")) & (F.xxhash64("text") == F.col("t")), "left_semi")
     left = staged(left, "candidates")
+    fragments = _fragments(spark, postings, True)
 
     # whole sets of what is left: n-grams that nothing else has settle nothing but the size
     shared = staged(

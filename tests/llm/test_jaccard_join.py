@@ -8,6 +8,7 @@ import string
 
 from llm_text import prose
 
+from gavlake.llm import jaccard_join as jj
 from gavlake.llm.components import components
 from gavlake.llm.jaccard_join import jaccard_components, one_per_component
 
@@ -110,3 +111,22 @@ def test_components_of_chains(spark):
     assert len({roots[i] for i in range(61)}) == 1
     assert roots[100] == roots[101] != roots[0] and roots[199] == roots[200]
     assert components(df.limit(0)).collect() == []
+
+
+def test_prefixes_of_short_texts_are_dealt_evenly(spark, monkeypatch):
+    """Texts of one to nine words: no fragment holds a large share of the postings."""
+    rows = [(i, prose(i, 1 + i % 9) + f" title{i}") for i in range(4_000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    fragments = jj._fragments(spark, 8_000, False)
+    sizes = [(r.fragment, len(r.tokens) // 4)
+             for r in jj._postings(docs, fragments, jj.SHINGLE_WORDS, jj.SIMILARITY_PCT, False).collect()]
+    held = {}
+    for f, n in sizes:
+        held[f] = held.get(f, 0) + n
+    assert set(held) <= set(range(fragments))
+    assert max(held.values()) < 4 * sum(held.values()) / fragments
+    assert jj._fragments(spark, 100 * fragments * jj.FRAGMENT_POSTINGS, False) >= 100 * fragments
+    # many more fragments give the same components
+    rows = rows[:150] + [(10_000 + i, t.upper()) for i, t in rows[:150:2]]
+    monkeypatch.setattr(jj, "FRAGMENT_POSTINGS", 5)
+    check(spark.createDataFrame(rows, "doc_id long, text string"), rows)
