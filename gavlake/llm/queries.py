@@ -14,7 +14,10 @@ from gavlake.llm.line_templates import line_report
 from gavlake.llm.mixing import mix_report
 from gavlake.llm.pii import pii_report
 from gavlake.llm.quality import quality
+from gavlake.llm.secret_scan import secret_report
 from gavlake.llm.sharding import assign_shards
+from gavlake.llm.source_divergence import source_divergence
+from gavlake.llm.spelling import spelling_variants
 from gavlake.llm.toxicity import toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -68,6 +71,18 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_report(table(spark, sf_dir, "documents"))
+
+
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence(table(spark, sf_dir, "documents"))
+
+
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(table(spark, sf_dir, "documents"))
+
+
 REGISTRY: dict[str, Query] = {
     "op1_fingerprint": op1_fingerprint,
     "op2_pii": op2_pii,
@@ -79,6 +94,9 @@ REGISTRY: dict[str, Query] = {
     "op8_line_templates": op8_line_templates,
     "op9_decontamination": op9_decontamination,
     "op10_quality": op10_quality,
+    "op11_secret_scan": op11_secret_scan,
+    "op12_source_divergence": op12_source_divergence,
+    "op13_spelling": op13_spelling,
 }
 
 ORACLE: dict[str, str] = {
@@ -105,5 +123,35 @@ r AS (SELECT doc_id AS v, doc_id AS u FROM documents
 SELECT d.doc_id, coalesce(max(n.n), 0)::BIGINT AS n_shingles, min(r.u)::BIGINT AS component_id
 FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id JOIN r ON r.v = d.doc_id
 GROUP BY d.doc_id
+""",
+    # dense: every group has every kept term, every pair of sources is summed over all of them
+    "op12_source_divergence": r"""
+WITH d AS (
+  SELECT row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS ws
+  FROM documents),
+t AS (SELECT id, lang, source, unnest(ws) AS term FROM d),
+kept AS (SELECT lang, term, count(*) AS n FROM t GROUP BY lang, term HAVING count(DISTINCT id) >= 3),
+v AS (SELECT lang, count(*) AS v, sum(n) AS n FROM kept GROUP BY lang),
+g AS (SELECT DISTINCT lang, source FROM d),
+c AS (SELECT lang, source, term, count(*) AS n FROM t GROUP BY lang, source, term),
+x AS (SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n, k.n AS ln
+      FROM g JOIN kept k ON k.lang = g.lang
+      LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+p AS (SELECT x.lang, x.source, x.term, x.n,
+        1 + (1000000000::HUGEINT * (x.n + 1)) // (sum(x.n) OVER (PARTITION BY x.lang, x.source) + v.v) AS p,
+        1 + (1000000000::HUGEINT * (x.ln + 1)) // (v.n + v.v) AS q
+      FROM x JOIN v ON v.lang = x.lang),
+s AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+      FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+r AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(s.value, 0)::BIGINT AS value
+      FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+      LEFT JOIN s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source
+      UNION ALL
+      SELECT lang, source, 'term', term, ((p - q) * (p - q) // q)::BIGINT FROM p WHERE n > 0 AND p > q),
+k AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, encode(item))::INTEGER AS rank
+      FROM r)
+SELECT lang, source, part, item, value, rank FROM k WHERE part = 'pair' OR rank <= 200
 """,
 }

@@ -10,7 +10,7 @@ SF = "/root/testdata/sf0.01"
 
 
 def test_one_query_per_operator():
-    assert sorted(int(n[2:].split("_")[0]) for n in q.REGISTRY) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in q.REGISTRY) == list(range(1, 14))
 
 
 def test_sql(spark):
