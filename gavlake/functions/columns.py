@@ -106,3 +106,19 @@ def download_command(group_id, artifact_id, version, file_extension, classifier)
 def byte_length(s: Column | str) -> Column:
     """Length in bytes of the UTF-8 text (PRJ-20)."""
     return F.octet_length(_c(s))
+
+
+#: The rows of a JSON document at a path (SQL over ``{doc}`` and ``{path}``): the elements of an array,
+#: or an object as the only one. A scalar, a null and a missing path have none, and a text that is
+#: not JSON (empty and blank too) is like a null.
+JSON_ELEMENTS = r"""
+        CASE WHEN left(ltrim(' \t\r\n', {doc}), 1) NOT IN ('{{', '[') THEN NULL
+             WHEN schema_of_variant(try_variant_get(try_parse_json({doc}), {path}, 'variant')) LIKE 'ARRAY%'
+               THEN try_variant_get(try_parse_json({doc}), {path}, 'array<variant>')
+             WHEN schema_of_variant(try_variant_get(try_parse_json({doc}), {path}, 'variant')) LIKE 'OBJECT%'
+               THEN array(try_variant_get(try_parse_json({doc}), {path}, 'variant')) END"""
+
+
+def json_elements(doc: str, path: str = "$") -> Column:
+    """The rows of the JSON documents in column ``doc`` at ``path``, as an array of variants (JOIN-6)."""
+    return F.expr(JSON_ELEMENTS.format(doc=f"`{doc}`", path="'" + path.replace("'", "\\'") + "'"))

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from ..functions.columns import byte_length, group_prefix, key_hex
 from ..schemas import DEFAULT_EXTENSIONS, SHA1_MAX_LEN
+from .json_docs import json_rows_lateral  # noqa: F401  (one of the analysis queries)
 from .views import extension_filter
 
 
@@ -138,6 +139,36 @@ def coordinate_lookup(gav: DataFrame, group_id: str, artifact_id: str, size: int
     return records(gav, {"group_id": group_id, "artifact_id": artifact_id}, size, page)
 
 
+def page_after(table: DataFrame, order: list[str], size: int = 10, after: tuple | None = None,
+               eq: dict[str, object] | None = None) -> DataFrame:
+    """The ``size`` rows that follow the cursor ``after`` in the order of the columns ``order``, which
+    must be total and without nulls (LIM-1, FLT-3).
+
+    The cursor is the last row's values of ``order`` (see ``cursor``), none for the first page. It is a
+    filter on the first column and a finer one on the rest, both of literals, so the scan
+    skips what lies before it; rows of earlier pages are neither sorted nor counted, as an OFFSET
+    would have them. Pages tile the result, and rows that arrive meanwhile shift none of them.
+    """
+    rows = table
+    for col, value in (eq or {}).items():
+        rows = rows.filter(F.col(col) == F.lit(value))
+    if after is not None:
+        if len(after) != len(order):
+            raise ValueError(f"the cursor has {len(after)} values, the order {len(order)} columns")
+        values = [F.lit(bytearray(v) if isinstance(v, bytes) else v) for v in after]
+        beyond = F.lit(False)
+        for c, v in reversed(list(zip(order, values, strict=True))):
+            beyond = (F.col(c) > v) | ((F.col(c) == v) & beyond)
+        rows = rows.filter(F.col(order[0]) >= values[0]).filter(beyond)
+    return rows.orderBy(*order).limit(size)
+
+
+def cursor(page: DataFrame, order: list[str]) -> tuple | None:
+    """The cursor behind a page (its rows are collected: a page is small); None if it is empty."""
+    rows = page.select(*order).collect()
+    return max((tuple(bytes(v) if isinstance(v, bytearray) else v for v in r) for r in rows), default=None)
+
+
 def hex_keys(artifactinfo: DataFrame) -> DataFrame:
     """All stored columns and ``HEX(uinfo_md5)`` (PRJ-19)."""
     return artifactinfo.select("*", key_hex("uinfo_md5", upper=True).alias("uinfo_md5_hex"))
@@ -167,27 +198,3 @@ def distinct_json_keys(artifactinfo: DataFrame) -> DataFrame:
     distinct keys.
     """
     return json_key_lateral(artifactinfo).select("json_key").distinct().orderBy("json_key")
-
-
-def json_rows_lateral(artifactinfo: DataFrame, limit: int | None = 100) -> DataFrame:
-    """Each JSON document as rows of an array (an object counts as a one-element array),
-    numbered from 1, with its ``groupId``; first ``limit`` rows by record key (JOIN-6).
-
-    Every document that is not an empty array (a cheap text test) or null gives a row at
-    least, so the first ``limit`` rows come from the first ``limit`` such documents; only
-    those are parsed.
-    """
-    rows = artifactinfo.select("uinfo_md5", "json")
-    if limit is not None:
-        rows = (rows.filter(F.col("json").isNotNull() & ~F.col("json").rlike(r"^\s*\[\s*\]\s*$"))
-                .orderBy("uinfo_md5").limit(limit))
-    arr = F.from_json(
-        F.when(F.ltrim(F.col("json")).startswith("["), F.col("json"))
-        .otherwise(F.concat(F.lit("["), F.col("json"), F.lit("]"))),
-        "array<struct<groupId:string>>")
-    out = rows.select("uinfo_md5", F.posexplode(arr).alias("pos", "r")).select(
-        "uinfo_md5", (F.col("pos") + 1).cast(T.IntegerType()).alias("rowid"),
-        F.col("r.groupId").alias("groupId"))
-    if limit is not None:
-        out = out.orderBy("uinfo_md5", "rowid").limit(limit)
-    return out

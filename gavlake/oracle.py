@@ -365,6 +365,31 @@ def sql() -> dict[str, str]:
         "overwrite_ga": "SELECT * FROM ga_ok",
         "gav_rejects": f"SELECT {GAV_COLS} FROM gav_bad",
         "declare_tables": _objects_sql(),
+        "declared_types": _declared_types_sql(),
+        "artifactinfo_rejects": f"{ai_out} WHERE version_seq IS NULL OR uinfo IS NULL OR length(uinfo) > 254",
+        "stream_audit": """
+            SELECT CAST(batch AS BIGINT) AS batch, count(*) AS scanned, CAST(0 AS BIGINT) AS corrupt,
+                   count(*) FILTER (NOT is_live) AS deleted,
+                   count(*) FILTER (is_live AND NOT is_artifact) AS not_artifact,
+                   (SELECT count(*) FROM ver v WHERE version_seq IS NOT NULL AND uinfo IS NOT NULL
+                      AND (v.doc_ord > (SELECT max(doc_ord) FROM raw) // 2) = (r.batch = 1)) AS stored,
+                   (SELECT count(*) FROM ver v WHERE (version_seq IS NULL OR uinfo IS NULL)
+                      AND (v.doc_ord > (SELECT max(doc_ord) FROM raw) // 2) = (r.batch = 1)) AS rejected
+            FROM (SELECT *, CASE WHEN doc_ord > (SELECT max(doc_ord) FROM raw) // 2 THEN 1 ELSE 0 END AS batch
+                  FROM raw) r GROUP BY r.batch""",
+        "maintained_g": "SELECT * FROM g_ok",
+        "maintained_ga": "SELECT * FROM ga_ok",
+        "replayed_batch": ai_out,
+        "drop_reasons": f"""
+            SELECT 'scanned' AS reason, count(*) AS n FROM raw
+            UNION ALL SELECT 'corrupt', count(*) FROM raw WHERE {_BROKEN_LINE}
+            UNION ALL SELECT 'deleted', count(*) FROM raw WHERE NOT ({_BROKEN_LINE}) AND NOT is_live
+            UNION ALL SELECT 'not_artifact', count(*) FROM raw
+              WHERE NOT ({_BROKEN_LINE}) AND is_live AND NOT is_artifact""",
+        "index_rejects": f"""
+            SELECT CASE WHEN doc_ord % 37 = 0 THEN '{{"doc_ord":' || doc_ord || ',"uinfo":"cut'
+                        ELSE '{{"doc_ord":"no ' || doc_ord || '","is_live":true}}' END AS line
+            FROM raw WHERE {_BROKEN_LINE}""",
         "sql_views": (
             "SELECT n.group_id, n.artifact_id, n.name, count(*) AS files, max(b.version_seq) AS newest "
             "FROM (SELECT DISTINCT group_id, artifact_id, name FROM v_ga2ga_ok) n "
@@ -381,6 +406,15 @@ def sql() -> dict[str, str]:
                         f"{_shrink('t3', 3)} AS incremental_3, {_shrink('t4', 6)} AS fourth_6 FROM vshr"),
         "version_seq": "SELECT DISTINCT version, version_seq FROM ver",
         "major_version": "SELECT DISTINCT version, major_version FROM ver",
+        "sql_functions": (
+            f"SELECT DISTINCT version, major_version, version_seq, toks[1] AS token1, {_shrink('t2', 4)} AS minor_4, "
+            f"coalesce(version IS NOT NULL AND {_UNSTABLE.replace('artifact_version', 'version')}, false) AS stable "
+            "FROM ver"),
+        "sql_functions_gav": (
+            f"SELECT uinfo_md5, {_prefix('group_id', 2)} AS org, last_modified, javadoc_exists, "
+            f"{_q(DOWNLOAD_COMMAND_PREFIX)} || group_id || ':' || artifact_id || ':' || artifact_version || ':' || "
+            "raw_extension || coalesce(':' || classifier, '') AS command FROM gav JOIN "
+            "(SELECT md5(uinfo) AS uinfo_md5, fileExtension AS raw_extension FROM ver) USING (uinfo_md5)"),
         "length_features": "SELECT uinfo_md5, uinfo_length, classifier_length FROM artifactinfo",
         "availability_codes": ("SELECT uinfo_md5, signature_exists, sources_exists, javadoc_exists "
                                "FROM artifactinfo"),
@@ -415,6 +449,9 @@ def sql() -> dict[str, str]:
         "find_by_major_version": f"{ai_out} WHERE major_version = {LOOKUP_MAJOR}",
         "coordinate_lookup": (f"SELECT {GAV_COLS} FROM gav WHERE group_id = {_q(LOOKUP_GROUP)} "
                               f"AND artifact_id = {_q(LOOKUP_ARTIFACT)} ORDER BY uinfo_md5 LIMIT 10"),
+        "seek_page": (f"SELECT {GAV_COLS} FROM gav WHERE version_seq IS NOT NULL "
+                      "ORDER BY version_seq, uinfo_md5 LIMIT 10 OFFSET 20"),
+        "recent_by_date": _revised("group_id").replace("FROM gav ", "FROM gav_ok "),
         "stable_versions": (f"SELECT uinfo_md5, artifact_version FROM gav "
                             f"WHERE artifact_version IS NOT NULL AND {_UNSTABLE}"),
         "binary_classifier": ("SELECT uinfo_md5, classifier FROM gav "
@@ -437,14 +474,22 @@ def sql() -> dict[str, str]:
             "SELECT md5(uinfo) FROM live WHERE doc_ord <= (SELECT max(doc_ord) FROM raw) // 2)"),
         "json_key_lateral": ("SELECT uinfo_md5, unnest(string_split(json_keys, ',')) AS json_key "
                              "FROM artifactinfo"),
-        "json_rows_lateral": (
-            "SELECT uinfo_md5, rowid, groupId FROM ("
-            "SELECT md5(uinfo) AS uinfo_md5, CAST(1 AS INTEGER) AS rowid, groupId FROM ver UNION ALL "
-            "SELECT md5(uinfo), CAST(2 AS INTEGER), 'second' FROM ver WHERE length(uinfo) % 3 = 0) "
-            "ORDER BY uinfo_md5, rowid LIMIT 100"),
+        "json_rows_lateral": f"SELECT uinfo_md5, rowid, value AS groupId FROM ({_json_rows()}) "
+                             "ORDER BY uinfo_md5, rowid LIMIT 100",
+        "json_table_sql": (
+            f"SELECT uinfo_md5, '$' AS path, rowid, value, note FROM ({_json_rows()}) UNION ALL "
+            "SELECT uinfo_md5, '$.matchHighlights', CAST(generate_subscripts(h, 1) AS INTEGER), unnest(h), NULL "
+            "FROM (SELECT md5(uinfo) AS uinfo_md5, from_json(matchHighlights, '[\"VARCHAR\"]') AS h FROM ver "
+            "WHERE matchHighlights IS NOT NULL AND length(uinfo) % 7 NOT IN (1, 2, 3, 4, 5) AND length(uinfo) % 3 <> 0)"),
+        "json_paths": (
+            "SELECT regexp_replace(replace(t.fullkey, '\"', ''), '\\[[0-9]+\\]', '[*]', 'g') AS path, "
+            "CASE t.type WHEN 'UBIGINT' THEN 'BIGINT' WHEN 'VARCHAR' THEN 'STRING' ELSE t.type END AS type, "
+            "count(*) AS n_values FROM artifactinfo, json_tree(artifactinfo.json) t GROUP BY ALL"),
         # aggregations
         "group_rollup": "SELECT * FROM g",
         "group_artifact_rollup": "SELECT * FROM ga",
+        "collated_rollup": f"SELECT group_id, artifact_id, {_ROLLUP_AGGS} FROM gav GROUP BY group_id, artifact_id",
+        "collated_latest": "SELECT * FROM v_ga2ga",
         "most_revised_groups": _revised("group_id"),
         "most_revised_artifacts": _revised("group_id, artifact_id"),
         "artifacts_by_country": _by_prefix(1, two_letter=True),
@@ -460,6 +505,46 @@ def sql() -> dict[str, str]:
     return {k: _with(v) for k, v in q.items()}
 
 
+# Lines of the index that do not decode, in the queries that write some.
+_BROKEN_LINE = "doc_ord % 37 = 0 OR doc_ord % 41 = 0"
+
+
+def _json_rows() -> str:
+    """Rows of the documents of every kind: (uinfo_md5, rowid, value, note)."""
+    plain = "length(uinfo) % 7 NOT IN (1, 2, 3, 4, 5)"
+    odd = "length(uinfo) % 7 = 5"
+    return f"""
+        SELECT md5(uinfo) AS uinfo_md5, CAST(1 AS INTEGER) AS rowid, groupId AS value,
+               CASE WHEN attributes IS NOT NULL THEN 'a "quoted" value' END AS note FROM ver WHERE {plain}
+        UNION ALL SELECT md5(uinfo), 2, 'second', NULL FROM ver WHERE {plain} AND length(uinfo) % 3 = 0
+        UNION ALL SELECT md5(uinfo), 1, NULL, NULL FROM ver WHERE {odd}
+        UNION ALL SELECT md5(uinfo), 2, 'second', NULL FROM ver WHERE {odd}
+        UNION ALL SELECT md5(uinfo), 3, NULL, NULL FROM ver WHERE {odd}"""
+
+
+# Declared lengths of text columns; the others are strings of any length: fixed values.
+_DECLARED = {
+    "artifactinfo": {"uinfo": 254},
+    "gav": {"uinfo": 254, "group_id": 254, "artifact_id": 254, "artifact_version": 128, "sha1": 40,
+            "classifier": 128, "file_extension": 254, "packaging": 254, "name": 1024},
+    "g": {"group_id": 254},
+    "ga": {"group_id": 254, "artifact_id": 254},
+}
+
+
+def _declared_types_sql() -> str:
+    arms = []
+    for name, source, columns in OBJECTS:
+        for column, kind in (c.split() for c in columns.split(", ")):
+            if kind != "string" or name not in _DECLARED:
+                continue
+            n = _DECLARED[name].get(column)
+            declared = f"varchar({n})" if n else "string"
+            arms.append(f"SELECT '{name}' AS object, '{column}' AS column_name, '{declared}' AS declared, "
+                        f"CAST(max(length({column})) AS INTEGER) AS longest FROM {source}")
+    return " UNION ALL ".join(arms)
+
+
 def _length_violations_sql() -> str:
     arms = []
     for table, col, max_len, not_null in COLUMN_LIMITS:

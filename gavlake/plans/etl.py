@@ -10,12 +10,23 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import types as T
 
+from ..operators.by_date import NAME, write_by_date
 from ..operators.derived import by_coordinate, flatten_gav, group_artifact_rollup, group_rollup
 from ..operators.quality import enforce_limits, with_reject_flag
-from ..operators.records import artifactinfo_from_records, batch_is_small
-from ..schemas import GAV
+from ..operators.records import (
+    artifactinfo_from_records,
+    batch_is_small,
+    conform,
+    first_wins_dedup,
+    new_records,
+    to_artifactinfo,
+    with_content_key,
+)
+from ..operators.rollup_state import KEYS, add_to_rollup, touched_parts, version_set, with_part
+from ..schemas import ARTIFACTINFO
+from ..session import remove, written_once
 from ..sinks.tables import TableStore
-from ..sources.index import live_records
+from ..sources.index import DROP_REASONS, live_records
 
 AUDIT_SCHEMA = T.StructType([
     T.StructField("step", T.StringType(), False),
@@ -56,25 +67,90 @@ def full_plan(raw: DataFrame, fix_signature: bool = False) -> Tables:
     return derive_plan(load_plan(raw, fix_signature=fix_signature))
 
 
+@dataclass
+class Loaded:
+    """A load that is written but not committed."""
+    changes: dict[str, dict]
+    written: int
+    rejected: int
+    scan: dict[str, int]
+    seconds: float
+
+    @property
+    def dropped(self) -> int:
+        return sum(self.scan.get(k, 0) for k in DROP_REASONS)
+
+    def audit(self) -> list[tuple]:
+        rows = [("load", "artifactinfo", self.written, self.dropped, self.seconds)]
+        if "artifactinfo_rejects" in self.changes:
+            rows.append(("load", "artifactinfo_rejects", self.rejected, 0, 0.0))
+        return rows
+
+
+def write_load(raw: DataFrame, store: TableStore, fix_signature: bool = False, limits: str = "off") -> Loaded:
+    """Write the new records of ``raw`` to folders that no table has yet.
+
+    ``raw`` is scanned once. Against a filled store the deduplicated batch is written to the
+    shared folder first: the size check, the keys that filter the store and the rows are all
+    read from there. ``limits``: what happens to records that break a declared limit of
+    ``artifactinfo``: "fail" stops, "quarantine" puts them into ``artifactinfo_rejects`` (each
+    key once), "off" stores them.
+    """
+    if limits not in ("fail", "quarantine", "off"):
+        raise ValueError(f"limits must be fail, quarantine or off, not {limits!r}")
+    obs = Observation("scan")
+    t0 = time.time()
+    first = first_wins_dedup(with_content_key(live_records(raw, obs)))
+    scratch, keyed = [], True
+    if store.exists("artifactinfo"):
+        batch, path = written_once(first, "batch")
+        scratch.append(path)
+        keyed = not batch_is_small(batch)
+        first = new_records(batch, store.keys(), small_batch=not keyed, batch_keys=batch)
+        if limits == "quarantine" and store.exists("artifactinfo_rejects"):
+            first = first.join(store.keys("artifactinfo_rejects"), "uinfo_md5", "left_anti")
+    new = conform(to_artifactinfo(first, fix_signature), ARTIFACTINFO)
+    mode = "add" if store.exists("artifactinfo") else "replace"
+    rejected = 0
+    if limits == "quarantine":
+        changes, written, rejected = store.write_split(
+            with_reject_flag(new, "artifactinfo", "rejected"), "rejected", "artifactinfo", "artifactinfo_rejects",
+            mode, keyed)
+    else:
+        new = enforce_limits(new, "artifactinfo") if limits == "fail" else new
+        change, written = store.write_version(new, "artifactinfo", mode, keyed)
+        changes = {"artifactinfo": change}
+    remove(raw.sparkSession, *scratch)
+    return Loaded(changes, written, rejected, obs.get, time.time() - t0)
+
+
 def run_load(spark: SparkSession, raw: DataFrame, store: TableStore,
-             fix_signature: bool = False, limits: str = "off") -> list[tuple]:
+             fix_signature: bool = False, limits: str = "off",
+             stream: tuple[str, int] | None = None) -> list[tuple]:
     """Append the new records of ``raw`` to ``artifactinfo`` (full load when empty).
 
-    ``limits="fail"`` stops on a record that breaks a declared limit of ``artifactinfo``;
-    otherwise such records are stored, and the refresh reports or rejects them.
+    ``limits`` as in ``write_load``; records stored with "off" are reported or rejected by the
+    refresh. ``stream``: (id, batch number) that the store notes with the records.
     """
-    obs = Observation("scan")
-    t0 = time.time()
-    new = load_plan(raw, store.keys(), fix_signature=fix_signature, observation=obs)
-    if limits == "fail":
-        new = enforce_limits(new, "artifactinfo")
-    written = store.append(new, "artifactinfo")
-    m = obs.get
-    dropped = int(m.get("deleted", 0)) + int(m.get("not_artifact", 0))
-    return [("load", "artifactinfo", written, dropped, time.time() - t0)]
+    loaded = write_load(raw, store, fix_signature, limits)
+    store.commit(loaded.changes, stream)
+    return loaded.audit()
+
 
+def _write_gav(gav_new: DataFrame, store: TableStore, limits: str, mode: str) -> tuple[dict[str, dict], int, int]:
+    """(changes, rows written, rows rejected) of ``gav`` under a limit mode."""
+    if limits == "quarantine":
+        # one job, one JSON parse: the write is split by the reject flag
+        return store.write_split(with_reject_flag(gav_new, "gav", "rejected"), "rejected", "gav", "gav_rejects", mode)
+    if limits not in ("fail", "off"):
+        raise ValueError(f"limits must be fail, quarantine or off, not {limits!r}")
+    change, written = store.write_version(
+        enforce_limits(gav_new, "gav") if limits == "fail" else gav_new, "gav", mode)
+    return {"gav": change}, written, 0
 
-def run_refresh(spark: SparkSession, store: TableStore, limits: str = "fail") -> list[tuple]:
+
+def run_refresh(spark: SparkSession, store: TableStore, limits: str = "fail", maintain: bool = False,
+                by_date: bool = False) -> list[tuple]:
     """Rebuild ``gav`` from ``artifactinfo``, then ``g`` and ``ga`` from the new ``gav``.
 
     All three are written first and swapped together, so a failure in any of them leaves
@@ -82,36 +158,86 @@ def run_refresh(spark: SparkSession, store: TableStore, limits: str = "fail") ->
     (QLT-1): ``"fail"`` stops the refresh (like the reference, whose insert fails on too
     long data), ``"quarantine"`` writes them to ``gav_rejects`` and keeps them out of
     ``gav``, ``"off"`` skips the check. Row counts come from the write jobs themselves.
+    With ``maintain`` the roll-ups' state is written too, for ``run_increment``; with ``by_date`` the
+    copy of ``gav`` by time. A copy that is there already is kept up to date.
     """
     audit = []
     t0 = time.time()
-    gav_new = flatten_gav(by_coordinate(store.table("artifactinfo")))
-    rejected = 0
-    if limits == "fail":
-        entry, written = store.write_version(enforce_limits(gav_new, "gav"), "gav")
-        entries = {"gav": entry}
-    elif limits == "quarantine":
-        # one job, one JSON parse: the write is split by the reject flag
-        entries, written, rejected = store.write_split(
-            with_reject_flag(gav_new, "gav", "rejected"), "rejected", "gav", "gav_rejects")
-    elif limits == "off":
-        entry, written = store.write_version(gav_new, "gav")
-        entries = {"gav": entry}
-    else:
-        raise ValueError(f"limits must be fail, quarantine or off, not {limits!r}")
+    entries, written, rejected = _write_gav(flatten_gav(by_coordinate(store.table("artifactinfo"))), store, limits,
+                                            "replace")
     audit.append(("refresh", "gav", written, rejected, time.time() - t0))
-    gav = spark.read.schema(GAV).parquet(entries["gav"]["path"])  # not yet pointed to
+    gav = store.written(entries["gav"])  # not yet pointed to
     for name, build in (("g", group_rollup), ("ga", group_artifact_rollup)):
         t0 = time.time()
-        entries[name], written = store.write_version(build(gav), name)
+        if maintain:
+            entries[name], written = store.write_parts(with_part(build(gav)), name, "replace")
+            entries[f"{name}_versions"], _ = store.write_parts(
+                with_part(version_set(gav, KEYS[name])), f"{name}_versions", "replace")
+        else:
+            entries[name], written = store.write_version(build(gav), name)
+            if store.exists(f"{name}_versions"):
+                entries[f"{name}_versions"] = None  # the state of roll-ups that are gone
         audit.append(("refresh", name, written, 0, time.time() - t0))
-    store.replace_all(entries)
+    if by_date or store.exists(NAME):
+        t0 = time.time()
+        entries[NAME], written = write_by_date(gav, store, "replace")
+        audit.append(("refresh", NAME, written, 0, time.time() - t0))
+    store.commit(entries, derived=True)
+    return audit
+
+
+def run_increment(spark: SparkSession, raw: DataFrame, store: TableStore, limits: str = "quarantine",
+                  fix_signature: bool = False, stream: tuple[str, int] | None = None) -> list[tuple]:
+    """Load ``raw`` and bring ``gav``, ``g`` and ``ga`` up to date with it."""
+    return commit_increment(spark, store, write_load(raw, store, fix_signature, limits), limits, stream)
+
+
+def commit_increment(spark: SparkSession, store: TableStore, loaded: Loaded, limits: str = "quarantine",
+                     stream: tuple[str, int] | None = None) -> list[tuple]:
+    """Derive from a written load what the derived tables lack, and commit all of it.
+
+    Everything becomes visible by one move of the pointer, which also notes ``stream``. Without
+    maintained roll-ups (a first run) they are built from all records. Afterwards
+    a step reads the records that ``gav`` lacks and, of the roll-ups and their sets, the parts that
+    the new files' groups belong to.
+    """
+    audit = loaded.audit()
+    if not (store.exists("g_versions") and store.exists("ga_versions")):
+        store.commit(loaded.changes)
+        audit += run_refresh(spark, store, limits, maintain=True)
+        if stream:
+            store.commit({}, stream, derived=True)
+        return audit
+    changes = dict(loaded.changes)
+    t0 = time.time()
+    folders = store.folders("artifactinfo", after=store.derived_until())
+    folders += [f["path"] for f in changes["artifactinfo"]["folders"]]
+    lacking = spark.read.schema(ARTIFACTINFO).parquet(*folders)
+    gav_changes, written, rejected = _write_gav(flatten_gav(by_coordinate(lacking)), store, limits, "add")
+    changes |= gav_changes
+    audit.append(("increment", "gav", written, rejected, time.time() - t0))
+    delta = store.written(gav_changes["gav"])
+    parts = touched_parts(delta)
+    for name in ("g", "ga"):
+        t0 = time.time()
+        rollup_changes, rows = add_to_rollup(delta, store, name, parts)
+        changes |= rollup_changes
+        audit.append(("increment", name, rows, 0, time.time() - t0))
+    if store.exists(NAME):
+        t0 = time.time()
+        changes[NAME], rows = write_by_date(delta, store, "add")
+        audit.append(("increment", NAME, rows, 0, time.time() - t0))
+    store.commit(changes, stream, derived=True)
     return audit
 
 
 def run_all(spark: SparkSession, raw: DataFrame, store: TableStore,
-            fix_signature: bool = False, limits: str = "fail") -> DataFrame:
-    """Load then refresh; returns the audit as a DataFrame (one row per step)."""
-    audit = run_load(spark, raw, store, fix_signature, "fail" if limits == "fail" else "off")
+            fix_signature: bool = False, limits: str = "fail", load_limits: str | None = None) -> DataFrame:
+    """Load then refresh; returns the audit as a DataFrame (one row per step).
+
+    ``load_limits``: limit mode of the records themselves; without it they are checked by the load
+    only if ``limits`` is "fail", else by the refresh.
+    """
+    audit = run_load(spark, raw, store, fix_signature, load_limits or ("fail" if limits == "fail" else "off"))
     audit += run_refresh(spark, store, limits)
     return spark.createDataFrame(audit, AUDIT_SCHEMA)

@@ -17,19 +17,24 @@ from pyspark.sql import types as T
 
 from . import oracle
 from .functions.columns import is_binary_classifier, is_stable_version, key_hex
+from .functions.sql import register_functions
 from .functions.version import shrink_to_digits, shrink_year, with_version_key, with_version_parts
 from .operators import analytics as A
+from .operators.by_date import since
+from .operators.collation import COORDINATES, collated, plain
+from .operators.derived import group_artifact_rollup
+from .operators.json_docs import json_paths
 from .operators.quality import length_violations
 from .operators.records import batch_is_small, first_wins_dedup, new_records, with_content_key
 from .operators.views import ga_latest, stable_binaries
 from .schemas import DEFAULT_EXTENSIONS
 from .plans.catalog import declare_views, register_views
-from .plans.etl import Tables, full_plan, run_all, run_load, run_refresh
-from .session import scratch_path
+from .plans.etl import Tables, full_plan, run_all, run_load, run_refresh, write_load
+from .session import remove, scratch_path
 from .sinks.tables import TableStore, export_json
 from .sources.fixture import raw_index
-from .sources.index import live_records, read_index
-from .streaming.incremental import refresh
+from .sources.index import DROP_REASONS, live_records, read_index
+from .streaming.incremental import refresh, stream_audit
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -129,7 +134,7 @@ def q_append(spark, sf_dir):
     run_load(spark, raw.filter(F.col("doc_ord") <= _middle(raw)), store)
     before = store.write_version(store.table("artifactinfo").select("uinfo_md5"), "first_run")[0]
     run_load(spark, raw, store)
-    first = spark.read.parquet(before["path"]).select("uinfo_md5", F.lit(1).alias("seen"))
+    first = store.written(before).select("uinfo_md5", F.lit(1).alias("seen"))
     return (store.table("artifactinfo").join(first, "uinfo_md5", "left")
             .select("uinfo_md5", F.when(F.col("seen").isNull(), 2).otherwise(1).alias("run")))
 
@@ -166,6 +171,110 @@ def q_gav_rejects(spark, sf_dir):
     return _refreshed_store(spark, sf_dir).table("gav_rejects")
 
 
+@query("artifactinfo_rejects")
+def q_artifactinfo_rejects(spark, sf_dir):
+    """Records that two loads set aside as breaking a declared limit, each key once (QLT-1)."""
+    raw, store = raw_index(spark, sf_dir), _store(spark)
+    run_load(spark, raw.filter(F.col("doc_ord") <= _middle(raw)), store, limits="quarantine")
+    run_load(spark, raw, store, limits="quarantine")
+    return store.table("artifactinfo_rejects")
+
+
+def _maintained_store(spark, sf_dir) -> TableStore:
+    """A store after three increments through the stream; the roll-ups are kept up to date."""
+    raw, root = raw_index(spark, sf_dir), scratch_path(spark, "maintained")
+    step = raw.agg(F.max("doc_ord")).first()[0] // 3
+    for k in range(3):
+        arrived = raw.filter(F.col("doc_ord") > k * step)
+        arrived = arrived.filter(F.col("doc_ord") <= (k + 1) * step) if k < 2 else arrived
+        arrived.write.mode("append").parquet(f"{root}/incoming")
+        refresh(spark, f"{root}/incoming", TableStore(spark, f"{root}/store"), limits="quarantine", maintain=True)
+    return TableStore(spark, f"{root}/store")
+
+
+@query("maintained_g")
+def q_maintained_g(spark, sf_dir):
+    """``g`` kept up to date by three increments (AGG-1, SRC-3)."""
+    return _maintained_store(spark, sf_dir).table("g")
+
+
+@query("maintained_ga")
+def q_maintained_ga(spark, sf_dir):
+    """``ga`` kept up to date by three increments (AGG-2, SRC-3)."""
+    return _maintained_store(spark, sf_dir).table("ga")
+
+
+@query("replayed_batch")
+def q_replayed_batch(spark, sf_dir):
+    """Records after a batch came twice: the stream forgets that its last batch was done (SRC-3)."""
+    raw, root = raw_index(spark, sf_dir), scratch_path(spark, "replayed")
+    mid = _middle(raw)
+    for part in (F.col("doc_ord") <= mid, F.col("doc_ord") > mid):
+        raw.filter(part).write.mode("append").parquet(f"{root}/incoming")
+        refresh(spark, f"{root}/incoming", TableStore(spark, f"{root}/store"), f"{root}/checkpoint")
+    remove(spark, f"{root}/checkpoint/commits/1")
+    again = refresh(spark, f"{root}/incoming", TableStore(spark, f"{root}/store"), f"{root}/checkpoint")
+    if [b["skipped"] for b in again.batches] != [True]:
+        raise RuntimeError(f"the replayed batch was not skipped: {again}")
+    return TableStore(spark, f"{root}/store").table("artifactinfo")
+
+
+def _broken_index(spark, sf_dir) -> str:
+    """The index as JSON lines; some are cut off, some have a field of the wrong type."""
+    path, raw = scratch_path(spark, "lines"), raw_index(spark, sf_dir)
+    line = (F.when(F.col("doc_ord") % 37 == 0, F.concat(F.lit('{"doc_ord":'), "doc_ord", F.lit(',"uinfo":"cut')))
+            .when(F.col("doc_ord") % 41 == 0, F.concat(F.lit('{"doc_ord":"no '), "doc_ord", F.lit('","is_live":true}')))
+            .otherwise(F.to_json(F.struct(*raw.columns))))
+    raw.select(line.alias("value")).write.text(path)
+    return path
+
+
+@query("drop_reasons")
+def q_drop_reasons(spark, sf_dir):
+    """Documents that a load scanned and dropped, by reason; some lines do not decode (SRC-1, SRC-2)."""
+    raw = read_index(spark, _broken_index(spark, sf_dir), "json", keep_corrupt=True)
+    scan = write_load(raw, _store(spark)).scan
+    return spark.createDataFrame([(k, int(scan[k])) for k in ("scanned", *DROP_REASONS)], "reason string, n long")
+
+
+@query("index_rejects")
+def q_index_rejects(spark, sf_dir):
+    """Lines that the stream could not decode (SRC-2, SRC-3)."""
+    store = _store(spark)
+    refresh(spark, _broken_index(spark, sf_dir), store, source_format="json")
+    return store.table("index_rejects").select("line")
+
+
+@query("stream_audit")
+def q_stream_audit(spark, sf_dir):
+    """One row for each micro-batch of two stream runs, read after the store is reopened (PRJ-22, SRC-3)."""
+    raw, root = raw_index(spark, sf_dir), scratch_path(spark, "audited")
+    mid = _middle(raw)
+    for part in (F.col("doc_ord") <= mid, F.col("doc_ord") > mid):
+        raw.filter(part).write.mode("append").parquet(f"{root}/incoming")
+        refresh(spark, f"{root}/incoming", TableStore(spark, f"{root}/store"), limits="quarantine")
+    return stream_audit(TableStore(spark, f"{root}/store")).drop("stream", "seconds")
+
+
+@query("declared_types")
+def q_declared_types(spark, sf_dir):
+    """Declared types of the tables' columns, as the catalog has them, and the longest value that a load
+    and a refresh put there (SNK-3, QLT-1)."""
+    store = _refreshed_store(spark, sf_dir)
+    out = None
+    for name in ("artifactinfo", "gav", "g", "ga"):
+        t = store.table(name)
+        types = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE {store.qualified(name)}").collect()}
+        text = [f.name for f in t.schema.fields if isinstance(f.dataType, T.StringType)]
+        longest = t.agg(*[F.max(F.length(c)).alias(c) for c in text])
+        part = longest.select(F.explode(F.array(*[
+            F.struct(F.lit(name).alias("object"), F.lit(c).alias("column_name"),
+                     F.lit(types[c]).alias("declared"), F.col(c).alias("longest")) for c in text])).alias("r")
+        ).select("r.*")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 @query("declare_tables")
 def q_declare_tables(spark, sf_dir):
     """Columns of the four declared tables and two views, with the values that a load and a
@@ -176,7 +285,7 @@ def q_declare_tables(spark, sf_dir):
     run_all(spark, raw_index(spark, sf_dir), store, limits="quarantine")
     out = None
     for name in ("artifactinfo", "gav", "g", "ga", "v_ga2ga", "v_artifactinfo2gav"):
-        t = spark.table(store.qualified(name))
+        t = spark.table(store.qualified(name)) if name.startswith("v_") else store.table(name)
         counted = t.agg(*[F.count(F.col(c)).alias(c) for c in t.columns])
         rows = [F.struct(F.lit(name).alias("object"), F.lit(f.name).alias("column_name"),
                          F.lit(f.dataType.simpleString()).alias("data_type"),
@@ -363,6 +472,32 @@ def q_refresh_marker(spark, sf_dir):
     return audit.select("step", "table_name", "rows_written", "rows_dropped")
 
 
+@query("sql_functions")
+def q_sql_functions(spark, sf_dir):
+    """The package's functions called from ``spark.sql``, for each distinct version (PRJ-2..6)."""
+    register_functions(spark)
+    _distinct_versions(spark, sf_dir).createOrReplaceTempView("distinct_versions")
+    return spark.sql("""
+        SELECT version, major_version(version) AS major_version, version_seq(version) AS version_seq,
+               get(version_tokens(version), 0) AS token1,
+               shrink_long(safe_long(get(version_tokens(version), 1)), 9999L) AS minor_4,
+               is_stable_version(version) AS stable
+        FROM distinct_versions""")
+
+
+@query("sql_functions_gav")
+def q_sql_functions_gav(spark, sf_dir):
+    """The same for files: key, prefixes, time and download command (PRJ-1, 12, 15, 17)."""
+    register_functions(spark)
+    live = with_content_key(live_records(raw_index(spark, sf_dir)))
+    first_wins_dedup(live).createOrReplaceTempView("first_records")
+    return spark.sql("""
+        SELECT content_key(uinfo) AS uinfo_md5, group_prefix(groupId, 2) AS org,
+               epoch_ms_to_datetime(lastModified) AS last_modified, availability_code(javadocExists) AS javadoc_exists,
+               download_command(groupId, artifactId, version, fileExtension, classifier) AS command
+        FROM first_records""")
+
+
 # ---------------------------------------------------------------- filters
 @query("find_by_md5")
 def q_find_by_md5(spark, sf_dir):
@@ -382,6 +517,27 @@ def q_coordinate_lookup(spark, sf_dir):
     return A.coordinate_lookup(tables(spark, sf_dir).gav, oracle.LOOKUP_GROUP, oracle.LOOKUP_ARTIFACT)
 
 
+@query("seek_page")
+def q_seek_page(spark, sf_dir):
+    """The third page of 10 files in the order of (version key, content key), by the cursors of the first
+    two (LIM-1, FLT-3)."""
+    gav, order = tables(spark, sf_dir).gav.filter("version_seq is not null"), ["version_seq", "uinfo_md5"]
+    after = None
+    for _ in range(2):
+        after = A.cursor(A.page_after(gav, order, 10, after), order)
+    return A.page_after(gav, order, 10, after)
+
+
+@query("recent_by_date")
+def q_recent_by_date(spark, sf_dir):
+    """Most revised groups in the year before ``AS_OF``, from the copy of ``gav`` by time: only the parts of
+    the years from then on are opened (FLT-6, AGG-3)."""
+    store = _store(spark)
+    run_load(spark, raw_index(spark, sf_dir), store)
+    run_refresh(spark, store, limits="quarantine", by_date=True)
+    return A.most_revised_groups(since(store, A.one_year_before(oracle.AS_OF)), oracle.AS_OF)
+
+
 @query("stable_versions")
 def q_stable_versions(spark, sf_dir):
     """Files whose version has none of the unstable words (FLT-4)."""
@@ -475,14 +631,42 @@ def q_json_key_lateral(spark, sf_dir):
     return A.json_key_lateral(tables(spark, sf_dir).artifactinfo)
 
 
+def _mixed_documents(ai: DataFrame) -> DataFrame:
+    """The records with a JSON column of every kind, by the length of the coordinates: some empty, blank,
+    malformed or cut off, some arrays, some with rows that are no objects."""
+    n = F.col("uinfo_length")
+    json = (F.when(n % 7 == 1, F.lit("")).when(n % 7 == 2, F.lit(" \n ")).when(n % 7 == 3, F.lit("oops"))
+            .when(n % 7 == 4, F.lit('{"groupId":"cut')).when(n % 7 == 5, F.lit('[1,{"groupId":"second"},null]'))
+            .when(n % 3 == 0, F.concat(F.lit("["), "json", F.lit(',{"groupId":"second"}]')))
+            .otherwise(F.col("json")))
+    return ai.withColumn("json", json)
+
+
 @query("json_rows_lateral")
 def q_json_rows_lateral(spark, sf_dir):
-    """JSON documents as numbered rows, first 100 by key; every third document, by the
-    length of its coordinates, is an array of two (JOIN-6)."""
-    ai = tables(spark, sf_dir).artifactinfo
-    json = F.when(F.col("uinfo_length") % 3 == 0,
-                  F.concat(F.lit("["), "json", F.lit(',{"groupId":"second"}]'))).otherwise(F.col("json"))
-    return A.json_rows_lateral(ai.withColumn("json", json), limit=100)
+    """JSON documents of every kind as numbered rows, first 100 by key; more than 100 documents before
+    the page's end have no rows (JOIN-6)."""
+    return A.json_rows_lateral(_mixed_documents(tables(spark, sf_dir).artifactinfo), limit=100)
+
+
+@query("json_table_sql")
+def q_json_table_sql(spark, sf_dir):
+    """The table function in ``spark.sql``: rows of whole documents, and rows at a path within (JOIN-6)."""
+    register_functions(spark)
+    _mixed_documents(tables(spark, sf_dir).artifactinfo).createOrReplaceTempView("json_table_input")
+    return spark.sql("""
+        SELECT uinfo_md5, '$' AS path, t.rowid, t.cols['groupId'] AS value, t.cols['note'] AS note
+        FROM json_table_input d,
+             LATERAL json_table(d.json, '$', map('groupId', '$.groupId', 'note', '$.attributes.note')) t
+        UNION ALL
+        SELECT uinfo_md5, '$.matchHighlights', t.rowid, t.cols['value'], NULL
+        FROM json_table_input d, LATERAL json_table(d.json, '$.matchHighlights', map('value', '$')) t""")
+
+
+@query("json_paths")
+def q_json_paths(spark, sf_dir):
+    """Every path of the JSON documents with its types and number of values (DIST-2, PRJ-21)."""
+    return json_paths(tables(spark, sf_dir).artifactinfo)
 
 
 # ---------------------------------------------------------------- aggregations
@@ -498,6 +682,29 @@ def q_group_artifact_rollup(spark, sf_dir):
     return tables(spark, sf_dir).ga
 
 
+def _spaced(gav: DataFrame) -> DataFrame:
+    """Files of which some have trailing spaces in their coordinates, by the length of those."""
+    n = F.col("uinfo_length")
+    return gav.withColumns({
+        "group_id": F.when(n % 5 == 0, F.concat("group_id", F.lit("  "))).otherwise(F.col("group_id")),
+        "artifact_id": F.when(n % 7 == 0, F.concat("artifact_id", F.lit(" "))).otherwise(F.col("artifact_id"))})
+
+
+@query("collated_rollup")
+def q_collated_rollup(spark, sf_dir):
+    """``ga`` of coordinates that differ in trailing spaces: they count as one (AGG-2, collation)."""
+    return plain(group_artifact_rollup(collated(_spaced(tables(spark, sf_dir).gav))))
+
+
+@query("collated_latest")
+def q_collated_latest(spark, sf_dir):
+    """Newest-version names of such coordinates: they join as one (JOIN-1, collation)."""
+    columns = (*COORDINATES, "name", "description")  # an artifact id may stand for a name
+    gav = collated(_spaced(tables(spark, sf_dir).gav), columns)
+    ga = collated(group_artifact_rollup(gav))
+    return plain(ga_latest(ga, gav, rolled_up=True), columns)
+
+
 @query("most_revised_groups")
 def q_most_revised_groups(spark, sf_dir):
     """Files per group in the year before ``AS_OF`` (AGG-3)."""

@@ -159,3 +159,13 @@ GA = T.StructType(
 )
 
 TABLES = {"raw_index": RAW_INDEX, "artifactinfo": ARTIFACTINFO, "gav": GAV, "g": G, "ga": GA}
+
+# Declared types of text columns: lengths that Spark checks when rows are inserted into a table. (The
+# checksum is fixed at 40 characters there; a CHAR would come back padded, so it is a VARCHAR.)
+DECLARED_TYPES = {(t, c): f"varchar({n})" for t, c, n, _ in COLUMN_LIMITS if n is not None} | {
+    ("g", "group_id"): "varchar(254)", ("ga", "group_id"): "varchar(254)", ("ga", "artifact_id"): "varchar(254)"}
+
+
+def column_type(table: str, field: T.StructField) -> str:
+    """SQL type of a table's column."""
+    return DECLARED_TYPES.get((table, field.name), field.dataType.simpleString())

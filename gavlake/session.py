@@ -10,8 +10,9 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _CHECKPOINT_KEY = "spark.checkpoint.dir"
 
@@ -45,6 +46,26 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     return spark
 
 
+@contextmanager
+def settings(spark: SparkSession, values: dict[str, str]):
+    """Plans made inside are made with these settings of the session."""
+    before = {k: spark.conf.get(k, None) for k in values}
+    for k, v in values.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def observed_writes(spark: SparkSession):
+    """Writes inside report their observed counts even where a step has no rows: else the plan's adaptive
+    part cuts such steps off, and the counts taken in them are lost."""
+    return settings(spark, {"spark.sql.adaptive.optimizer.excludedRules":
+                            "org.apache.spark.sql.execution.adaptive.AQEPropagateEmptyRelation"})
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The shared checkpoint folder of the session.
 
@@ -67,3 +88,18 @@ def scratch_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, *parts: str) -> str:
     """A fresh, never reused folder below the shared checkpoint folder."""
     return "/".join([scratch_root(spark), "gavlake", *parts, uuid.uuid4().hex])
+
+
+def written_once(df: DataFrame, *parts: str) -> tuple[DataFrame, str]:
+    """``df`` written below the shared folder and read back, and its folder (see ``remove``)."""
+    path = scratch_path(df.sparkSession, *parts)
+    with observed_writes(df.sparkSession):
+        df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def remove(spark: SparkSession, *paths: str) -> None:
+    """Delete scratch folders that no later step reads."""
+    for path in paths:
+        target = spark._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

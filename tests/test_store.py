@@ -1,0 +1,274 @@
+"""Stores: folders that become visible with the pointer, buckets, replayed batches, maintained roll-ups."""
+
+from __future__ import annotations
+
+import re
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from gavlake.operators.derived import flatten_gav, group_artifact_rollup, group_rollup
+from gavlake.operators.rollup_state import part_of
+from gavlake.plans import etl
+from gavlake.plans.etl import full_plan, run_all, run_increment, run_load, run_refresh, write_load
+from gavlake.session import scratch_path, settings
+from gavlake.sinks.tables import TableStore
+from gavlake.sources.fixture import raw_index
+from gavlake.sources.index import CORRUPT, corrupt_lines, read_index
+from gavlake.streaming.incremental import refresh
+from tests.conftest import SMALL_SF
+
+
+@pytest.fixture(scope="module")
+def raw(spark):
+    path = scratch_path(spark, "test-raw")
+    raw_index(spark, SMALL_SF).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def rows(df):
+    return sorted(map(repr, map(tuple, df.collect())))
+
+
+def thirds(raw):
+    step = raw.agg(F.max("doc_ord")).first()[0] // 3
+    return [raw.filter((F.col("doc_ord") > k * step) & (F.col("doc_ord") <= (k + 1 if k < 2 else 99) * step))
+            for k in range(3)]
+
+
+def bucket_files(store, name="artifactinfo"):
+    """Number of files of each (folder, bucket)."""
+    files = store.spark.table(store.qualified(name)).inputFiles()
+    return Counter((f.rsplit("/", 1)[0], re.search(r"_(\d{5})\.c", f)[1]) for f in files)
+
+
+@pytest.mark.parametrize("partitions", [3, 8, 13])
+def test_one_file_a_bucket_and_append(spark, raw, partitions):
+    """The session's shuffle partitions need not be the store's buckets."""
+    root = scratch_path(spark, "buckets")
+    run_load(spark, raw.filter("doc_ord <= 2000"), TableStore(spark, root, buckets=8))
+    with settings(spark, {"spark.sql.shuffle.partitions": str(partitions)}):
+        store = TableStore(spark, root)
+        run_load(spark, raw.filter("doc_ord <= 2500"), store)              # the small way
+        store.append(full_plan(raw.filter("doc_ord > 5000")).artifactinfo, "artifactinfo")  # any rows
+    files = bucket_files(store)
+    assert set(files.values()) == {1} and len({f for f, _ in files}) == 3 and len(files) <= 24
+    assert spark.conf.get("spark.sql.shuffle.partitions") == "8"
+
+
+def test_large_batches_are_bucketed_too(spark, raw, monkeypatch):
+    import gavlake.operators.records as R
+    monkeypatch.setattr(R, "MAX_BROADCAST_KEYS", 10)
+    store = TableStore(spark, scratch_path(spark, "large"), buckets=5)
+    run_load(spark, raw.filter("doc_ord <= 1000"), store)
+    run_load(spark, raw, store)
+    assert set(bucket_files(store).values()) == {1}
+    assert rows(store.table("artifactinfo")) == rows(full_plan(raw).artifactinfo)
+
+
+def test_a_load_scans_its_batch_once(spark, raw, monkeypatch):
+    scans = []
+    real = etl.live_records
+    monkeypatch.setattr(etl, "live_records", lambda *a: scans.append(1) or real(*a))
+    store = TableStore(spark, scratch_path(spark, "once"))
+    run_load(spark, raw.filter("doc_ord <= 100"), store)
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    loaded = write_load(raw.mapInArrow(counted, raw.schema), store)
+    assert seen.value == raw.count() == loaded.scan["scanned"] and len(scans) == 2
+
+
+def test_a_killed_append_is_in_no_table(spark, raw, monkeypatch):
+    store = TableStore(spark, scratch_path(spark, "killed"))
+    run_load(spark, raw.filter("doc_ord <= 500"), store)
+    before = rows(store.table("artifactinfo"))
+
+    def killed(*_, **__):
+        raise KeyboardInterrupt
+
+    monkeypatch.setattr(TableStore, "commit", killed)
+    with pytest.raises(KeyboardInterrupt):
+        run_load(spark, raw, store)
+    monkeypatch.undo()
+    assert rows(store.table("artifactinfo")) == before
+    assert rows(TableStore(spark, store.root).table("artifactinfo")) == before
+    run_load(spark, raw, store)
+    assert rows(store.table("artifactinfo")) == rows(full_plan(raw).artifactinfo)
+    assert len(store.vacuum("artifactinfo", keep=1)) == 1          # what the killed append left
+
+
+def test_a_replayed_batch_reads_no_table(spark, raw, monkeypatch):
+    root = scratch_path(spark, "replay")
+    store = TableStore(spark, f"{root}/store")
+    raw.filter("doc_ord <= 500").write.parquet(f"{root}/in")
+    refresh(spark, f"{root}/in", store, f"{root}/ckpt")
+    n = store.table("artifactinfo").count()
+    fs, p = store._fs_path(f"{root}/ckpt/commits/0")
+    fs.delete(p, False)
+
+    def unread(*_):
+        raise AssertionError("a table was read")
+
+    monkeypatch.setattr(TableStore, "keys", unread)
+    monkeypatch.setattr(TableStore, "write_version", unread)
+    again = refresh(spark, f"{root}/in", store, f"{root}/ckpt")
+    monkeypatch.undo()
+    assert [b["skipped"] for b in again.batches] == [True] and store.table("artifactinfo").count() == n
+    # another stream over the same files has other batches
+    other = refresh(spark, f"{root}/in", store, f"{root}/ckpt2")
+    assert [b["skipped"] for b in other.batches] == [False] and other.rows_appended == 0
+
+
+@pytest.mark.parametrize("limits", ["off", "quarantine"])
+def test_three_increments_equal_a_full_build(spark, raw, limits):
+    store = TableStore(spark, scratch_path(spark, "maintained"))
+    for part in thirds(raw):
+        run_increment(spark, part, store, limits)
+    full = TableStore(spark, scratch_path(spark, "full"))
+    run_all(spark, raw, full, limits=limits, load_limits=limits)
+    for name in ("artifactinfo", "gav", "g", "ga"):
+        assert rows(store.table(name)) == rows(full.table(name)), name
+    gav = flatten_gav(store.table("artifactinfo"))
+    if limits == "off":  # null groups, artifacts and versions count as in the aggregation
+        assert rows(store.table("g")) == rows(group_rollup(gav))
+        assert rows(store.table("ga")) == rows(group_artifact_rollup(gav))
+    else:
+        assert rows(store.table("artifactinfo_rejects")) == rows(full.table("artifactinfo_rejects")) != []
+    # compacted tables go on
+    for name in ("g_versions", "ga_versions", "gav", "artifactinfo"):
+        n = store.table(name).count()
+        assert store.compact(name) == n == store.table(name).count()
+    assert run_increment(spark, raw, store, limits)[0][2] == 0
+    assert rows(store.table("ga")) == rows(full.table("ga"))
+
+
+def test_an_increment_opens_only_its_groups_parts(spark, raw):
+    store = TableStore(spark, scratch_path(spark, "touched"))
+    one = raw.filter("groupId = 'org.apache.tomcat'")
+    run_increment(spark, raw.join(one.select("doc_ord").limit(20), "doc_ord", "left_anti"), store, "off")
+    before = store._pointer()["tables"]
+    run_increment(spark, raw, store, "off")
+    after = store._pointer()["tables"]
+    part = spark.createDataFrame([("org.apache.tomcat",)], "group_id string").select(part_of()).first()[0]
+    for name in ("g", "ga"):
+        moved = {f["part"] for f in after[name]["folders"] if f not in before[name]["folders"]}
+        assert moved <= {part}
+    opened = store.table("ga_versions", [part]).inputFiles()
+    assert opened and all(f"_part={part}/" in f for f in opened)
+    assert rows(store.table("ga")) == rows(group_artifact_rollup(flatten_gav(store.table("artifactinfo"))))
+
+
+def test_records_without_derived_rows_are_caught_up(spark, raw):
+    """A plain load between two increments: the next one derives its records too."""
+    store = TableStore(spark, scratch_path(spark, "catch-up"))
+    a, b, c = thirds(raw)
+    run_increment(spark, a, store, "off")
+    run_load(spark, b, store)
+    with pytest.raises(RuntimeError, match="before compacting"):
+        store.compact("artifactinfo")
+    run_increment(spark, c, store, "off")
+    assert store.table("gav").count() == store.table("artifactinfo").count() == full_plan(raw).artifactinfo.count()
+    assert rows(store.table("g")) == rows(group_rollup(store.table("gav")))
+    # a refresh without state ends the maintenance, the next increment begins it anew
+    run_refresh(spark, store, "off")
+    assert not store.exists("g_versions")
+    run_increment(spark, raw, store, "off")
+    assert store.exists("g_versions")
+    assert rows(store.table("g")) == rows(group_rollup(store.table("gav")))
+
+
+def test_a_failed_increment_changes_nothing(spark, raw, monkeypatch):
+    store = TableStore(spark, scratch_path(spark, "failed"))
+    a, b, _ = thirds(raw)
+    run_increment(spark, a, store, "off")
+    before = {n: rows(store.table(n)) for n in ("artifactinfo", "gav", "g", "ga", "g_versions", "ga_versions")}
+    real = etl.add_to_rollup
+
+    def failing(delta, store, name, parts):
+        if name == "ga":
+            raise RuntimeError("boom")
+        return real(delta, store, name, parts)
+
+    monkeypatch.setattr(etl, "add_to_rollup", failing)
+    with pytest.raises(RuntimeError, match="boom"):
+        run_increment(spark, b, store, "off")
+    monkeypatch.undo()
+    assert {n: rows(store.table(n)) for n in before} == before
+    run_increment(spark, b, store, "off")
+    assert rows(store.table("g")) == rows(group_rollup(store.table("gav")))
+
+
+def test_stream_maintains_with_every_batch(spark, raw):
+    root = scratch_path(spark, "stream-maintained")
+    store = TableStore(spark, f"{root}/store")
+    for part in thirds(raw):
+        part.coalesce(1).write.mode("append").parquet(f"{root}/in")
+    report = refresh(spark, f"{root}/in", store, max_files_per_trigger=1, limits="quarantine", maintain=True)
+    assert len(report.batches) == 3 and report.rows_appended == store.table("artifactinfo").count()
+    assert sum(b["rejected"] for b in report.batches) == store.table("artifactinfo_rejects").count() > 0
+    assert rows(store.table("ga")) == rows(group_artifact_rollup(store.table("gav")))
+
+
+def test_limits_of_the_records(spark, raw):
+    store = TableStore(spark, scratch_path(spark, "record-limits"))
+    audit = run_load(spark, raw, store, limits="quarantine")
+    assert [a[1] for a in audit] == ["artifactinfo", "artifactinfo_rejects"]
+    bad = full_plan(raw).artifactinfo.filter("version_seq is null")
+    assert rows(store.table("artifactinfo_rejects")) == rows(bad) and audit[1][2] == bad.count() > 0
+    again = run_load(spark, raw, store, limits="quarantine")
+    assert again[0][2] == again[1][2] == 0                       # a rejected key comes once
+    with pytest.raises(ValueError, match="limits must be"):
+        run_load(spark, raw, store, limits="sometimes")
+    root = scratch_path(spark, "stream-limits")
+    raw.write.parquet(f"{root}/in")
+    with pytest.raises(Exception, match="declared limit broken"):
+        refresh(spark, f"{root}/in", TableStore(spark, f"{root}/store"), limits="fail")
+    assert not TableStore(spark, f"{root}/store").exists("artifactinfo")
+
+
+def test_spark_checks_declared_lengths(spark, raw):
+    store = TableStore(spark, scratch_path(spark, "declared"))
+    store.declare()
+    q = store.qualified("ga")
+    types = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE {q}").collect()}
+    assert types["group_id"] == "varchar(254)"
+    insert = "INSERT INTO {} PARTITION (_batch=0) SELECT repeat('g', {}), 'a', 1, 1, 1L, DATE '2000-01-01'"
+    with pytest.raises(Exception, match="EXCEED_LIMIT_LENGTH"):
+        spark.sql(insert.format(q, 255))
+    spark.sql(insert.format(q, 254))
+
+
+def test_lines_that_do_not_decode(spark, raw):
+    path = scratch_path(spark, "lines")
+    good = raw.limit(50)
+    line = F.to_json(F.struct(*raw.columns))
+    bad = ['{"doc_ord":1,"uinfo":"cut', "oops", '{"doc_ord":"word","is_live":true,"is_artifact":true}', "[1]"]
+    (good.select(line.alias("value")).unionByName(spark.createDataFrame([(x,) for x in bad], "value string"))
+     .write.text(path))
+    index = read_index(spark, path, "json", keep_corrupt=True)
+    assert sorted(r.line for r in corrupt_lines(index).collect()) == sorted(bad)
+    store = TableStore(spark, scratch_path(spark, "corrupt"))
+    scan = write_load(index, store).scan
+    live = good.filter("is_live and is_artifact").count()
+    assert scan == {"scanned": 54, "corrupt": 4, "deleted": good.filter("not is_live").count(),
+                    "not_artifact": 50 - live - good.filter("not is_live").count()}
+    report = refresh(spark, path, store, source_format="json")
+    assert report.batches[0]["corrupt"] == 4 and sorted(
+        r.line for r in store.table("index_rejects").collect()) == sorted(bad)
+    assert store.table("artifactinfo").count() == live
+    assert CORRUPT not in store.table("artifactinfo").columns
+
+
+def test_a_batch_of_dropped_documents_is_counted(spark, raw):
+    store = TableStore(spark, scratch_path(spark, "dropped"))
+    dead = raw.filter("not is_live or not is_artifact")
+    for _ in range(2):
+        loaded = write_load(dead, store)
+        store.commit(loaded.changes)
+        assert loaded.written == 0 and loaded.scan["scanned"] == loaded.dropped == dead.count() > 0
