@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gavlake.llm.scratch import BATCH_BYTES, discard, ship_by_value, small_batches, staged
+from gavlake.llm.scratch import BATCH_BYTES, discard, shuffle_partitions, ship_by_value, small_batches, staged
 from gavlake.llm.text import lower_ascii, runs, text_slices
 
 #: Code points and occurrences of a word at least, and how much more often its form occurs.
@@ -31,6 +31,8 @@ MIN_CHARS, MIN_COUNT, RATIO = 7, 2, 10
 SLIPS = 31
 #: Words and code points of a block of a sorted list at most (one word at least).
 BLOCK_WORDS, BLOCK_CHARS = 2_000, 100_000
+#: Tasks that compare blocks, for each shuffle partition of the session.
+SCAN_TASKS = 4
 #: Bytes up to which a checksum is continued for many words at once.
 STEP_BYTES = 64
 
@@ -143,6 +145,25 @@ def _common(a: str, b: str) -> int:
     return low
 
 
+def _row_steps():
+    """Next row for a row (three cells that count to 2, as a number to base 3) and for whether the list word's
+    code point differs from the query's at the row's three places; -1 where all cells are above 1."""
+    steps = []
+    for row in range(27):
+        a, b, c = row // 9, row // 3 % 3, row % 3
+        for differs in range(8):
+            x = min(b + 1, a + (differs >> 2), 2)
+            y = min(c + 1, b + (differs >> 1 & 1), x + 1, 2)
+            z = min(c + (differs & 1), y + 1, 2)
+            steps.append(-1 if min(x, y, z) > 1 else 9 * x + 3 * y + z)
+    return steps
+
+
+_STEPS = _row_steps()
+#: The row of a prefix that both words share: 1, 0, 1.
+_EQUAL = 10
+
+
 def scan(query: str, words: list[str], shared: list[int], low: int, high: int, depth: int) -> list[int]:
     """Positions in ``words[low:high]`` (sorted) of the words one edit from ``query``.
 
@@ -152,37 +173,40 @@ def scan(query: str, words: list[str], shared: list[int], low: int, high: int, d
     """
     n = len(query)
     query += "\0\0\0"  # cells beyond the query's end are never read for a distance
-    rows = [(1, 0, 1)]
+    rows = [_EQUAL]
     found = []
     i = low
     while i < high:
         word = words[i]
+        end = len(word)
         d = depth + len(rows) - 1
-        a, b, c = rows[-1]
-        while d < len(word):
+        row = rows[-1]
+        while d < end:
             ch = word[d]
-            x = min(b + 1, a + (ch != query[d - 1]), 2)
-            y = min(c + 1, b + (ch != query[d]), x + 1, 2)
-            z = min(c + (ch != query[d + 1]), y + 1, 2)
-            if x > 1 and y > 1 and z > 1:
+            row = _STEPS[8 * row + 4 * (ch != query[d - 1]) + 2 * (ch != query[d]) + (ch != query[d + 1])]
+            if row < 0:
                 break
             d += 1
-            a, b, c = x, y, z
-            rows.append((a, b, c))
-        else:
-            gap = n - len(word)
-            if -1 <= gap <= 1 and (a, b, c)[gap + 1] == 1:
-                found.append(i)
-        # a row that is above one edit everywhere belongs to the prefix of d + 1: skip all that share it
-        dead = d < len(word)
+            rows.append(row)
         i += 1
-        while dead and i < high and shared[i] > d:
-            i += 1
+        if row < 0:
+            # the row of d + 1 is above one edit everywhere: skip all that share that prefix
+            while i < high and shared[i] > d:
+                i += 1
+        elif -1 <= n - end <= 1 and row // (3, 1, 9)[n - end] % 3 == 1:
+            found.append(i - 1)
         if i < high:
             del rows[max(shared[i] - depth, 0) + 1:]
     return found
 
 
+def _sublist(words: list[str], size: int) -> tuple[list[int], list[str], list[int]]:
+    """Positions and words of ``size`` code points, and what each shares with the one before."""
+    at = [i for i, w in enumerate(words) if len(w) == size]
+    kept = [words[i] for i in at]
+    return at, kept, [0] + [_common(a, b) for a, b in zip(kept, kept[1:], strict=False)]
+
+
 def _half(reverse: bool, m: int) -> int:
     """Code points that words of a list share: half of m, or of reversed words the rest."""
     return m - m // 2 if reverse else m // 2
@@ -225,29 +249,37 @@ def _block_rows(rows):
 
 
 def _own_links(reverse, m, words, counts):
-    """Links within a block: each word is scanned for in the rest of those that share its half."""
+    """Links within a block: a word of m code points is scanned for in the rest of those and in those of
+    m + 1 that share its half."""
     half = _half(reverse, m)
-    shared = [0] + [_common(a, b) for a, b in zip(words, words[1:], strict=False)]
     low = 0
     while low < len(words):
         high = low + 1
-        while high < len(words) and shared[high] >= half:
+        while high < len(words) and words[high].startswith(words[low][:half]):
             high += 1
-        for q in range(low, high - 1):
-            for i in scan(words[q], words, shared, q + 1, high, half):
-                yield words[q], counts[q], words[i], counts[i]
+        if high > low + 1:
+            group = words[low:high]
+            at, own, shared = _sublist(group, m)
+            far, longer, shared_longer = _sublist(group, m + 1)
+            for k, q in enumerate(own):
+                near = [at[i] for i in scan(q, own, shared, k + 1, len(own), half)]
+                near += [far[i] for i in scan(q, longer, shared_longer, 0, len(longer), half)]
+                for i in near:
+                    yield q, counts[low + at[k]], group[i], counts[low + i]
         low = high
 
 
 def _cross_links(reverse, m, words, counts, others, other_counts, key):
     """Links between two blocks of one list, for the words that begin with ``key``."""
-    own = [i for i, w in enumerate(words) if w.startswith(key)]
-    kept = [i for i, w in enumerate(others) if w.startswith(key)]
-    listed = [others[i] for i in kept]
-    shared = [0] + [_common(a, b) for a, b in zip(listed, listed[1:], strict=False)]
-    for q in own:
-        for i in scan(words[q], listed, shared, 0, len(listed), len(key)):
-            yield words[q], counts[q], listed[i], other_counts[kept[i]]
+    lists = {size: _sublist([w if w.startswith(key) else "" for w in others], size) for size in (m, m + 1)}
+    for q, n in zip(words, counts, strict=True):
+        if not q.startswith(key):
+            continue
+        # a pair belongs to the list of its shorter word's length
+        for size in (m, m + 1) if len(q) == m else (m,):
+            at, listed, shared = lists[size]
+            for i in scan(q, listed, shared, 0, len(listed), len(key)):
+                yield q, n, listed[i], other_counts[at[i]]
 
 
 def _links(batches, cross):
@@ -259,8 +291,6 @@ def _links(batches, cross):
                                   row["key"]) if cross else _own_links(reverse, m, row["words"], row["counts"]))
             word, near, near_n = [], [], []
             for a, a_n, b, b_n in links:
-                if len(a) > m and len(b) > m:
-                    continue  # a pair belongs to the list of its shorter word's length
                 if reverse:
                     a, b = a[::-1], b[::-1]
                     if a[:m // 2] == b[:m // 2]:
@@ -314,8 +344,11 @@ def near_words(words: DataFrame) -> DataFrame:
              .join(blocks.select(F.col("block").alias("a"), "words", "counts"), "a")
              .join(blocks.select(F.col("block").alias("b"), F.col("words").alias("others"),
                                  F.col("counts").alias("other_counts")), "b"))
-    own = blocks.select("reverse", "m", "words", "counts").mapInArrow(lambda batches: _links(batches, False), _LINK)
-    between = cross.select("reverse", "m", "key", "words", "counts", "others", "other_counts").mapInArrow(
+    # a block is much work for few bytes, so blocks are dealt out by number
+    tasks = SCAN_TASKS * shuffle_partitions(words.sparkSession)
+    own = blocks.select("block", "reverse", "m", "words", "counts").repartition(tasks, "block").drop("block").mapInArrow(lambda batches: _links(batches, False), _LINK)
+    between = cross.select("reverse", "m", "key", "words", "counts", "others", "other_counts", "a", "b").repartition(
+        tasks, "a", "b").drop("a", "b").mapInArrow(
         lambda batches: _links(batches, True), _LINK)
     links = staged(own.unionByName(between), "spelling_links")
     discard(blocks)
