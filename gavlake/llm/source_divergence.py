@@ -26,7 +26,7 @@ MIN_DF = 3
 #: Terms that a group reports.
 TOP_TERMS = 200
 #: Parts that a group's terms are ranked in before they are ranked together.
-RANK_PARTS = 64
+RANK_PARTS = 16
 #: A probability of 1: fixed value.
 SCALE = 1_000_000_000
 
