@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 from ..functions.columns import availability_code, content_key, truncate_uinfo
 from ..functions.version import with_version_key
 from ..schemas import ARTIFACTINFO, RECORD_FIELDS
+from ..session import settings
 
 KEY = "uinfo_md5"
 
@@ -36,6 +37,27 @@ def first_wins_dedup(records: DataFrame, key: str = KEY, order: str = "doc_ord")
 MAX_BROADCAST_KEYS = 2_000_000
 
 
+# Largest number of batch keys that are looked up in the store as literals of a filter. They pass
+# through the driver: 16 bytes each.
+MAX_LOOKUP_KEYS = 1_000
+
+
+def stored_among(store_keys: DataFrame, keys: list[bytes], key: str = KEY) -> list[bytes]:
+    """Those of a few ``keys`` that the store holds (JOIN-4, FLT-1).
+
+    The keys are literals, so they select buckets, and in their files row groups by the statistics
+    and Bloom filters of the key: of keys that are all new, next to nothing is read.
+    """
+    if len(keys) > MAX_LOOKUP_KEYS:
+        raise ValueError(f"{len(keys)} keys are looked up, {MAX_LOOKUP_KEYS} at most can be")
+    if not keys:
+        return []
+    wanted = store_keys.select(key).filter(F.col(key).isin([F.lit(bytearray(k)) for k in keys]))
+    # a longer list is pushed down as its least and largest value only
+    with settings(store_keys.sparkSession, {"spark.sql.parquet.pushdown.inFilterThreshold": str(MAX_LOOKUP_KEYS)}):
+        return [bytes(r[0]) for r in wanted.distinct().collect()]
+
+
 def batch_is_small(batch: DataFrame, limit: int | None = None) -> bool:
     """Row count of ``batch`` checked against ``limit`` (default: MAX_BROADCAST_KEYS).
 

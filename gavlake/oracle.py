@@ -472,6 +472,9 @@ def sql() -> dict[str, str]:
         "new_records_small_batch": (
             "SELECT md5(uinfo) AS uinfo_md5, uinfo FROM dedup WHERE md5(uinfo) NOT IN ("
             "SELECT md5(uinfo) FROM live WHERE doc_ord <= (SELECT max(doc_ord) FROM raw) // 2)"),
+        "new_records_lookup": (
+            "SELECT uinfo_md5, CASE WHEN uinfo_md5 IN (SELECT md5(uinfo) FROM live "
+            "WHERE doc_ord <= (SELECT max(doc_ord) FROM raw) - 500) THEN 1 ELSE 2 END AS run FROM artifactinfo"),
         "json_key_lateral": ("SELECT uinfo_md5, unnest(string_split(json_keys, ',')) AS json_key "
                              "FROM artifactinfo"),
         "json_rows_lateral": f"SELECT uinfo_md5, rowid, value AS groupId FROM ({_json_rows()}) "

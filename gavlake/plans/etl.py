@@ -8,17 +8,21 @@ import time
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.by_date import NAME, write_by_date
 from ..operators.derived import by_coordinate, flatten_gav, group_artifact_rollup, group_rollup
 from ..operators.quality import enforce_limits, with_reject_flag
 from ..operators.records import (
+    KEY,
+    MAX_LOOKUP_KEYS,
     artifactinfo_from_records,
     batch_is_small,
     conform,
     first_wins_dedup,
     new_records,
+    stored_among,
     to_artifactinfo,
     with_content_key,
 )
@@ -92,7 +96,8 @@ def write_load(raw: DataFrame, store: TableStore, fix_signature: bool = False, l
 
     ``raw`` is scanned once. Against a filled store the deduplicated batch is written to the
     shared folder first: the size check, the keys that filter the store and the rows are all
-    read from there. ``limits``: what happens to records that break a declared limit of
+    read from there. The keys of a tiny batch are looked up as literals; those of a small one are
+    broadcast to a scan of the store's keys; beyond that both sides are joined by bucket. ``limits``: what happens to records that break a declared limit of
     ``artifactinfo``: "fail" stops, "quarantine" puts them into ``artifactinfo_rejects`` (each
     key once), "off" stores them.
     """
@@ -105,8 +110,13 @@ def write_load(raw: DataFrame, store: TableStore, fix_signature: bool = False, l
     if store.exists("artifactinfo"):
         batch, path = written_once(first, "batch")
         scratch.append(path)
-        keyed = not batch_is_small(batch)
-        first = new_records(batch, store.keys(), small_batch=not keyed, batch_keys=batch)
+        if batch_is_small(batch, MAX_LOOKUP_KEYS):
+            known = stored_among(store.keys(), [bytes(r[0]) for r in batch.select(KEY).collect()])
+            first = batch.filter(~F.col(KEY).isin([F.lit(bytearray(k)) for k in known])) if known else batch
+            keyed = False
+        else:
+            keyed = not batch_is_small(batch)
+            first = new_records(batch, store.keys(), small_batch=not keyed, batch_keys=batch)
         if limits == "quarantine" and store.exists("artifactinfo_rejects"):
             first = first.join(store.keys("artifactinfo_rejects"), "uinfo_md5", "left_anti")
     new = conform(to_artifactinfo(first, fix_signature), ARTIFACTINFO)

@@ -27,7 +27,7 @@ from .operators.json_docs import json_paths
 from .operators.quality import length_violations
 from .operators.records import batch_is_small, first_wins_dedup, new_records, with_content_key
 from .operators.views import ga_latest, stable_binaries
-from .schemas import DEFAULT_EXTENSIONS
+from .schemas import ARTIFACTINFO, DEFAULT_EXTENSIONS
 from .plans.catalog import declare_views, register_views
 from .plans.etl import Tables, full_plan, run_all, run_load, run_refresh, write_load
 from .session import remove, scratch_path
@@ -625,6 +625,20 @@ def q_new_records_small_batch(spark, sf_dir):
         "uinfo_md5", "uinfo")
 
 
+@query("new_records_lookup")
+def q_new_records_lookup(spark, sf_dir):
+    """Key and run of every record of two loads: all of the index but its last 500 documents, then those and
+    the first 300 again, a batch that is looked up key by key (JOIN-4, FLT-1)."""
+    raw, store = raw_index(spark, sf_dir), _store(spark)
+    last = raw.agg(F.max("doc_ord")).first()[0] - 500
+    run_load(spark, raw.filter(F.col("doc_ord") <= last), store)
+    folder = store.folders("artifactinfo")
+    run_load(spark, raw.filter((F.col("doc_ord") > last) | (F.col("doc_ord") <= 300)), store)
+    first = spark.read.schema(ARTIFACTINFO).parquet(*folder).select("uinfo_md5", F.lit(1).alias("seen"))
+    return (store.table("artifactinfo").join(first, "uinfo_md5", "left")
+            .select("uinfo_md5", F.when(F.col("seen").isNull(), 2).otherwise(1).alias("run")))
+
+
 @query("json_key_lateral")
 def q_json_key_lateral(spark, sf_dir):
     """One row per (record, JSON key) (JOIN-5)."""

@@ -273,7 +273,10 @@ class TableStore:
         passing = self.qualified(f"{name}_{uuid.uuid4().hex[:8]}")
         by = f"PARTITIONED BY (`{flag}`)" if flag else ""
         flag_column = f", `{flag}` INT" if flag else ""
-        self.spark.sql(f"CREATE TABLE {passing} ({change['columns']}{flag_column}) USING parquet {by} "
+        # the key's Bloom filters answer lookups of keys that are not there; they grow to what a file needs
+        blooms = (f"OPTIONS ('parquet.bloom.filter.enabled#{key}' = 'true', "
+                  "'parquet.bloom.filter.adaptive.enabled' = 'true')")
+        self.spark.sql(f"CREATE TABLE {passing} ({change['columns']}{flag_column}) USING parquet {blooms} {by} "
                        f"{change['clustered']} LOCATION '{path}'")
         try:
             with settings(df.sparkSession, {_SHUFFLES: str(count)}), observed_writes(df.sparkSession):

@@ -272,3 +272,48 @@ def test_a_batch_of_dropped_documents_is_counted(spark, raw):
         loaded = write_load(dead, store)
         store.commit(loaded.changes)
         assert loaded.written == 0 and loaded.scan["scanned"] == loaded.dropped == dead.count() > 0
+
+
+def read_rows(df):
+    """Rows that the scan of a collected DataFrame read: those of the row groups that it did not skip."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan()
+    plan = plan.executedPlan() if "Adaptive" in plan.nodeName() else plan
+    return sum(int(plan.collectLeaves().apply(i).metrics().apply("numOutputRows").value())
+               for i in range(plan.collectLeaves().size()))
+
+
+def test_new_keys_are_looked_up_without_reading_the_keys(spark, raw):
+    """A 1% batch of new keys opens few row groups: statistics and Bloom filters rule the others out."""
+    from gavlake.operators.records import stored_among
+    root = scratch_path(spark, "lookup")
+    store = TableStore(spark, root, buckets=8)
+    full = full_plan(raw).artifactinfo
+    n = raw.agg(F.max("doc_ord")).first()[0]
+    run_load(spark, raw.filter(F.col("doc_ord") <= n - 60), store)
+    stored = {bytes(r[0]) for r in store.keys().collect()}
+    new = sorted({bytes(r[0]) for r in full.select("uinfo_md5").collect()} - stored)
+    assert len(new) > 40
+    one = store.keys().filter(F.col("uinfo_md5") == F.lit(bytearray(new[0])))
+    assert read_rows(one) == 0
+    some = store.keys().filter(F.col("uinfo_md5").isin([F.lit(bytearray(k)) for k in new]))
+    with settings(spark, {"spark.sql.parquet.pushdown.inFilterThreshold": "1000"}):
+        assert read_rows(some) <= 0.5 * len(stored)
+    assert stored_among(store.keys(), new) == []
+    old = sorted(stored)[:5]
+    assert sorted(stored_among(store.keys(), [*new[:9], *old])) == old
+    with pytest.raises(ValueError, match="at most"):
+        stored_among(store.keys(), [bytes([k % 256, k // 256]) for k in range(1_001)])
+    run_load(spark, raw, store)
+    assert rows(store.table("artifactinfo")) == rows(full)
+
+
+@pytest.mark.parametrize("bounds", [(1_000, 2_000_000), (0, 2_000_000), (0, 0)])
+def test_all_ways_to_skip_stored_keys_agree(spark, raw, monkeypatch, bounds):
+    import gavlake.operators.records as R
+    monkeypatch.setattr(etl, "MAX_LOOKUP_KEYS", bounds[0])
+    monkeypatch.setattr(R, "MAX_BROADCAST_KEYS", bounds[1])
+    store = TableStore(spark, scratch_path(spark, "ways"))
+    run_load(spark, raw.filter("doc_ord <= 5500"), store)
+    run_load(spark, raw.filter("doc_ord > 5400"), store)
+    assert rows(store.table("artifactinfo")) == rows(full_plan(raw).artifactinfo)
