@@ -1,18 +1,22 @@
 """Toxicity by weak supervision.
 
-Voters say "toxic" or abstain. There are voters for the words of a small public lexicon, for patterns
-(shouting, exclaiming, masked words), for words and word beginnings that the labelled training rows
-hold almost only in toxic texts, and the annotators' labels are one voter more. A generative
-label model (a latent class with an own rate of every voter in each class) is fitted by expectation
-maximisation; voters that agree more often than their class explains are correlated, and their
-evidence is discounted by it. A linear classifier is then trained on the posterior labels, over many more
-words and beginnings than vote, and scores every text.
-
-All is learned from a sample of at most about ``TRAIN_ROWS`` labelled rows; scoring reads whole texts.
+Voters say "toxic" or abstain: the words of a small public lexicon, patterns (shouting, exclaiming,
+masked words), and words and word beginnings that labelled training rows hold almost only in toxic
+texts. They vote on every text that may be learned from, labelled or not. A generative label model (a
+latent class with an own rate of every voter in each class) is fitted to their votes alone by expectation
+maximisation; voters that agree more often than their class explains are correlated, and their evidence is
+discounted by it. Labels only name the classes. The posterior then labels a sample of texts: from it come
+the terms of a linear classifier, among them those of toxic texts without a label, and its targets. The
+classifier scores every text.
+
+Votes are counted over all texts by the pattern they make; the sample is of at most about ``TRAIN_ROWS`` labelled and
+``MORE_ROWS`` unlabelled rows; scoring reads whole texts.
 """
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -24,16 +28,20 @@ from gavlake.llm.text import SpanHasher, mix, runs, text_slices
 
 #: Labelled rows that the models are fitted on, about; a hash of doc_id picks them.
 TRAIN_ROWS = 20_000
-#: Words and beginnings that the classifier reads, and voters taken from them.
-TERMS, VOTERS = 384, 48
+#: Rows without a label in the classifier's sample, about.
+MORE_ROWS = 10_000
+#: Words and beginnings that are taken from labelled rows, for voters, and from the model's, for the classifier.
+TERMS = 384
+#: Least share of toxic texts among the labelled ones with a voter's term, and of such texts among the toxic ones.
+VOTER_PRECISION, VOTER_SHARE = 0.85, 0.02
 LEAST_DOCS, LEAST_PRECISION = 3, 0.6
 #: Occurrences of a term in a text are told apart up to this number.
 LEVELS = 4
 #: Bytes of the word beginnings that are terms, besides whole words.
 BEGINNINGS = (4, 5, 6, 7, 8)
 FOLDS, HELD_OUT = 5, 0
-#: Share of texts that the annotators call toxic, of those that are not and of those that are.
-ANNOTATORS = (0.01, 0.97)
+#: What the label model assumes: see ``LabelModel``.
+SILENT, TRUST, RIGHT = 0.01, 1.0, 0.9
 #: Common insults: fixed values.
 LEXICON = ("clown", "creep", "disgusting", "dumb", "filth", "fool", "garbage", "hate", "idiot", "imbecile",
            "jerk", "loser", "moron", "pathetic", "scum", "stupid", "trash", "ugly", "vermin", "worthless")
@@ -126,15 +134,28 @@ def training_rows(docs: DataFrame, labels: DataFrame, column: str) -> DataFrame:
     Rows of ``labels`` with a null are passed over; of several labels of a document the
     highest counts. The sample is bounded, so it is broadcast and the texts stay in place.
     """
-    usable = (labels.where(F.col("doc_id").isNotNull() & F.col(column).isin(0, 1))
-              .where(~held_out(HELD_OUT, FOLDS)).groupBy("doc_id").agg(F.max(column).alias("label")))
-    n = usable.count()
-    share = min(1.0, TRAIN_ROWS / max(n, 1))
-    chosen = usable.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(share * 1_000_000))
+    usable = usable_labels(labels, column)
+    chosen = usable.where(_share(TRAIN_ROWS / max(usable.count(), 1)))
     return (docs.where(~held_out(HELD_OUT, FOLDS)).select("doc_id", "text")
             .join(F.broadcast(chosen), "doc_id").where("text is not null"))
 
 
+def usable_labels(labels: DataFrame, column: str) -> DataFrame:
+    return (labels.where(F.col("doc_id").isNotNull() & F.col(column).isin(0, 1))
+            .where(~held_out(HELD_OUT, FOLDS)).groupBy("doc_id").agg(F.max(column).alias("label")))
+
+
+def _share(share: float):
+    return F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(min(1.0, share) * 1_000_000)
+
+
+def more_rows(docs: DataFrame) -> DataFrame:
+    """(doc_id, text, label) of a bounded sample of all rows that may be learned from, without labels."""
+    free = docs.where(~held_out(HELD_OUT, FOLDS)).where("doc_id is not null")
+    return (free.where(_share(MORE_ROWS / max(free.count(), 1))).where("text is not null")
+            .select("doc_id", "text", F.lit(None).cast("int").alias("label")))
+
+
 def telling_terms(train: DataFrame, n: int = TERMS) -> list[tuple[int, int]]:
     """(term, level): terms that hardly occur ``level`` times but in toxic texts, the best first."""
     names = [f"{what}_{k}" for k in range(1, LEVELS + 1) for what in ("toxic", "all")]
@@ -174,35 +195,129 @@ def telling_terms(train: DataFrame, n: int = TERMS) -> list[tuple[int, int]]:
     return [(r.term % (1 << 64), r.best.level) for r in found]
 
 
-def label_model(votes: np.ndarray, start: np.ndarray, rounds: int = 25):
-    """Posterior of the class given votes (rows x voters, 0 or 1; -1 where a voter saw nothing).
+class LabelModel:
+    """Accuracies and correlations of the voters, and the posterior of the class given their votes.
 
-    The last voter is the annotators, whose rates are taken as known (``ANNOTATORS``): they
-    anchor what the classes mean. ``start``: first guess of the posterior. Returns
-    (posterior, rates by class, correlations).
+    A voter that abstains says nothing; a text on which all abstain is toxic with ``SILENT``, as
+    no vote could tell. Voters are taken to be right more often than not: each begins
+    with ``TRUST`` votes for each that it cast, ``RIGHT`` of them in toxic texts. Those that
+    never meet others keep that, all others are judged by whom they agree with. Of the voters on a
+    text each counts less by how far those beside it repeat it.
     """
-    seen, yes = votes >= 0, votes == 1
-    post = start.copy()
-    discount = np.ones(votes.shape[1])
-    rho = np.zeros((votes.shape[1],) * 2)
-    for k in range(rounds):
-        prior = np.clip(post.mean(), 1e-4, 1 - 1e-4)
-        rate = np.stack([(0.5 * base + w @ yes) / (0.5 + w @ seen)
-                         for w, base in ((1 - post, 0.01), (post, 0.1))])
-        rate = np.clip(rate, 1e-5, 1 - 1e-5)
-        rate[:, -1] = ANNOTATORS
-        if k == rounds // 2:  # what is left over once the class is known
-            gone = np.where(seen, yes - (1 - post)[:, None] * rate[0] - post[:, None] * rate[1], 0.0)
-            cov = gone.T @ gone
+
+    def __init__(self, n: int):
+        self.prior = 0.05
+        self.accuracy = np.full(n, RIGHT)
+        self.rate = np.stack([np.full(n, 0.01), np.full(n, 0.2)])
+        self.correlations = np.eye(n)
+        self.swapped = False
+
+    def logit(self, votes: np.ndarray) -> np.ndarray:
+        odds = math.log(self.prior / (1 - self.prior))
+        weight = np.log(self.accuracy / (1 - self.accuracy)) - odds
+        out = odds + (votes * weight / np.maximum(votes @ self.correlations, 1.0)).sum(axis=1)
+        return np.where(votes.any(axis=1), out, math.log(SILENT / (1 - SILENT)))
+
+    def posterior(self, votes: np.ndarray) -> np.ndarray:
+        z = np.clip(self.logit(votes.astype(float)), -30, 30)
+        return 1 / (1 + np.exp(z if self.swapped else -z))
+
+    def sums(self, votes: np.ndarray, times: np.ndarray, moments: bool) -> np.ndarray:
+        """What a pass over patterns adds to: votes and texts of each class; second moments of what the
+        rates leave over."""
+        votes = votes.astype(float)
+        post = self.posterior(votes)
+        one, zero = times * post, times * (1 - post)
+        out = [one @ votes, zero @ votes, [one.sum(), zero.sum()]]
+        if moments:
+            gone = votes - (1 - post)[:, None] * self.rate[0] - post[:, None] * self.rate[1]
+            out.append(((gone * times[:, None]).T @ gone).ravel())
+        return np.concatenate(out)
+
+    def update(self, sums: np.ndarray, moments: bool) -> float:
+        """Take in a pass; returns how far the accuracies moved."""
+        n = len(self.accuracy)
+        one, zero, (texts_one, texts_zero) = sums[:n], sums[n:2 * n], sums[2 * n:2 * n + 2]
+        if moments:  # by the rates that the pass was made with
+            cov = sums[2 * n + 2:].reshape(n, n)
             sd = np.sqrt(np.maximum(np.diag(cov), 1e-9))
-            rho = np.clip(cov / sd / sd[:, None], 0, 1)
-            discount = 1 / np.maximum(rho.sum(axis=1), 1.0)
-            discount[-1] = 1.0
-        logit = np.log(prior / (1 - prior)) + (
-            np.where(yes, np.log(rate[1] / rate[0]), 0.0)
-            + np.where(seen & ~yes, np.log((1 - rate[1]) / (1 - rate[0])), 0.0)) @ discount
-        post = 1 / (1 + np.exp(-np.clip(logit, -30, 30)))
-    return post, rate, rho
+            self.correlations = np.clip(cov / sd / sd[:, None], 0, 1)
+            np.fill_diagonal(self.correlations, 1.0)
+        cast = one + zero
+        accuracy = np.clip((one + TRUST * RIGHT * cast + 0.5) / ((1 + TRUST) * cast + 1), 1e-3, 1 - 1e-3)
+        moved = float(np.abs(accuracy - self.accuracy).max(initial=0.0))
+        self.accuracy = accuracy
+        self.rate = np.clip(np.stack([(zero + 0.005) / (texts_zero + 0.5), (one + 0.05) / (texts_one + 0.5)]),
+                            1e-5, 1 - 1e-5)
+        self.prior = float(np.clip(texts_one / max(texts_one + texts_zero, 1e-9), 1e-4, 0.5))
+        return moved
+
+
+def fit_label_model(n: int, one_pass, rounds: int = 16) -> LabelModel:
+    """Expectation maximisation; ``one_pass(model, moments)`` gives the sums over all patterns.
+
+    Half-way the correlations are taken from what is left over once the class is known.
+    """
+    model = LabelModel(n)
+    for k in range(rounds):
+        moments = k == rounds // 2
+        if model.update(one_pass(model, moments), moments) < 1e-4 and k > rounds // 2:
+            break
+    return model
+
+
+def _unpacked(bits: list[bytes], n: int) -> np.ndarray:
+    rows = np.frombuffer(b"".join(bits), np.uint8).reshape(len(bits), -1)
+    return np.unpackbits(rows, axis=1, count=n).astype(bool)
+
+
+class Voters:
+    """Terms that vote where they occur often enough, and some of the patterns."""
+
+    def __init__(self, terms, level, patterns=range(len(PATTERNS))):
+        self.terms, self.level, self.patterns = list(terms), np.asarray(level), list(patterns)
+
+    def __len__(self):
+        return len(self.terms) + len(self.patterns)
+
+    def votes(self, finder: Finder, column) -> np.ndarray:
+        rows, found, times, flags = finder.hits(column)
+        out = np.zeros((len(column), len(self)), bool)
+        often = times >= self.level[found] if len(found) else np.zeros(0, bool)
+        out[rows[often], found[often]] = True
+        out[:, len(self.terms):] = flags[:, self.patterns]
+        return out
+
+
+def vote_patterns(texts: DataFrame, voters: Voters) -> DataFrame:
+    """(bits, n): how many texts each pattern of votes has, over all texts."""
+    def count(batches):
+        finder = Finder(voters.terms)
+        for batch in batches:
+            packed = np.packbits(voters.votes(finder, batch.column("text")), axis=1)
+            bits, n = np.unique(packed, axis=0, return_counts=True)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([b.tobytes() for b in bits], pa.binary()), pa.array(n)], ["bits", "n"])
+
+    return (texts.select("text").mapInArrow(count, "bits binary, n bigint")
+            .groupBy("bits").agg(F.sum("n").alias("n")))
+
+
+def passes(patterns: DataFrame, n: int):
+    """``one_pass`` of ``fit_label_model`` over a table of patterns: a task sends its sums, nothing else."""
+    def one_pass(model: LabelModel, moments: bool) -> np.ndarray:
+        def part(batches):
+            total = np.zeros(2 * n + 2 + (n * n if moments else 0))
+            for batch in batches:
+                if batch.num_rows:
+                    votes = _unpacked(batch.column("bits").to_pylist(), n)
+                    total += model.sums(votes, batch.column("n").to_numpy().astype(float), moments)
+            yield pa.RecordBatch.from_arrays([pa.array([total.tolist()], pa.list_(pa.float64()))], ["sums"])
+
+        rows = patterns.mapInArrow(part, "sums array<double>").collect()
+        return np.sum([r.sums for r in rows], axis=0) if rows else np.zeros(2 * n + 2 + (n * n if moments else 0))
+
+    return one_pass
 
 
 def fit_linear(x: np.ndarray, target: np.ndarray, penalty: float = 1.0, rounds: int = 25):
@@ -221,52 +336,85 @@ def fit_linear(x: np.ndarray, target: np.ndarray, penalty: float = 1.0, rounds:
     return w
 
 
-def fit_toxicity(docs: DataFrame, labels: DataFrame):
-    """(terms, weights) of the classifier; without a labelled text it scores all alike (0.05)."""
-    train = staged(training_rows(docs, labels, "toxic"), "toxic_rows")
-    telling = telling_terms(train)
-    terms, level = [t for t, _ in telling], [k for _, k in telling]
-    lexicon = set(map(word_term, LEXICON))
-    more = sorted(lexicon - set(terms))
-    terms, level = terms + more, np.array(level + [1] * len(more) + [1] * len(PATTERNS))
-
-    def read(batches, terms=tuple(terms)):
+def _features(rows: DataFrame, terms: list[int], extra: str):
+    """(x, columns ``extra``) of a bounded table with ``text``: occurrences of the terms, then the patterns."""
+    def read(batches):
         finder = Finder(terms)
         for batch in batches:
-            rows, found, times, flags = finder.hits(batch.column("text"))
-            cut = np.searchsorted(rows, np.arange(batch.num_rows + 1))
+            found_in, found, times, flags = finder.hits(batch.column("text"))
+            cut = np.searchsorted(found_in, np.arange(batch.num_rows + 1))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("label").cast(pa.int32()),
+                [batch.column("doc_id"), batch.column(extra).cast(pa.float64()),
                  pa.array([found[a:b].tolist() for a, b in zip(cut, cut[1:])], pa.list_(pa.int32())),
                  pa.array([times[a:b].tolist() for a, b in zip(cut, cut[1:])], pa.list_(pa.int32())),
-                 pa.array(flags.tolist(), pa.list_(pa.bool_()))], ["doc_id", "label", "hits", "times", "flags"])
+                 pa.array(flags.tolist(), pa.list_(pa.bool_()))], ["doc_id", extra, "hits", "times", "flags"])
 
-    # at most about TRAIN_ROWS rows
-    rows = (train.mapInArrow(read, "doc_id bigint, label int, hits array<int>, times array<int>, flags array<boolean>")
-            .orderBy("doc_id", "label", "hits").collect())
-    discard(train)
-    if not rows:
-        return terms, np.append(np.zeros(len(terms) + len(PATTERNS)), -3.0)
-    x = np.zeros((len(rows), len(terms) + len(PATTERNS)), np.float32)
-    for i, r in enumerate(rows):
+    got = (rows.select("doc_id", "text", extra).mapInArrow(
+        read, f"doc_id bigint, {extra} double, hits array<int>, times array<int>, flags array<boolean>")
+        .orderBy("doc_id", extra, "hits").collect())
+    x = np.zeros((len(got), len(terms) + len(PATTERNS)), np.float32)
+    for i, r in enumerate(got):
         x[i, r.hits] = r.times
         x[i, len(terms):] = r.flags
-    gold = np.array([r.label for r in rows], float)
-    # voters: terms that each cover toxic texts that those before do not, the lexicon, the patterns
-    voted = x >= level
-    voters, open_rows = [], gold == 1
-    for i in range(len(terms)):
-        fresh = open_rows & voted[:, i]
-        if fresh.sum() >= max(2, 0.003 * gold.sum()) and len(voters) < VOTERS:
-            voters.append(i)
-            open_rows &= ~voted[:, i]
-    voters = sorted({*voters, *(i for i, t in enumerate(terms) if t in lexicon)})
-    voters += range(len(terms), x.shape[1])
-    voters = [i for i in voters if voted[:, i].any()]
-    votes = np.hstack([voted[:, voters], gold[:, None]]).astype(np.int8)
-    start = np.clip(0.9 * (gold > 0) + 0.05, 0, 1)
-    post, _, _ = label_model(votes, start)
-    return terms, fit_linear(x.astype(float), post)
+    return x, np.array([r[extra] for r in got], float)
+
+
+def choose_voters(labelled: DataFrame) -> Voters:
+    """The telling terms that hardly ever are in a text labelled as clean, the lexicon, and the patterns; of the
+    last two not those that the labels show to be wrong more often than right."""
+    telling = telling_terms(labelled)
+    lexicon = set(map(word_term, LEXICON))
+    terms = [t for t, _ in telling] + sorted(lexicon - {t for t, _ in telling})
+    level = np.array([k for _, k in telling] + [1] * (len(terms) - len(telling)))
+    x, gold = _features(labelled, terms, "label")
+    voted = x[:, :len(terms)] >= level
+    def share(fired):
+        return (gold[fired].sum() + 0.5) / (fired.sum() + 1)
+
+    def right(fired):
+        return fired.sum() < LEAST_DOCS or share(fired) >= 0.5
+
+    least = VOTER_SHARE * gold.sum()
+    sure = {i for i in range(len(telling)) if share(voted[:, i]) >= VOTER_PRECISION and voted[:, i].sum() >= least}
+    chosen = sorted({*sure, *(i for i, t in enumerate(terms) if t in lexicon and right(voted[:, i]))})
+    patterns = [k for k in range(len(PATTERNS)) if right(x[:, len(terms) + k] > 0)]
+    return Voters([terms[i] for i in chosen], level[chosen], patterns)
+
+
+def posteriors(rows: DataFrame, voters: Voters, model: LabelModel) -> DataFrame:
+    """``rows`` (doc_id, text, label) with ``post``, the label model's posterior from the votes alone."""
+    def add(batches):
+        finder = Finder(voters.terms)
+        for batch in batches:
+            post = model.posterior(voters.votes(finder, batch.column("text")))
+            yield batch.append_column("post", pa.array(post))
+
+    return rows.mapInArrow(add, "doc_id bigint, text string, label int, post double")
+
+
+def fit_toxicity(docs: DataFrame, labels: DataFrame):
+    """(terms, weights) of the classifier; without a labelled text of both classes the lexicon and the patterns
+    are the only voters, and without any vote it scores all alike."""
+    labelled = staged(training_rows(docs, labels, "toxic").select("doc_id", "text", F.col("label").cast("int")),
+                      "toxic_rows")
+    voters = choose_voters(labelled)
+    learned_from = docs.where(~held_out(HELD_OUT, FOLDS)).where("text is not null")
+    patterns = staged(vote_patterns(learned_from, voters), "toxic_votes")
+    model = fit_label_model(len(voters), passes(patterns, len(voters)))
+    sample = staged(labelled.unionByName(more_rows(docs)), "toxic_sample")
+    named = posteriors(sample.where("label is not null"), voters, model).groupBy("label").agg(
+        F.avg("post").alias("post")).collect()
+    mean = {r.label: r.post for r in named}
+    model.swapped = len(mean) == 2 and mean[1] < mean[0]
+    marked = staged(posteriors(sample, voters, model), "toxic_marked")
+    as_label = F.when(F.col("post") >= 0.5, 1).otherwise(0).cast("int")
+    found = [t for t, _ in telling_terms(marked.select("doc_id", "text", as_label.alias("label")))]
+    terms = found + sorted(set(voters.terms) - set(found))
+    x, target = _features(marked, terms, "post")
+    discard(labelled, patterns, sample, marked)
+    if not len(x):
+        return terms, np.append(np.zeros(len(terms) + len(PATTERNS)), -3.0)
+    return terms, fit_linear(x.astype(float), target)
 
 
 def score_toxicity(docs: DataFrame, model) -> DataFrame:
