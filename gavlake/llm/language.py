@@ -29,7 +29,7 @@ VOCABULARY = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
 #: Labelled documents per language that the model is fitted on, about; a hash of the rows picks them.
 TRAIN_DOCS = 250
 ROUNDS = 4
-#: Longest piece in bytes (a packed 64-bit code) and longest stretch of a word scored at once.
+#: Longest piece in bytes (a packed 64-bit code), and longest stretch of a word in fitting; scores are of whole words.
 PIECE_BYTES, WORD_BYTES = 8, 32
 #: Expected uses that every piece is given besides those counted.
 SMOOTHING = 0.01
@@ -73,17 +73,34 @@ def _ends(codes, words):
 
 
 def word_likelihoods(codes, table, words):
-    """Log probability of each word (rows of equally many bytes) in each column of ``table``."""
-    found = _ends(codes, words)
+    """Log probability of each word (rows of equally many bytes) in each column of ``table``.
+
+    The forward sums of the last places are scaled now and then, so that words of any length keep
+    their whole sum over all segmentations.
+    """
     n = words.shape[1]
-    ahead = np.zeros((n + 1, len(words), table.shape[1]))
-    ahead[0] = 1.0
+    packed = words.astype(np.uint64)
+    pieces = {}
+    for size in range(1, min(PIECE_BYTES, n) + 1):
+        wide = packed if size == 1 else (wide[:, :-1] << np.uint64(8)) | packed[:, size - 1:]
+        pieces[size] = _lookup(codes, wide)
+    padded = np.vstack([table, np.zeros((1, table.shape[1]))])
+    # ring[k % keep]: sum over all segmentations of the first k bytes, over exp(logs)
+    keep = PIECE_BYTES + 1
+    ring = np.zeros((keep, len(words), table.shape[1]))
+    ring[0] = 1.0
+    logs = np.zeros((len(words), table.shape[1]))
     for end in range(1, n + 1):
+        now = np.zeros_like(logs)
         for size in range(1, min(PIECE_BYTES, end) + 1):
-            if (end, size) in found:
-                rows, piece = found[end, size]
-                ahead[end, rows] += ahead[end - size, rows] * table[piece]
-    return np.log(np.maximum(ahead[n], 1e-300))
+            now += ring[(end - size) % keep] * padded[pieces[size][:, end - size]]
+        ring[end % keep] = now
+        if end % keep == 0:
+            top = ring.max(axis=0)
+            top[top == 0] = 1.0
+            ring /= top
+            logs += np.log(top)
+    return logs + np.log(np.maximum(ring[n % keep], 1e-300))
 
 
 def expected_uses(codes, probs, words, weights):
@@ -117,7 +134,7 @@ def by_length(words: Iterable[bytes]):
 
 
 def _stretches(word: bytes) -> list[bytes]:
-    """A word with its space, cut so that no stretch underflows."""
+    """A word with its space, cut so that no stretch underflows while the pieces are fitted."""
     word = b" " + word
     return [word[i:i + WORD_BYTES] for i in range(0, len(word), WORD_BYTES)]
 
@@ -157,16 +174,10 @@ class Scorer:
 
     def _learn(self, names, words):
         out = np.zeros((len(words), self.table.shape[1]))
-        parts, owner = [], []
-        for i, w in enumerate(words):
-            for s in _stretches(w):
-                parts.append(s)
-                owner.append(i)
-        owner = np.array(owner)
-        for own, rows in by_length(parts):
-            for a in range(0, len(own), 20_000):
-                np.add.at(out, owner[own[a:a + 20_000]],
-                          word_likelihoods(self.codes, self.table, rows[a:a + 20_000]))
+        for own, rows in by_length(b" " + w for w in words):
+            step = max(1, 400_000 // rows.shape[1])
+            for a in range(0, len(own), step):
+                out[own[a:a + step]] = word_likelihoods(self.codes, self.table, rows[a:a + step])
         if len(self.known) > KEPT_WORDS:
             self._forget()
         names = np.concatenate([self.known, names])
@@ -226,21 +237,21 @@ def fit_languages(labelled: DataFrame, vocabulary: str = VOCABULARY, train_docs:
     return langs, codes, table
 
 
-def identify(docs: DataFrame, model) -> DataFrame:
-    """``docs`` with lang_pred and score, the posterior of the predicted language (equal priors).
+def identify(docs: DataFrame, model, names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+    """``docs`` with lang_pred and score (or other ``names``), the posterior of the predicted language (equal priors).
 
     Only ``text`` is read. A null text, or one without a letter, is ``und`` with score 0, as is
     every text where no language was learned. Of equally likely languages the first by
-    code point wins. Other columns stay, but those that are called lang_pred or score.
+    code point wins. Other columns stay, but those that are called as the added ones.
     """
     langs, codes, table = model
     small_batches(docs.sparkSession)
-    docs = docs.drop("lang_pred", "score")
+    docs = docs.drop(*names)
     low, any_letter = "_text_lower_case", "_has_letter"
     rows = docs.withColumns({
         low: F.lower("text"),
         any_letter: F.coalesce(F.col("text").rlike("\\p{L}"), F.lit(False))})
-    schema = docs.withColumns({"lang_pred": F.lit(""), "score": F.lit(0.0)}).schema
+    schema = docs.withColumns({names[0]: F.lit(""), names[1]: F.lit(0.0)}).schema
 
     def score(batches):
         scorer = Scorer(codes, table)
@@ -256,8 +267,8 @@ def identify(docs: DataFrame, model) -> DataFrame:
                 top = np.where(worded, 1.0 / logs.sum(axis=1), 0.0)
             for name in (low, any_letter):
                 batch = batch.remove_column(batch.schema.get_field_index(name))
-            yield (batch.append_column("lang_pred", pa.array(best, pa.string()))
-                   .append_column("score", pa.array(top, pa.float64())))
+            yield (batch.append_column(names[0], pa.array(best, pa.string()))
+                   .append_column(names[1], pa.array(top, pa.float64())))
 
     return rows.mapInArrow(score, schema)
 

@@ -130,3 +130,23 @@ def test_prefixes_of_short_texts_are_dealt_evenly(spark, monkeypatch):
     rows = rows[:150] + [(10_000 + i, t.upper()) for i, t in rows[:150:2]]
     monkeypatch.setattr(jj, "FRAGMENT_POSTINGS", 5)
     check(spark.createDataFrame(rows, "doc_id long, text string"), rows)
+
+
+def test_rounds_grow_with_the_logarithm_whatever_the_numbering(spark, monkeypatch):
+    """Chains numbered in order, from both ends and at random, a star and a grid."""
+    import random
+
+    import gavlake.llm.components as cc
+    rounds = []
+    real = cc.staged
+    monkeypatch.setattr(cc, "staged", lambda df, name: rounds.append(name) or real(df, name))
+    n = 1_024
+    mixed = list(range(n))
+    random.Random(1).shuffle(mixed)
+    for links in ([(i, i + 1) for i in range(n)], [(mixed[i], mixed[i + 1]) for i in range(n - 1)],
+                  [(i, n - i) for i in range(n // 2)] + [(n - i, i + 1) for i in range(n // 2)],
+                  [(0, i) for i in range(1, n)]):
+        rounds.clear()
+        roots = {r.v: r.root for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
+        assert len(set(roots.values())) == 1 and set(roots.values()) <= set(roots)
+        assert rounds.count("hooks") < 15

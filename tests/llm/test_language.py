@@ -87,3 +87,37 @@ def test_kept_words_do_not_change_scores(small):
     whole = scorer.texts(texts)
     parts = np.concatenate([scorer.texts(texts.slice(i, 7)) for i in range(0, len(texts), 7)])
     assert np.allclose(whole, parts)
+
+
+def test_long_words_keep_their_whole_sum():
+    """Words of 200 bytes: logarithms of the sums over all segmentations, one place after the other."""
+    rng = np.random.default_rng(3)
+    pieces = sorted({bytes(rng.choice(list(b"abc"), rng.integers(2, 6)).tolist()) for _ in range(50)} | {b"a", b"b", b"c"})
+    codes = np.unique(np.array([int.from_bytes(p, "big") for p in pieces], np.uint64))
+    by_code = {int.from_bytes(p, "big"): p for p in pieces}
+    table = rng.random((len(codes), 2)) * 1e-3
+    probs = [{by_code[int(c)]: table[i, k] for i, c in enumerate(codes)} for k in range(2)]
+    for size in (33, 64, 200, 201):
+        words = [bytes(rng.choice(list(b"abc"), size).tolist()) for _ in range(4)]
+        got = lg.word_likelihoods(codes, table, np.frombuffer(b"".join(words), np.uint8).reshape(-1, size))
+        for w, row in zip(words, got, strict=True):
+            for k in range(2):
+                ahead = [0.0] + [-np.inf] * size
+                for end in range(1, size + 1):
+                    for begin in range(max(0, end - 8), end):
+                        p = probs[k].get(w[begin:end])
+                        if p:
+                            ahead[end] = np.logaddexp(ahead[end], ahead[begin] + np.log(p))
+                assert np.isclose(row[k], ahead[size])
+
+
+def test_a_text_is_not_cut_into_stretches(spark):
+    """A text without spaces scores as the one word that it is."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    langs, codes, table = lg.fit_languages(docs)
+    word = "überschwänglichkeitsbeteuerungen" * 8
+    import pyarrow as pa
+
+    raw = b" " + word.encode()
+    want = lg.word_likelihoods(codes, table, np.frombuffer(raw, np.uint8)[None])[0]
+    assert np.allclose(lg.Scorer(codes, table).texts(pa.array([word]))[0], want)

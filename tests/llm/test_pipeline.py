@@ -53,3 +53,45 @@ def test_run(spark):
     got = corpus_pipeline.run(spark, "/root/testdata/sf0.001")
     assert got.columns == ["doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard"]
     assert got.count() > 150
+
+
+def test_the_prediction_decides(spark, monkeypatch):
+    """Without the model's prediction other rows are kept: it, not the label, drops a language."""
+    sf_dir = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    every = corpus_pipeline.language_id(spark, docs, sf_dir)
+    monkeypatch.setattr(corpus_pipeline, "LANGUAGES", ("en", "de"))
+    some = corpus_pipeline.language_id(spark, docs, sf_dir)
+    langs = Counter(r.lang for r in some.collect())
+    assert 0 < some.count() < every.count() and set(langs) <= {"en", "de", None} | {r.lang for r in every.collect()}
+    assert langs["en"] > 10 * langs.get("fr", 0) and langs["de"] > 10 * langs.get("es", 0)
+    # a text of two languages in equal parts, and one of none, against a bound that asks for more
+    monkeypatch.setattr(corpus_pipeline, "LANGUAGES", None)
+    monkeypatch.setattr(corpus_pipeline, "LEAST_POSTERIOR", 1.1)
+    assert corpus_pipeline.language_id(spark, docs, sf_dir).count() == 0
+
+
+def tables(spark, tmp_path, docs, name):
+    path = tmp_path / name
+    docs.write.parquet(f"{path}/documents.parquet")
+    spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet").write.parquet(f"{path}/benchmark.parquet")
+    return str(path)
+
+
+def test_run_on_hard_tables(spark, edge_docs, no_docs, tmp_path):
+    """Nulls, repeated rows, very long texts, columns with the operators' names; and no rows at all."""
+    got = corpus_pipeline.run(spark, tables(spark, tmp_path, edge_docs, "edge")).collect()
+    ids = {r.doc_id for r in got}
+    assert got and ids <= {None, 1, 4, 7, 8, 9, 10, 11, 12}           # no text, or none with a letter: gone
+    assert len(ids & {1, 7, 8}) <= 1                                  # one of the near copies
+    for shard in {r.shard for r in got}:
+        assert sorted(r.slot for r in got if r.shard == shard) == list(range(sum(r.shard == shard for r in got)))
+    assert corpus_pipeline.run(spark, tables(spark, tmp_path, no_docs, "none")).collect() == []
+
+
+def test_run_leaves_only_its_result(spark, monkeypatch):
+    dropped = []
+    real = corpus_pipeline.discard
+    monkeypatch.setattr(corpus_pipeline, "discard", lambda *t: dropped.append(len(t)) or real(*t))
+    assert corpus_pipeline.run(spark, "/root/testdata/sf0.001").count() > 150
+    assert len(dropped) == len(corpus_pipeline.STAGES) - 1
