@@ -65,7 +65,7 @@ def add_to_rollup(delta: DataFrame, store: TableStore, name: str, parts: list[in
     keys, versions = KEYS[name], f"{name}_versions"
     known = store.table(versions, parts)
     fresh = _lacking(version_set(delta, keys), known, [*keys, "artifact_version"])
-    set_change, _ = store.write_parts(with_part(fresh), versions, "add")
+    set_change, _ = store.write_parts(with_part(fresh), versions, "add", [*keys, "artifact_version"])
     added = store.written(set_change)
     majors = _lacking(added.where("major_version is not null").select(*keys, "major_version").distinct(),
                       known, [*keys, "major_version"])
@@ -81,5 +81,5 @@ def add_to_rollup(delta: DataFrame, store: TableStore, name: str, parts: list[in
              .groupBy(*keys).agg(F.sum("v").alias(COUNTERS[0]), F.sum("m").alias(COUNTERS[1]),
                                  F.max("s").alias(COUNTERS[2]), F.max("d").alias(COUNTERS[3])))
     rollup = conform(with_group_prefixes(grown) if name == "g" else grown, SCHEMAS[name])
-    change, rows = store.write_parts(with_part(rollup), name, "parts")
+    change, rows = store.write_parts(with_part(rollup), name, "parts", keys)
     return {versions: set_change, name: change}, rows

@@ -180,9 +180,11 @@ def run_refresh(spark: SparkSession, store: TableStore, limits: str = "fail", ma
     for name, build in (("g", group_rollup), ("ga", group_artifact_rollup)):
         t0 = time.time()
         if maintain:
-            entries[name], written = store.write_parts(with_part(build(gav)), name, "replace")
+            # in ranges, so that the versions of a hot group are written by several tasks
+            entries[name], written = store.write_parts(with_part(build(gav)), name, "replace", KEYS[name])
             entries[f"{name}_versions"], _ = store.write_parts(
-                with_part(version_set(gav, KEYS[name])), f"{name}_versions", "replace")
+                with_part(version_set(gav, KEYS[name])), f"{name}_versions", "replace",
+                [*KEYS[name], "artifact_version"])
         else:
             entries[name], written = store.write_version(build(gav), name)
             if store.exists(f"{name}_versions"):

@@ -50,6 +50,7 @@ SORT_COLUMNS = {
     "ga": ("group_id", "artifact_id"),
     "g_versions": ("group_id", "artifact_version"),
     "ga_versions": ("group_id", "artifact_id", "artifact_version"),
+    "gav_by_date": ("last_modified", "uinfo_md5"),
 }
 # Tables that are bucketed, and by which column.
 BUCKET_COLUMN = {"artifactinfo": "uinfo_md5"}
@@ -336,9 +337,9 @@ class TableStore:
         these columns, so that a hot part is spread over tasks and its files hold narrow ranges.
         """
         path = self._new_folder(name)
-        df, obs = self._counted(df)
         sort = [PART] + (ranges or [c for c in SORT_COLUMNS.get(name, ()) if c in df.columns])
-        dealt = df.repartitionByRange(PART, *ranges) if ranges else df.repartition(PART)
+        # counted after the shuffle: ranges are found by a first pass over what comes before it
+        dealt, obs = self._counted(df.repartitionByRange(PART, *ranges) if ranges else df.repartition(PART))
         with observed_writes(df.sparkSession):
             dealt.sortWithinPartitions(*sort).write.partitionBy(PART).mode("errorifexists").parquet(path)
         fs, p = self._fs_path(path)
@@ -366,7 +367,7 @@ class TableStore:
             raise RuntimeError("refresh the derived tables before compacting the records")
         if entry["parted"]:
             df = self.spark.table(self.qualified(name)).drop(BATCH)
-            change, rows = self.write_parts(df, name, "replace")
+            change, rows = self.write_parts(df, name, "replace", list(SORT_COLUMNS.get(name, ())))
         else:
             change, rows = self.write_version(self.table(name), name)
         self.commit({name: change}, derived=name == "artifactinfo" and self.derived_until() >= 0)

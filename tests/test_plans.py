@@ -155,3 +155,45 @@ def test_ga_latest_reads_gav_once(store):
     from gavlake.operators.views import ga_latest
     p = plan(ga_latest(store.table("ga"), store.table("gav"), rolled_up=True))
     assert len(re.findall(r"Location: [^\n]*/gav/", p)) == 1 or p.count("description:string") == 1
+
+
+def test_declared_view_is_the_operator(spark, store):
+    from gavlake.operators.views import ga_latest
+    from gavlake.plans.catalog import declare_views
+    declare_views(spark, store)
+    view = spark.table(store.qualified("v_ga2ga"))
+    assert "LeftOuter" not in plan(view)
+    rows = lambda df: sorted(map(repr, df.collect()))
+    gav, ga = store.table("gav"), store.table("ga")
+    assert rows(view) == rows(ga_latest(ga, gav, rolled_up=True)) == rows(ga_latest(ga, gav))
+    assert rows(spark.table(store.qualified("v_artifactinfo2gav"))) == rows(stable_binaries(gav))
+
+
+def test_a_hot_key_is_split_through_the_declared_view(spark):
+    """One version with very many files: its partition is read by several tasks of the view's join."""
+    from gavlake.operators.records import conform
+    from gavlake.plans.catalog import declare_views
+    from gavlake.schemas import GAV
+    from gavlake.session import settings
+    n = 30_000
+    text = F.concat(F.sha2(F.col("id").cast("string"), 512), F.sha2(F.col("id").cast("string"), 384))
+    rows = spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("g"), "id")).alias("group_id"),
+        F.lit("a").alias("artifact_id"), F.lit("1.0").alias("artifact_version"), F.lit(1).alias("major_version"),
+        F.lit(10 ** 16).alias("version_seq"), text.alias("name"), text.alias("description"),
+        *[F.lit(None).alias(f.name) for f in GAV.fields
+          if f.name not in ("group_id", "artifact_id", "artifact_version", "major_version", "version_seq", "name",
+                            "description")])
+    s = TableStore(spark, scratch_path(spark, "hot-view"))
+    s.overwrite(conform(rows, GAV), "gav")
+    s.overwrite(group_artifact_rollup(s.table("gav")), "ga")
+    declare_views(spark, s)
+    small = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+             "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+             "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+             "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k", "spark.sql.shuffle.partitions": "16"}
+    with settings(spark, small):
+        view = spark.table(s.qualified("v_ga2ga"))
+        assert len(view.collect()) == n
+        final = view._jdf.queryExecution().executedPlan().toString()
+    assert "skew=true" in final, final
