@@ -225,15 +225,16 @@ def _broken_index(spark, sf_dir) -> str:
     line = (F.when(F.col("doc_ord") % 37 == 0, F.concat(F.lit('{"doc_ord":'), "doc_ord", F.lit(',"uinfo":"cut')))
             .when(F.col("doc_ord") % 41 == 0, F.concat(F.lit('{"doc_ord":"no '), "doc_ord", F.lit('","is_live":true}')))
             .otherwise(F.to_json(F.struct(*raw.columns))))
-    raw.select(line.alias("value")).write.text(path)
+    write_lines(raw.select(line), path, compression="gzip")
     return path
 
 
 @query("drop_reasons")
 def q_drop_reasons(spark, sf_dir):
     """Documents that a load scanned and dropped, by reason; some lines do not decode (SRC-1, SRC-2)."""
-    raw = read_index(spark, _broken_index(spark, sf_dir), "json", keep_corrupt=True)
-    scan = write_load(raw, _store(spark)).scan
+    lines, store = _broken_index(spark, sf_dir), _store(spark)
+    scan = write_load(read_index(spark, lines, "json", keep_corrupt=True), store).scan
+    remove(spark, lines, store.root)  # the counts are all that is read from here on
     return spark.createDataFrame([(k, int(scan[k])) for k in ("scanned", *DROP_REASONS)], "reason string, n long")
 
 
