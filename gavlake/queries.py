@@ -31,7 +31,7 @@ from .schemas import ARTIFACTINFO, DEFAULT_EXTENSIONS
 from .plans.catalog import declare_views, register_views
 from .plans.etl import Tables, full_plan, run_all, run_load, run_refresh, write_load
 from .session import remove, scratch_path
-from .sinks.tables import TableStore, export_json
+from .sinks.tables import TableStore, export_json, write_lines
 from .sources.fixture import raw_index
 from .sources.index import DROP_REASONS, live_records, read_index
 from .streaming.incremental import refresh, stream_audit
@@ -241,8 +241,9 @@ def q_drop_reasons(spark, sf_dir):
 @query("index_rejects")
 def q_index_rejects(spark, sf_dir):
     """Lines that the stream could not decode (SRC-2, SRC-3)."""
-    store = _store(spark)
-    refresh(spark, _broken_index(spark, sf_dir), store, source_format="json")
+    lines, store = _broken_index(spark, sf_dir), _store(spark)
+    refresh(spark, lines, store, source_format="json")
+    remove(spark, lines)
     return store.table("index_rejects").select("line")
 
 
