@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..schemas import RAW_INDEX
-from ..session import scratch_path
+from ..session import compilable, scratch_path
 
 # Every lineitem row becomes one index document. The modulo expressions below only
 # derive attributes of a document (deleted, not an artifact, version form, extension,
@@ -208,7 +208,8 @@ def dense_order(df: DataFrame, order_cols: list[str] | tuple[str, ...], out: str
     ordered = ranged.sortWithinPartitions(*order_cols)
     if project is not None:
         ordered = project(ordered)
-    ordered.withColumn("_mono", F.monotonically_increasing_id()).write.parquet(path)
+    with compilable(spark):
+        ordered.withColumn("_mono", F.monotonically_increasing_id()).write.parquet(path, compression="zstd")
     numbered = (
         spark.read.parquet(path)
         .withColumn("_pid", F.shiftright("_mono", _MONO_ID_SHIFT))
