@@ -66,3 +66,10 @@ def _noting(fn, seen, spark, key):
         seen.append(spark.conf.get(key))
         return fn()
     return noted
+
+
+def test_f12_store_files_are_compressed(spark):
+    store = Q._refreshed_store(spark, SMALL_SF)
+    for name in ("gav", "g", "ga", "artifactinfo"):
+        files = [f for f in store.table(name).inputFiles()]
+        assert files and all(".zstd." in f for f in files), name
