@@ -312,7 +312,7 @@ def q_sql_views(spark, sf_dir):
 @query("export_json")
 def q_export_json(spark, sf_dir):
     """JSON documents written as text lines and read back (SNK-4)."""
-    path = export_json(tables(spark, sf_dir).artifactinfo, scratch_path(spark, "export"))
+    path = export_json(tables(spark, sf_dir).artifactinfo, scratch_path(spark, "export"), compression="gzip")
     return spark.read.text(path).select(F.col("value").alias("json"))
 
 
