@@ -29,7 +29,9 @@ def flatten_gav(artifactinfo: DataFrame, fixes=EXTENSION_FIXES) -> DataFrame:
     Numbers are read as text and converted with ``try_cast`` so that quoted numbers are
     accepted; a value that is not a number becomes NULL instead of failing the job.
     """
-    parsed = artifactinfo.select("*", F.from_json("json", GAV_JSON_READ).alias("_r"))
+    # exploded from an array of one: a filter on the fields stays above it, where it reads the parsed
+    # fields; below, it would repeat the parse for each of them
+    parsed = artifactinfo.select("*", F.explode(F.array(F.from_json("json", GAV_JSON_READ))).alias("_r"))
     r = lambda f: F.col(f"_r.{f}")
     out = parsed.select(
         "uinfo_md5", "uinfo_length", "uinfo",
