@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gavlake.llm.scratch import ship_by_value, small_batches
+from gavlake.llm.scratch import lean_batches, ship_by_value, small_batches
 from gavlake.llm.text import SpanHasher, mix, runs, shingles, text_slices
 
 SHINGLE_WORDS = 5
@@ -171,7 +171,7 @@ def _holders(benchmark: DataFrame):
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(sets).view(np.int64))], ["shingle"])
 
     items = _items(benchmark)
-    several = (items.select("text").mapInArrow(own, "shingle bigint")
+    several = (items.select("text").mapInArrow(lean_batches(own), "shingle bigint")
                .groupBy("shingle").agg(F.count("*").alias("n")).where("n > 1"))
     keys, counts = array("q"), array("q")
     for row in several.toLocalIterator():
@@ -236,7 +236,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                                                            pa.int32(), pa.int64(), pa.int64()))],
                     ["doc_id", "item_id", "similarity", "distance", "first_word", "n_words"])
 
-        found = rows.mapInArrow(search, schema)
+        found = rows.mapInArrow(lean_batches(search), schema)
         out = found if k == 0 else out.unionByName(found)
     return out
 
@@ -258,7 +258,7 @@ def decontaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                 at = batch.schema.get_field_index(low)
                 yield batch.remove_column(at).filter(pa.array(keep))
 
-        out = out.withColumn(low, F.lower("text")).mapInArrow(clean, docs.schema)
+        out = out.withColumn(low, F.lower("text")).mapInArrow(lean_batches(clean), docs.schema)
     return out
 
 

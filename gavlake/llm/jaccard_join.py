@@ -37,6 +37,8 @@ from pyspark.sql.window import Window
 from gavlake.llm.components import components
 from gavlake.llm.scratch import (
     discard,
+    lean_batches,
+    lean_group,
     ship_by_value,
     shuffle_partitions,
     small_batches,
@@ -97,7 +99,7 @@ def shingle_sets(docs: DataFrame, size: int = SHINGLE_WORDS) -> DataFrame:
 
     rows = docs.select("doc_id", "text", F.xxhash64("text").alias("text_key"))
     return rows.select("doc_id", "text", "text_key").mapInArrow(
-        measure, "doc_id bigint, n bigint, k bigint, text_key bigint")
+        lean_batches(measure), "doc_id bigint, n bigint, k bigint, text_key bigint")
 
 
 def _kept(n, pct):
@@ -155,7 +157,7 @@ def _postings(docs, fragments, size, pct, whole):
                  pa.array([names[a:b].tobytes() for a, b in zip(edge, ends)], pa.binary())],
                 ["fragment", "tokens", "names"])
 
-    return docs.select("text").mapInArrow(emit, "fragment int, tokens binary, names binary")
+    return docs.select("text").mapInArrow(lean_batches(emit), "fragment int, tokens binary, names binary")
 
 
 def _gather(table, dtype):
@@ -180,7 +182,7 @@ def _partial_counts(postings: DataFrame) -> DataFrame:
         k, shared = np.unique(names[df > 1], return_counts=True)
         return pa.table({"k": k, "shared": shared.astype(np.int64)})
 
-    return postings.groupBy("fragment").applyInArrow(count, "k bigint, shared bigint")
+    return postings.groupBy("fragment").applyInArrow(lean_group(count), "k bigint, shared bigint")
 
 
 def _frequencies(postings: DataFrame) -> DataFrame:
@@ -192,7 +194,7 @@ def _frequencies(postings: DataFrame) -> DataFrame:
         return pa.table({"k": names[shared], "token": toks[shared].view(np.int64),
                          "df": df[shared].astype(np.int32)})
 
-    return postings.groupBy("fragment").applyInArrow(count, "k bigint, token bigint, df int")
+    return postings.groupBy("fragment").applyInArrow(lean_group(count), "k bigint, token bigint, df int")
 
 
 def _bounded(df: DataFrame, rows: int) -> DataFrame:
@@ -327,7 +329,7 @@ def _ordered(shared: DataFrame, pct: int) -> DataFrame:
                 ["k", "n", "segment", "first", "tokens"])
 
     return shared.select("k", "n", "parts").mapInArrow(
-        order, "k bigint, n bigint, segment int, first bigint, tokens array<bigint>")
+        lean_batches(order), "k bigint, n bigint, segment int, first bigint, tokens array<bigint>")
 
 
 def jaccard_components(docs: DataFrame, pct: int = SIMILARITY_PCT,

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gavlake.llm.scratch import ship_by_value, small_batches
+from gavlake.llm.scratch import lean_batches, ship_by_value, small_batches
 from gavlake.llm.text import SpanHasher, runs, text_slices
 
 #: Ranks of a byte-level vocabulary for many languages (tiktoken format).
@@ -270,7 +270,7 @@ def identify(docs: DataFrame, model, names: tuple[str, str] = ("lang_pred", "sco
             yield (batch.append_column(names[0], pa.array(best, pa.string()))
                    .append_column(names[1], pa.array(top, pa.float64())))
 
-    return rows.mapInArrow(score, schema)
+    return rows.mapInArrow(lean_batches(score), schema)
 
 
 ship_by_value(__name__)
