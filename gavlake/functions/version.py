@@ -65,23 +65,27 @@ def _shrink_year(x: Column) -> Column:
 
 
 def with_version_parts(df: DataFrame, version: str = "version") -> DataFrame:
-    """Add the parsed parts of a version, in two projections (PRJ-2, PRJ-3).
+    """Add the parsed parts of a version (PRJ-2, PRJ-3).
 
     ``_v_dot``: whether the version has anything but digits; ``_v_tok``: its digit runs;
     ``_v_t1`` .. ``_v_t4``: the first four as longs, 0 when absent or too large;
     ``_v_first10``: the first 10 characters of the first run as a long. The token array is
     a column of its own, so the regular expression runs once per row (Catalyst does not
-    merge a projection that would repeat a non-trivial expression).
+    merge a projection that would repeat a non-trivial expression). The parts are exploded from
+    an array of one: a filter on the version key stays above it, where it reads the parsed parts;
+    below, it would repeat the regular expression for each of them.
     """
     v = F.col(version)
     staged = df.withColumn("_v_tok", F.regexp_extract_all(v, F.lit("([0-9]+)"), 1))
     # "has a dot" = not all digits = non-empty and not one token covering the string
-    return staged.withColumns({
+    parts = {
         "_v_dot": ~((F.length(v) == 0)
                     | ((F.size("_v_tok") == 1) & (F.length(F.get(F.col("_v_tok"), 0)) == F.length(v)))),
         **{f"_v_t{i + 1}": _to_long(F.get(F.col("_v_tok"), i)) for i in range(4)},
         "_v_first10": _to_long(F.substring(F.get(F.col("_v_tok"), 0), 1, YEAR_PREFIX_LEN)),
-    })
+    }
+    parsed = staged.select("*", F.explode(F.array(F.struct(*[c.alias(n) for n, c in parts.items()]))).alias("_v"))
+    return parsed.withColumns({n: F.col(f"_v.{n}") for n in parts}).drop("_v")
 
 
 def shrink_year(x: Column) -> Column:

@@ -12,7 +12,7 @@ from gavlake.operators import analytics as A
 from gavlake.operators.derived import group_artifact_rollup, group_rollup
 from gavlake.operators.records import first_wins_dedup, new_records
 from gavlake.operators.views import stable_binaries
-from gavlake.plans.etl import run_all
+from gavlake.plans.etl import load_plan, run_all
 from gavlake.session import scratch_path
 from gavlake.sinks.tables import TableStore
 from gavlake.sources.fixture import raw_index
@@ -197,3 +197,10 @@ def test_a_hot_key_is_split_through_the_declared_view(spark):
         assert len(view.collect()) == n
         final = view._jdf.queryExecution().executedPlan().toString()
     assert "skew=true" in final, final
+
+
+def test_filter_on_version_key_parses_each_version_once(spark):
+    found = A.find_by_major_version(load_plan(raw_index(spark, SMALL_SF)), oracle.LOOKUP_MAJOR)
+    optimized = found._jdf.queryExecution().optimizedPlan().toString()
+    assert optimized.count("regexp_extract_all") == 1, optimized
+    assert found.select("major_version").distinct().collect() == [(oracle.LOOKUP_MAJOR,)]
