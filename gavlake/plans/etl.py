@@ -28,10 +28,13 @@ from ..operators.records import (
 )
 from ..operators.rollup_state import KEYS, add_to_rollup, touched_parts, version_set, with_part
 from ..schemas import ARTIFACTINFO
-from ..session import remove, written_once
+from ..session import files_exceed, remove, written_once
 from ..sinks.tables import TableStore
 from ..sources.index import DROP_REASONS, live_records
 
+# Bytes of input files above which a batch is counted before it is loaded into a filled store.
+COUNTED_FIRST_BYTES = 64 << 20
+
 AUDIT_SCHEMA = T.StructType([
     T.StructField("step", T.StringType(), False),
     T.StructField("table_name", T.StringType(), False),
@@ -97,7 +100,9 @@ def write_load(raw: DataFrame, store: TableStore, fix_signature: bool = False, l
     ``raw`` is scanned once. Against a filled store the deduplicated batch is written to the
     shared folder first: the size check, the keys that filter the store and the rows are all
     read from there. The keys of a tiny batch are looked up as literals; those of a small one are
-    broadcast to a scan of the store's keys; beyond that both sides are joined by bucket. ``limits``: what happens to records that break a declared limit of
+    broadcast to a scan of the store's keys; beyond that both sides are joined by bucket. Only a batch that reads
+    large files is counted beforehand: with more documents than keys are ever broadcast, it is joined by bucket
+    without that copy, and the exchange of its dedup is the join's and the write's as well. ``limits``: what happens to records that break a declared limit of
     ``artifactinfo``: "fail" stops, "quarantine" puts them into ``artifactinfo_rejects`` (each
     key once), "off" stores them.
     """
@@ -108,9 +113,13 @@ def write_load(raw: DataFrame, store: TableStore, fix_signature: bool = False, l
     first = first_wins_dedup(with_content_key(live_records(raw, obs)))
     scratch, keyed = [], True
     if store.exists("artifactinfo"):
-        batch, path = written_once(first, "batch")
-        scratch.append(path)
-        if batch_is_small(batch, MAX_LOOKUP_KEYS):
+        large = files_exceed(raw, COUNTED_FIRST_BYTES) and not batch_is_small(raw)  # documents bound the keys
+        if not large:
+            batch, path = written_once(first, "batch")
+            scratch.append(path)
+        if large:
+            first = new_records(first, store.keys())
+        elif batch_is_small(batch, MAX_LOOKUP_KEYS):
             known = stored_among(store.keys(), [bytes(r[0]) for r in batch.select(KEY).collect()])
             first = batch.filter(~F.col(KEY).isin([F.lit(bytearray(k)) for k in known])) if known else batch
             keyed = False

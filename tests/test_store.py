@@ -67,6 +67,26 @@ def test_large_batches_are_bucketed_too(spark, raw, monkeypatch):
     assert rows(store.table("artifactinfo")) == rows(full_plan(raw).artifactinfo)
 
 
+@pytest.mark.parametrize("limits", ["off", "quarantine"])
+def test_large_batches_are_not_copied_first(spark, raw, monkeypatch, limits):
+    import gavlake.operators.records as R
+    store, usual = (TableStore(spark, scratch_path(spark, "copied"), buckets=5) for _ in range(2))
+    for s in (store, usual):
+        run_load(spark, raw.filter("doc_ord <= 3000"), s, limits=limits)
+    expected = write_load(raw, usual, limits=limits)
+    usual.commit(expected.changes)
+    monkeypatch.setattr(R, "MAX_BROADCAST_KEYS", 10)
+    monkeypatch.setattr(etl, "COUNTED_FIRST_BYTES", 0, raising=False)
+    monkeypatch.setattr(etl, "written_once", lambda *_: pytest.fail("the batch is written"))
+    loaded = write_load(raw, store, limits=limits)
+    store.commit(loaded.changes)
+    assert (loaded.written, loaded.rejected, loaded.scan) == (expected.written, expected.rejected, expected.scan)
+    assert loaded.written > 0 and set(bucket_files(store).values()) == {1}
+    assert rows(store.table("artifactinfo")) == rows(usual.table("artifactinfo"))
+    if limits == "quarantine":
+        assert rows(store.table("artifactinfo_rejects")) == rows(usual.table("artifactinfo_rejects"))
+
+
 def test_a_load_scans_its_batch_once(spark, raw, monkeypatch):
     scans = []
     real = etl.live_records
