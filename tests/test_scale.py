@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from conftest import SMALL_SF
 from gavlake import queries as Q
+from gavlake.functions.sql import register_functions
 from gavlake.operators.quality import length_violations
 from gavlake.plans.etl import full_plan
 from gavlake.session import scratch_path
@@ -98,3 +99,12 @@ def test_f12_store_files_are_compressed(spark):
     for name in ("gav", "g", "ga", "artifactinfo"):
         files = [f for f in store.table(name).inputFiles()]
         assert files and all(".zstd." in f for f in files), name
+
+
+def test_f19_the_table_function_parses_a_document_once(spark):
+    register_functions(spark)
+    spark.createDataFrame([("[1,2]",)], "json string").createOrReplaceTempView("f19_docs")
+    rows = spark.sql("SELECT t.rowid FROM f19_docs d, LATERAL json_table(d.json, '$', map('v', '$')) t")
+    plan = _plan(rows).lower()
+    assert plan.count("parse_json") + plan.count("parsejson") == 1 and "schema_of_variant" not in plan
+    assert sorted(r.rowid for r in rows.collect()) == [1, 2]
