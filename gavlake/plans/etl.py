@@ -28,12 +28,15 @@ from ..operators.records import (
 )
 from ..operators.rollup_state import KEYS, add_to_rollup, touched_parts, version_set, with_part
 from ..schemas import ARTIFACTINFO
-from ..session import files_exceed, remove, written_once
+from ..session import files_exceed, remove, scans_of, written_once
 from ..sinks.tables import TableStore
 from ..sources.index import DROP_REASONS, live_records
 
 # Bytes of input files above which a batch is counted before it is loaded into a filled store.
 COUNTED_FIRST_BYTES = 64 << 20
+# Bytes of input files that a task of a load reads at most. The dedup sorts whole records before their exchange, and
+# as rows they take many times their bytes in a compressed file: what a task sorts must fit its memory, or it is spilled.
+LOAD_SCAN_BYTES = 32 << 20
 
 AUDIT_SCHEMA = T.StructType([
     T.StructField("step", T.StringType(), False),
@@ -108,6 +111,11 @@ def write_load(raw: DataFrame, store: TableStore, fix_signature: bool = False, l
     """
     if limits not in ("fail", "quarantine", "off"):
         raise ValueError(f"limits must be fail, quarantine or off, not {limits!r}")
+    with scans_of(raw.sparkSession, LOAD_SCAN_BYTES):
+        return _write_load(raw, store, fix_signature, limits)
+
+
+def _write_load(raw: DataFrame, store: TableStore, fix_signature: bool, limits: str) -> Loaded:
     obs = Observation("scan")
     t0 = time.time()
     first = first_wins_dedup(with_content_key(live_records(raw, obs)))

@@ -8,6 +8,7 @@ from conftest import SMALL_SF
 from gavlake import queries as Q
 from gavlake.functions.sql import register_functions
 from gavlake.operators.quality import length_violations
+from gavlake.plans import etl
 from gavlake.plans.etl import full_plan
 from gavlake.session import scratch_path
 from gavlake.sinks.tables import TableStore, export_json
@@ -108,3 +109,22 @@ def test_f19_the_table_function_parses_a_document_once(spark):
     plan = _plan(rows).lower()
     assert plan.count("parse_json") + plan.count("parsejson") == 1 and "schema_of_variant" not in plan
     assert sorted(r.rowid for r in rows.collect()) == [1, 2]
+
+
+def test_f16_a_load_sorts_small_scans(spark, monkeypatch):
+    path, seen = scratch_path(spark, "index"), []
+    raw_index(spark, SMALL_SF).coalesce(1).write.parquet(path)
+    raw, key = spark.read.parquet(path), "spark.sql.files.maxPartitionBytes"
+    size, before = sum(_files(spark, path).values()), spark.conf.get(key)
+    wide, write = spark.read.parquet(path).rdd.getNumPartitions(), TableStore.write_version
+
+    def spy(self, df, *args, **kw):
+        seen.append((spark.conf.get(key), spark.read.parquet(path).rdd.getNumPartitions()))
+        return write(self, df, *args, **kw)
+
+    monkeypatch.setattr(TableStore, "write_version", spy)
+    most = size // (4 * wide)
+    monkeypatch.setattr(etl, "LOAD_SCAN_BYTES", most)
+    loaded = etl.write_load(raw, TableStore(spark, scratch_path(spark, "store")))
+    assert loaded.written > 0 and seen == [(str(most), seen[0][1])] and seen[0][1] > wide
+    assert spark.conf.get(key) == before
