@@ -28,7 +28,7 @@ from ..operators.records import (
 )
 from ..operators.rollup_state import KEYS, add_to_rollup, touched_parts, version_set, with_part
 from ..schemas import ARTIFACTINFO
-from ..session import files_exceed, remove, scans_of, written_once
+from ..session import SCAN_BYTES, files_exceed, remove, scans_of, written_once
 from ..sinks.tables import TableStore
 from ..sources.index import DROP_REASONS, live_records
 
@@ -36,7 +36,7 @@ from ..sources.index import DROP_REASONS, live_records
 COUNTED_FIRST_BYTES = 64 << 20
 # Bytes of input files that a task of a load reads at most. The dedup sorts whole records before their exchange, and
 # as rows they take many times their bytes in a compressed file: what a task sorts must fit its memory, or it is spilled.
-LOAD_SCAN_BYTES = 32 << 20
+LOAD_SCAN_BYTES = SCAN_BYTES
 
 AUDIT_SCHEMA = T.StructType([
     T.StructField("step", T.StringType(), False),

@@ -30,9 +30,9 @@ from .operators.views import ga_latest, stable_binaries
 from .schemas import ARTIFACTINFO, DEFAULT_EXTENSIONS
 from .plans.catalog import declare_views, register_views
 from .plans.etl import Tables, full_plan, run_all, run_load, run_refresh, write_load
-from .session import remove, scratch_path
+from .session import remove, scratch_path, sized_for
 from .sinks.tables import TableStore, export_json, write_lines
-from .sources.fixture import raw_index
+from .sources.fixture import index_size, raw_index
 from .sources.index import DROP_REASONS, live_records, read_index
 from .streaming.incremental import refresh, stream_audit
 
@@ -42,7 +42,7 @@ REGISTRY: dict[str, Query] = {}
 
 def query(name: str):
     def deco(fn):
-        REGISTRY[name] = lambda spark, sf_dir: printable(fn(spark, sf_dir))
+        REGISTRY[name] = lambda spark, sf_dir: printable(fn(sized_for(spark, index_size(spark, sf_dir)), sf_dir))
         REGISTRY[name].__doc__ = fn.__doc__
         return fn
     return deco

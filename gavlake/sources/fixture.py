@@ -210,6 +210,11 @@ def dense_order(df: DataFrame, order_cols: list[str] | tuple[str, ...], out: str
         ordered = project(ordered)
     with compilable(spark):
         ordered.withColumn("_mono", F.monotonically_increasing_id()).write.parquet(path, compression="zstd")
+    return read_ordered(spark, path, out)
+
+
+def read_ordered(spark: SparkSession, path: str, out: str) -> DataFrame:
+    """What ``dense_order`` wrote, with the positions."""
     numbered = (
         spark.read.parquet(path)
         .withColumn("_pid", F.shiftright("_mono", _MONO_ID_SHIFT))
@@ -232,24 +237,38 @@ def raw_index_from_tables(lineitem: DataFrame, part: DataFrame) -> DataFrame:
     """``raw_index`` (schema ``RAW_INDEX``) from the driver's lineitem and part tables."""
     ordered = dense_order(join_inputs(lineitem, part), list(ORDER_COLUMNS), "doc_ord",
                           project=record_columns)
+    return _as_index(ordered)
+
+
+def _as_index(ordered: DataFrame) -> DataFrame:
     return ordered.select(*[F.col(f.name).cast(f.dataType) for f in RAW_INDEX.fields])
 
 
-# Raw index written before, per session and data folder, so that queries share it.
+# Raw index written before, per application and data folder, so that queries share it.
 _WRITTEN: dict[tuple[str, str], DataFrame] = {}
 
 
 def raw_index(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The raw index of a data folder; it is derived and written once per session."""
+    """The raw index of a data folder; it is derived and written once per application.
+
+    It is read by the settings of ``spark``: what another session wrote is opened anew.
+    """
     known = (spark.sparkContext.applicationId, sf_dir)
     df = _WRITTEN.get(known)
     if df is None or not _readable(df):
         lineitem = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
         part = spark.read.parquet(f"{sf_dir}/part.parquet")
         df = _WRITTEN[known] = raw_index_from_tables(lineitem, part)
+    elif df.sparkSession is not spark:
+        return _as_index(read_ordered(spark, df.inputFiles()[0].rsplit("/", 1)[0], "doc_ord"))
     return df
 
 
+def index_size(spark: SparkSession, sf_dir: str) -> int:
+    """Number of documents of the raw index, at most (Parquet keeps it in the files' footers)."""
+    return spark.read.parquet(f"{sf_dir}/lineitem.parquet").count()
+
+
 def _readable(df: DataFrame) -> bool:
     """Whether the files below ``df`` are still there (a scratch folder may be cleared)."""
     jvm, conf = df.sparkSession._jvm, df.sparkSession._jsc.hadoopConfiguration()

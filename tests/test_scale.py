@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from conftest import SMALL_SF
 from gavlake import queries as Q
+from gavlake import session
 from gavlake.functions.sql import register_functions
 from gavlake.operators.quality import length_violations
 from gavlake.plans import etl
@@ -128,3 +129,50 @@ def test_f16_a_load_sorts_small_scans(spark, monkeypatch):
     loaded = etl.write_load(raw, TableStore(spark, scratch_path(spark, "store")))
     assert loaded.written > 0 and seen == [(str(most), seen[0][1])] and seen[0][1] > wide
     assert spark.conf.get(key) == before
+
+
+def _sized(spark, monkeypatch, records: int = 500):
+    monkeypatch.setattr(session, "RECORDS_PER_TASK", records)
+    monkeypatch.setattr(session, "SCAN_BYTES", 100_000)
+    return session.sized_for(spark, fixture.index_size(spark, SMALL_SF))
+
+
+def _all_rows(df) -> list:
+    return sorted(map(str, df.collect()))
+
+
+def test_f10_a_large_index_has_more_partitions(spark, monkeypatch):
+    keys = ["spark.sql.shuffle.partitions", "spark.sql.files.maxPartitionBytes"]
+    before = [spark.conf.get(k) for k in keys]
+    assert session.sized_for(spark, 8 * session.RECORDS_PER_TASK) is spark
+    n = -(-fixture.index_size(spark, SMALL_SF) // 500)
+    sized = _sized(spark, monkeypatch)
+    assert n > 8 and [sized.conf.get(k) for k in keys] == [str(n), "100000"]
+    assert sized.conf.get("spark.sql.session.timeZone") == "UTC" and scratch_path(sized, "x").startswith(
+        session.scratch_root(spark))
+    assert [spark.conf.get(k) for k in keys] == before  # the user's session stays as it is
+
+
+def test_f10_f11_f15_f18_same_rows_in_more_partitions(spark, monkeypatch):
+    for name in ("epoch_ms_to_datetime", "group_artifact_rollup", "hex_key", "declared_types", "json_table_sql"):
+        few = Q.REGISTRY[name](spark, SMALL_SF)
+        assert few.sparkSession is spark
+        few = _all_rows(few)
+        with monkeypatch.context() as m:
+            _sized(spark, m)
+            many = Q.REGISTRY[name](spark, SMALL_SF)
+            assert many.sparkSession is not spark, name
+            assert _all_rows(many) == few, name
+
+
+def test_f14_f17_a_large_load_has_more_buckets(spark, monkeypatch):
+    sized = _sized(spark, monkeypatch)
+    store = Q._refreshed_store(sized, SMALL_SF)
+    assert f"INTO {sized.conf.get('spark.sql.shuffle.partitions')} BUCKETS" in store._pointer()["tables"]["artifactinfo"]["clustered"]
+    assert store.table("gav_rejects").count() == Q._refreshed_store(spark, SMALL_SF).table("gav_rejects").count() > 0
+
+
+def test_f21_f22_same_maintained_rollups_in_more_partitions(spark, monkeypatch):
+    few = {n: _all_rows(Q._maintained_store(spark, SMALL_SF).table(n)) for n in ("g", "ga")}
+    many = Q._maintained_store(_sized(spark, monkeypatch), SMALL_SF)
+    assert {n: _all_rows(many.table(n)) for n in ("g", "ga")} == few
