@@ -3,14 +3,14 @@ DIST-1, JOIN-4)."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.columns import availability_code, content_key, truncate_uinfo
 from ..functions.version import with_version_key
 from ..schemas import ARTIFACTINFO, RECORD_FIELDS
-from ..session import settings
+from ..session import remove, settings, written_once
 
 KEY = "uinfo_md5"
 
@@ -31,6 +31,55 @@ def first_wins_dedup(records: DataFrame, key: str = KEY, order: str = "doc_ord")
             .filter(F.col("_rn") == 1).drop("_rn"))
 
 
+# Positions that one row of marks holds a bit of, as a power of two, and longs that these are.
+SLICE_BITS = 9
+WORDS = 1 << SLICE_BITS - 6
+# Largest number of such rows that are broadcast: about 100 bytes each, so 2M of them (a billion positions) stay near 200 MB.
+MAX_BROADCAST_SLICES = 2_000_000
+
+
+def _slice(order: str) -> F.Column:
+    return F.shiftright(F.col(order), SLICE_BITS)
+
+
+def first_positions(records: DataFrame, stored: tuple[DataFrame, ...] = (), key: str = KEY, order: str = "doc_ord"
+                    ) -> tuple[DataFrame, str] | None:
+    """Marks of the positions of the records that are first of their key and whose key none of ``stored`` has
+    (DIST-1, JOIN-4), and the folder that they are written to (see ``remove``).
+
+    Only keys and positions are shuffled, first reduced map-side to one row a key, so a hot key costs one row per map
+    task. A bit a position is kept. None if positions don't tell the records apart: one is missing, two records that
+    may be kept or dropped share one, or there are more marks than are ever broadcast. ``records`` is read twice, so its
+    source must give the same rows each time.
+    """
+    seen, marked = Observation(), Observation()
+    narrow = records.select(key, order).observe(seen, F.count_if(F.col(order).isNull()).alias("missing"))
+    firsts = narrow.groupBy(key).agg(F.min(order).alias(order))
+    for keys in stored:
+        firsts = firsts.join(keys.select(key), key, "left_anti")
+    firsts = firsts.select(order).observe(marked, F.count(F.lit(1)).alias("n"))
+    word, bit = f"shiftright({order}, 6) & {WORDS - 1}", f"shiftleft(1L, cast({order} & 63 AS int))"
+    words = F.array(*[F.coalesce(F.expr(f"bit_or({bit}) FILTER (WHERE ({word}) = {i})"), F.lit(0)) for i in range(WORDS)])
+    marks, path = written_once(
+        firsts.repartition(_slice(order)).groupBy(_slice(order).alias("_slice")).agg(words.alias("_words")), "positions")
+    # each marked position is that of one record, and of one only
+    bits = F.aggregate("_words", F.lit(0), lambda n, w: n + F.bit_count(w))
+    slices, n_bits = marks.agg(F.count(F.lit(1)), F.coalesce(F.sum(bits), F.lit(0))).first()
+    n = marked.get["n"]
+    if (seen.get["missing"] == 0 and n_bits == n and slices <= MAX_BROADCAST_SLICES
+            and at_positions(records.select(order), marks, order).count() == n):
+        return marks, path
+    remove(records.sparkSession, path)
+    return None
+
+
+def at_positions(records: DataFrame, marks: DataFrame, order: str = "doc_ord") -> DataFrame:
+    """The records at marked positions; they are filtered where they are, not shuffled."""
+    bit = F.getbit(F.get("_words", F.expr(f"cast(shiftright({order}, 6) & {WORDS - 1} AS int)")),
+                   F.expr(f"cast({order} & 63 AS int)"))
+    return records.join(F.broadcast(marks), (_slice(order) == F.col("_slice")) & (bit == 1), "left_semi")
+
+
 # Largest number of batch rows whose keys are broadcast to filter the store. A 16-byte key
 # costs about 50 bytes in a broadcast hash relation, so 2M keys stay near 100 MB, which a
 # default driver can build. Bigger batches take the hash-partitioned anti join (same result).

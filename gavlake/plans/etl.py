@@ -18,8 +18,10 @@ from ..operators.records import (
     KEY,
     MAX_LOOKUP_KEYS,
     artifactinfo_from_records,
+    at_positions,
     batch_is_small,
     conform,
+    first_positions,
     first_wins_dedup,
     new_records,
     stored_among,
@@ -30,7 +32,7 @@ from ..operators.rollup_state import KEYS, add_to_rollup, touched_parts, version
 from ..schemas import ARTIFACTINFO
 from ..session import SCAN_BYTES, files_exceed, remove, scans_of, written_once
 from ..sinks.tables import TableStore
-from ..sources.index import DROP_REASONS, live_records
+from ..sources.index import CORRUPT, DROP_REASONS, live_records
 
 # Bytes of input files above which a batch is counted before it is loaded into a filled store.
 COUNTED_FIRST_BYTES = 64 << 20
@@ -56,25 +58,39 @@ class Tables:
 
 
 def load_plan(raw: DataFrame, store_keys: DataFrame | None = None, fix_signature: bool = False,
-              observation: Observation | None = None) -> DataFrame:
-    """Raw index -> new ``artifactinfo`` rows (lazy, apart from the batch-size check).
+              observation: Observation | None = None, by_key: bool = False) -> DataFrame:
+    """Raw index -> new ``artifactinfo`` rows (lazy, apart from the batch-size check and the first pass over
+    a large index).
 
-    The size check runs on the plan without the observation, so the observed counts
+    Of a large index the keys and positions are read first, and the records then filtered where they are
+    (``first_positions``). With ``by_key`` they are shuffled by key at any size: a filter on the key, of a lookup, goes
+    below that. Neither the size check nor the first pass has the observation, so the observed counts
     always come from the real load.
     """
+    if not by_key and reads_twice(raw):
+        marked = first_positions(with_content_key(live_records(raw)), () if store_keys is None else (store_keys,))
+        if marked:
+            first = at_positions(with_content_key(live_records(raw, observation)), marked[0])
+            return conform(to_artifactinfo(first, fix_signature), ARTIFACTINFO)
     small = batch_is_small(live_records(raw)) if store_keys is not None else None
     return artifactinfo_from_records(live_records(raw, observation), store_keys,
                                      fix_signature=fix_signature, small_batch=small)
 
 
+def reads_twice(raw: DataFrame) -> bool:
+    """Whether an index is so large that its keys are read apart from its records: those of Parquet files only, of
+    which the columns that are read do not change what they hold (as they may of JSON lines)."""
+    return CORRUPT not in raw.columns and files_exceed(raw, COUNTED_FIRST_BYTES, ".parquet")
+
+
 def derive_plan(artifactinfo: DataFrame) -> Tables:
     """``artifactinfo`` -> all derived tables (lazy)."""
     gav = flatten_gav(artifactinfo)
     return Tables(artifactinfo, gav, group_rollup(gav), group_artifact_rollup(gav))
 
 
-def full_plan(raw: DataFrame, fix_signature: bool = False) -> Tables:
-    return derive_plan(load_plan(raw, fix_signature=fix_signature))
+def full_plan(raw: DataFrame, fix_signature: bool = False, by_key: bool = False) -> Tables:
+    return derive_plan(load_plan(raw, fix_signature=fix_signature, by_key=by_key))
 
 
 @dataclass

@@ -60,8 +60,8 @@ def printable(df: DataFrame) -> DataFrame:
     return df.select(*[shown(f) for f in df.schema.fields])
 
 
-def tables(spark: SparkSession, sf_dir: str) -> Tables:
-    return full_plan(raw_index(spark, sf_dir))
+def tables(spark: SparkSession, sf_dir: str, by_key: bool = False) -> Tables:
+    return full_plan(raw_index(spark, sf_dir), by_key=by_key)
 
 
 def _store(spark: SparkSession) -> TableStore:
@@ -509,7 +509,7 @@ def q_sql_functions_gav(spark, sf_dir):
 @query("find_by_md5")
 def q_find_by_md5(spark, sf_dir):
     """Point lookup by content key (FLT-1)."""
-    return A.find_by_md5(tables(spark, sf_dir).artifactinfo, oracle.LOOKUP_UINFO)
+    return A.find_by_md5(tables(spark, sf_dir, by_key=True).artifactinfo, oracle.LOOKUP_UINFO)
 
 
 @query("find_by_major_version")

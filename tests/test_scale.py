@@ -2,19 +2,23 @@
 
 from __future__ import annotations
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import SMALL_SF
 from gavlake import queries as Q
 from gavlake import session
 from gavlake.functions.sql import register_functions
+from gavlake.operators import records
 from gavlake.operators.quality import length_violations
+from gavlake.operators.records import at_positions, first_positions, first_wins_dedup
 from gavlake.plans import etl
 from gavlake.plans.etl import full_plan
 from gavlake.session import scratch_path
 from gavlake.sinks.tables import TableStore, export_json
 from gavlake.sources import fixture
 from gavlake.sources.fixture import dense_order, raw_index
+from gavlake.sources.index import read_index
 
 
 def _files(spark, path: str) -> dict[str, int]:
@@ -176,3 +180,46 @@ def test_f21_f22_same_maintained_rollups_in_more_partitions(spark, monkeypatch):
     few = {n: _all_rows(Q._maintained_store(spark, SMALL_SF).table(n)) for n in ("g", "ga")}
     many = Q._maintained_store(_sized(spark, monkeypatch), SMALL_SF)
     assert {n: _all_rows(many.table(n)) for n in ("g", "ga")} == few
+
+
+def _whole_and_in_place(spark, monkeypatch, name):
+    """Rows of a query whose dedup shuffles the records, and of one that marks positions; and the plan of the latter."""
+    whole = _all_rows(Q.REGISTRY[name](spark, SMALL_SF))
+    monkeypatch.setattr(etl, "COUNTED_FIRST_BYTES", 0)
+    df = Q.REGISTRY[name](spark, SMALL_SF)
+    rows = _all_rows(df)
+    return whole, rows, df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_r04_f15_bad_checksums_shuffles_no_records(spark, monkeypatch):
+    whole, rows, plan = _whole_and_in_place(spark, monkeypatch, "bad_checksums")
+    assert rows == whole != []
+    assert "hashpartitioning(uinfo_md5" not in plan and "Window [row_number" not in plan, plan
+
+
+def test_r04_f15_positions_tell_the_first_records(spark):
+    df = spark.createDataFrame([(b"a", 5), (b"a", 7), (b"b", -3), (b"b", -600), (b"c", 1 << 40), (None, 9), (None, 8)],
+                               "uinfo_md5 binary, doc_ord long")
+    kept = lambda *stored: sorted(r.doc_ord for r in at_positions(df, first_positions(df, stored)[0]).collect())
+    assert kept() == sorted(r.doc_ord for r in first_wins_dedup(df).collect()) == [-600, 5, 8, 1 << 40]
+    assert kept(df.filter("doc_ord = 7"), df.filter("doc_ord = -3")) == [8, 1 << 40]
+    none = df.limit(0)
+    assert at_positions(none, first_positions(none)[0]).collect() == []
+
+
+@pytest.mark.parametrize("rows", [
+    [(b"a", None), (b"a", 7)], [(b"a", 5), (b"b", 5)], [(b"a", 5), (b"a", 5)], [(b"a", 5), (b"b", 5), (b"b", 4)]])
+def test_r04_f15_positions_that_are_missing_or_shared_are_not_used(spark, rows):
+    assert first_positions(spark.createDataFrame(rows, "uinfo_md5 binary, doc_ord long")) is None
+
+
+def test_r04_f15_too_many_marks_and_odd_sources_shuffle_the_records(spark, monkeypatch):
+    raw, path = raw_index(spark, SMALL_SF), scratch_path(spark, "lines")
+    usual = _all_rows(full_plan(raw).artifactinfo)
+    monkeypatch.setattr(etl, "COUNTED_FIRST_BYTES", 0)
+    assert etl.reads_twice(raw)
+    raw.write.json(path)
+    assert not etl.reads_twice(read_index(spark, path, "json"))
+    monkeypatch.setattr(records, "MAX_BROADCAST_SLICES", 3)
+    ai = full_plan(raw).artifactinfo
+    assert "Window" in _plan(ai) and _all_rows(ai) == usual
