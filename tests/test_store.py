@@ -337,3 +337,52 @@ def test_all_ways_to_skip_stored_keys_agree(spark, raw, monkeypatch, bounds):
     run_load(spark, raw.filter("doc_ord <= 5500"), store)
     run_load(spark, raw.filter("doc_ord > 5400"), store)
     assert rows(store.table("artifactinfo")) == rows(full_plan(raw).artifactinfo)
+
+
+@pytest.mark.parametrize("limits", ["off", "quarantine"])
+def test_r04_f13_a_large_stream_batch_is_neither_copied_nor_shuffled_twice(spark, raw, monkeypatch, limits):
+    import gavlake.operators.records as R
+    root = scratch_path(spark, "large-stream")
+    usual, store = (TableStore(spark, f"{root}/{k}", buckets=5) for k in ("usual", "store"))
+    reports = []
+    for s in (usual, store):
+        source = f"{s.root}_in"
+        raw.filter("doc_ord <= 3000").write.mode("append").parquet(source)
+        refresh(spark, source, s, limits=limits)
+        raw.filter("doc_ord > 2000").write.mode("append").parquet(source)
+        if s is store:
+            monkeypatch.setattr(R, "MAX_BROADCAST_KEYS", 10)
+            monkeypatch.setattr(etl, "written_once", lambda *_: pytest.fail("the batch is written"))
+            monkeypatch.setattr(etl, "new_records", lambda *_: pytest.fail("the records are joined"))
+        reports.append(refresh(spark, source, s, limits=limits).batches)
+    assert reports[0] == reports[1] and reports[0][0]["rows"] > 0
+    assert set(bucket_files(store).values()) == {1}
+    for name in ("artifactinfo", *(["artifactinfo_rejects"] if limits == "quarantine" else [])):
+        assert rows(store.table(name)) == rows(usual.table(name)) != [], name
+
+
+def test_r04_f13_positions_that_two_records_share_fall_back(spark, raw, monkeypatch):
+    import gavlake.operators.records as R
+    store, usual = (TableStore(spark, scratch_path(spark, "shared"), buckets=5) for _ in range(2))
+    path = scratch_path(spark, "shared-in")
+    raw.withColumn("doc_ord", F.col("doc_ord") % 50).write.parquet(path)
+    shared = spark.read.parquet(path)
+    for s in (store, usual):
+        run_load(spark, raw.filter("doc_ord <= 3000"), s)
+    expected = write_load(shared, usual)
+    monkeypatch.setattr(R, "MAX_BROADCAST_KEYS", 10)
+    monkeypatch.setattr(etl, "COUNTED_FIRST_BYTES", 0)
+    loaded = write_load(shared, store)
+    assert (loaded.written, loaded.scan) == (expected.written, expected.scan) and loaded.written > 0
+
+
+def test_r04_f13_a_source_that_changes_is_refused(spark, raw, monkeypatch):
+    import gavlake.operators.records as R
+    store = TableStore(spark, scratch_path(spark, "changing"), buckets=5)
+    run_load(spark, raw.filter("doc_ord <= 3000"), store)
+    monkeypatch.setattr(R, "MAX_BROADCAST_KEYS", 10)
+    monkeypatch.setattr(etl, "COUNTED_FIRST_BYTES", 0)
+    real = etl.first_positions
+    monkeypatch.setattr(etl, "first_positions", lambda *a: (*real(*a)[:2], 1))
+    with pytest.raises(RuntimeError, match="read again"):
+        write_load(raw, store)
